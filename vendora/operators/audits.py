@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendora.functions.rounding import cents, half_up, percent
+from vendora.functions.unions import union_all
 
 TOTAL = "decimal(38,2)"
 
@@ -51,13 +52,13 @@ def fanout_inflation(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame
 def total_reconcile(fact: DataFrame, fact_amount: str, marts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Does each mart's total equal the fact's?  One row per mart."""
     fact_total = fact.agg(F.sum(fact_amount).cast(TOTAL).alias("t"))
-    rows = None
-    for name, (mart, amount) in marts.items():
-        row = mart.agg(F.sum(amount).cast(TOTAL).alias("mart_total")).select(
+    rows = [
+        mart.agg(F.sum(amount).cast(TOTAL).alias("mart_total")).select(
             F.lit(name).alias("mart"), "mart_total", fact_total.scalar().alias("fact_total")
         )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows.withColumn("diff", (F.col("mart_total") - F.col("fact_total")).cast(TOTAL)).withColumn(
+        for name, (mart, amount) in marts.items()
+    ]
+    return union_all(rows).withColumn("diff", (F.col("mart_total") - F.col("fact_total")).cast(TOTAL)).withColumn(
         "matches", F.col("diff") == 0
     )
 

@@ -10,6 +10,11 @@ from vendora.functions.grouping import HOT_ROWS, numbered
 from vendora.functions.metrics import is_core_state, is_true, label_of, region_of, weight_tier
 from vendora.functions.rounding import month_of
 
+# Orders grow with the facts that join them, so they are never broadcast.  The
+# merge join also leaves the rows partitioned by order, which groupings by order
+# downstream use without another shuffle.
+GROWS = "merge"
+
 
 def dim_customers(customers: DataFrame) -> DataFrame:
     state = F.col("customer_state")
@@ -80,7 +85,7 @@ def fct_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
     lines drop out; :func:`vendora.operators.audits.join_loss` counts them."""
     purchased = F.col("order_purchased_at")
     zero = F.lit(0).cast("decimal(10,2)")
-    return items.join(orders, "order_id").select(
+    return items.join(orders.hint(GROWS), "order_id").select(
         F.concat("order_id", F.lit("-"), F.col("order_item_id").cast("string")).alias("order_item_key"),
         "order_id",
         "customer_id",
@@ -102,7 +107,7 @@ def fct_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     known = orders.select(F.col("order_id").alias("known_order_id"), "customer_id", "order_purchased_at")
     purchased = F.col("order_purchased_at")
     installments = F.col("payment_installments")
-    return payments.join(known, F.col("order_id") == F.col("known_order_id"), "left").select(
+    return payments.join(known.hint(GROWS), F.col("order_id") == F.col("known_order_id"), "left").select(
         F.concat("order_id", F.lit("-"), F.col("payment_sequential").cast("string")).alias("payment_key"),
         "order_id",
         "customer_id",
@@ -125,7 +130,7 @@ def fct_reviews(reviews: DataFrame, orders: DataFrame, hot_rows: int = HOT_ROWS)
     ranked = numbered(ranked, ["review_id"], size="shared_id_count", hot_rows=hot_rows)
     bought = orders.select("order_id", "customer_id", "order_purchased_at")
     purchased = F.col("order_purchased_at")
-    return ranked.join(bought, "order_id", "left").select(
+    return ranked.join(bought.hint(GROWS), "order_id", "left").select(
         "review_key",
         "review_id",
         "order_id",

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendora.functions.metrics import count_where
+from vendora.functions.unions import union_all
 
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
@@ -15,7 +14,7 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def missing_category(products: DataFrame) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
+from vendora.functions.unions import union_all
 
 ERROR = "error"
 WARN = "warn"
@@ -151,7 +150,7 @@ def suite_report(tables: dict[str, DataFrame], rules: Iterable[Rule]) -> DataFra
             for r in own
             if r.kind == "relationships"
         ]
-    report = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+    report = union_all([p for p in parts if p is not None])
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == WARN, "warn").otherwise("fail")
     return report.withColumn("status", status)
 

@@ -22,21 +22,39 @@ TOTAL = "decimal(38,2)"
 
 
 def ads_gmv_monthly(fct_orders: DataFrame) -> DataFrame:
-    """Monthly revenue.  Lines are first folded to orders: after the fact's own
-    join on ``order_id`` that takes no further shuffle, and the distinct counts
-    then work on orders instead of lines."""
+    """Monthly revenue.
+
+    Lines are first folded to orders; after the fact's own join on ``order_id``
+    that takes no further shuffle.  Each order then stands for itself and for
+    its buyer, and one grouping by (month, who) settles all distinct counts:
+    two narrow rows per order, where four distinct counts over the lines would
+    make Spark copy every line five times."""
+    flags, sums = ["is_delivered", "is_cancelled"], ["amount", "delivered", "cancelled"]
     per_order = fct_orders.groupBy("order_month", "order_id", "customer_id").agg(
-        F.max("is_delivered").alias("is_delivered"),
-        F.max("is_cancelled").alias("is_cancelled"),
-        gmv_all("order_amount").alias("amount"),
-        gmv("order_amount").alias("delivered"),
-        amount_where("is_cancelled", "order_amount").alias("cancelled"),
-    )
-    monthly = per_order.groupBy("order_month").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct(F.when(F.col("is_delivered"), F.col("order_id"))).alias("delivered_orders"),
-        F.count_distinct(F.when(F.col("is_cancelled"), F.col("order_id"))).alias("cancelled_orders"),
-        F.count_distinct("customer_id").alias("total_buyers"),
+        *[F.max(flag).alias(flag) for flag in flags],
+        gmv_all("order_amount").cast(TOTAL).alias("amount"),
+        gmv("order_amount").cast(TOTAL).alias("delivered"),
+        amount_where("is_cancelled", "order_amount").cast(TOTAL).alias("cancelled"),
+    )
+    order = F.struct(F.lit(True).alias("is_order"), F.col("order_id").alias("id"), *flags, *sums)
+    buyer = F.struct(
+        F.lit(False).alias("is_order"),
+        F.col("customer_id").alias("id"),
+        *[F.lit(False).alias(flag) for flag in flags],
+        *[F.lit(None).cast(TOTAL).alias(amount) for amount in sums],
+    )
+    by_id = (
+        per_order.select("order_month", F.explode(F.array(order, buyer)).alias("who"))
+        .select("order_month", "who.*")
+        .groupBy("order_month", "is_order", "id")
+        .agg(*[F.max(flag).alias(flag) for flag in flags], *[F.sum(amount).alias(amount) for amount in sums])
+    )
+    is_order = F.col("is_order")
+    monthly = by_id.groupBy("order_month").agg(
+        F.count(F.when(is_order, F.col("id"))).alias("total_orders"),
+        F.count(F.when(is_order & F.col("is_delivered"), F.col("id"))).alias("delivered_orders"),
+        F.count(F.when(is_order & F.col("is_cancelled"), F.col("id"))).alias("cancelled_orders"),
+        F.count(F.when(~is_order, F.col("id"))).alias("total_buyers"),
         F.sum("amount").cast(TOTAL).alias("gmv_all"),
         F.sum("delivered").cast(TOTAL).alias("gmv_delivered"),
         F.sum("cancelled").cast(TOTAL).alias("gmv_cancelled"),
@@ -49,6 +67,16 @@ def ads_gmv_monthly(fct_orders: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_last("order_month"))
 
 
+def _delivered_by(fct_orders: DataFrame, *extra: str) -> DataFrame:
+    """Delivered lines folded to orders, or to orders and ``extra``, before a
+    dimension is joined; after the fact's own join this takes no shuffle."""
+    return (
+        fct_orders.filter("is_delivered")
+        .groupBy("order_id", "customer_id", *extra)
+        .agg(F.sum("order_amount").cast(TOTAL).alias("amount"), F.count("*").alias("lines"))
+    )
+
+
 def _delivered_sales(joined: DataFrame, by: list[str]) -> DataFrame:
     """Orders, buyers, revenue and mean line amount of delivered lines."""
     return (
@@ -56,8 +84,8 @@ def _delivered_sales(joined: DataFrame, by: list[str]) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("orders"),
             F.count_distinct("customer_id").alias("buyers"),
-            F.sum("order_amount").cast(TOTAL).alias("gmv"),
-            F.count("*").alias("lines"),
+            F.sum("amount").cast(TOTAL).alias("gmv"),
+            F.sum("lines").alias("lines"),
         )
         .withColumn("avg_order_value", money_mean(F.col("gmv"), F.col("lines")))
         .drop("lines")
@@ -66,7 +94,7 @@ def _delivered_sales(joined: DataFrame, by: list[str]) -> DataFrame:
 
 def ads_category_sales(fct_orders: DataFrame, dim_products: DataFrame) -> DataFrame:
     by = ["product_category", "product_category_cn", "weight_tier"]
-    sold = fct_orders.filter("is_delivered").select("order_id", "customer_id", "product_id", "order_amount")
+    sold = _delivered_by(fct_orders, "product_id")
     sales = _delivered_sales(sold.join(dim_products.select("product_id", *by), "product_id", "left"), by)
     # The window sees one row per category and tier, never the lines.
     total = F.sum("gmv").over(W.partitionBy())
@@ -75,7 +103,7 @@ def ads_category_sales(fct_orders: DataFrame, dim_products: DataFrame) -> DataFr
 
 def ads_region_overview(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     by = ["region", "customer_state", "is_core_market"]
-    sold = fct_orders.filter("is_delivered").select("order_id", "customer_id", "order_amount")
+    sold = _delivered_by(fct_orders)
     sales = _delivered_sales(sold.join(dim_customers.select("customer_id", *by), "customer_id", "left"), by)
     return sales.orderBy(F.desc("gmv"))
 
@@ -170,22 +198,32 @@ def dws_customer_rfm(
 
 
 def seller_sales(fct_orders: DataFrame) -> DataFrame:
-    delivered = F.col("is_delivered")
-    return (
-        fct_orders.groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.count("*").alias("item_count"),
-            F.count_distinct("product_id").alias("product_count"),
-            gmv("order_amount").cast(TOTAL).alias("gmv_delivered"),
-            gmv_all("order_amount").cast(TOTAL).alias("gmv_all"),
-            count_where(delivered).alias("delivered_lines"),
-            F.min("order_date").alias("first_sale_date"),
-            F.max("order_date").alias("last_sale_date"),
-        )
-        .withColumn("avg_order_value", money_mean(F.col("gmv_delivered"), F.col("delivered_lines")))
-        .drop("delivered_lines")
+    """Sales of each seller.  Folded to (order, seller) first, orders are simply
+    counted; only the products need a distinct count, on two columns."""
+    per_order = fct_orders.groupBy("order_id", "seller_id").agg(
+        F.count("*").alias("lines"),
+        gmv("order_amount").cast(TOTAL).alias("delivered"),
+        gmv_all("order_amount").cast(TOTAL).alias("amount"),
+        count_where(F.col("is_delivered")).alias("delivered_lines"),
+        F.min("order_date").alias("first_date"),
+        F.max("order_date").alias("last_date"),
+    )
+    sales = per_order.groupBy("seller_id").agg(
+        F.count("order_id").alias("order_count"),
+        F.sum("lines").alias("item_count"),
+        F.sum("delivered").cast(TOTAL).alias("gmv_delivered"),
+        F.sum("amount").cast(TOTAL).alias("gmv_all"),
+        money_mean(F.sum("delivered").cast(TOTAL), F.sum("delivered_lines")).alias("avg_order_value"),
+        F.min("first_date").alias("first_sale_date"),
+        F.max("last_date").alias("last_sale_date"),
+    )
+    products = (
+        fct_orders.select("seller_id", "product_id").distinct()
+        .groupBy(F.col("seller_id").alias("product_seller"))
+        .agg(F.count("product_id").alias("product_count"))
     )
+    same = F.col("seller_id").eqNullSafe(F.col("product_seller"))
+    return sales.join(products, same, "left").drop("product_seller")
 
 
 def seller_reviews(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vendora.functions import fixed_values as V
 from vendora.functions.metrics import gmv, gmv_all, rfm_segment_with_keep
 from vendora.functions.tiles import with_ntiles
+from vendora.functions.unions import union_all
 from vendora.operators import audits, core, incremental, profiling, quality, scd, staging
 from vendora.plans import adhoc, kpi, marts, warehouse
 from vendora.session import settle, tune, work_path
@@ -373,7 +374,7 @@ def metric_gmv(spark, d):
 def ntile_distributed(spark, d):
     """Quartiles of all orders by line total, one order per row."""
     totals = _fct_orders(spark, d).groupBy("order_id").agg(F.sum("order_amount").cast(marts.TOTAL).alias("amount"))
-    return with_ntiles(settle(totals, "order_totals"), "order_id", {"amount_tile": "amount"}, 10)
+    return with_ntiles(settle(totals, "order_totals"), "order_id", {"amount_tile": "amount"}, 10, small_rows=0)
 
 
 # --- Incremental loading -----------------------------------------------------
@@ -599,13 +600,12 @@ def dq_warn_orders_without_items(spark, d):
 @query
 def dq_contract(spark, d):
     """Raw tables under their earlier column names against the contract."""
-    rows = None
+    drifts = []
     for name, df in _all_raw(spark, d, with_line_ids=False).items():
         contract = CONTRACTS[name]
         earlier = df.withColumnsRenamed({new: old for old, new in contract.old_names.items()})
-        drift = quality.contract_drift(earlier, name, contract.columns)
-        rows = drift if rows is None else rows.unionByName(drift)
-    return rows
+        drifts.append(quality.contract_drift(earlier, name, contract.columns))
+    return union_all(drifts)
 
 
 @query

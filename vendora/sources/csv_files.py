@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vendora.functions.unions import union_all
 from vendora.sources.contracts import CONTRACTS, Contract
 
 
@@ -52,7 +51,7 @@ def load_audit(tables: dict[str, DataFrame]) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return union_all(rows)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

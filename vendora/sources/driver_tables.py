@@ -98,14 +98,14 @@ def order_items(spark: SparkSession, sf_dir: str, with_line_ids: bool = True) ->
         lines = lines.withColumn("line_id", F.col("l_linenumber"))
     price = _div(_hundredths("l_extendedprice"), 500)
     freight = _div(price * _hundredths("l_tax"), 100)
-    cent = F.lit("0.01").cast("decimal(3,2)")
+    cent = F.lit("0.01").cast("decimal(2,2)")
     return lines.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("line_id").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
-        (price.cast("decimal(18,0)") * cent).alias("price"),
-        (freight.cast("decimal(18,0)") * cent).alias("freight_value"),
+        (price.cast("decimal(15,0)") * cent).alias("price"),
+        (freight.cast("decimal(15,0)") * cent).alias("freight_value"),
     )
 
 
