@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -56,8 +58,9 @@ def numbered(
     if hot is None:
         return _windowed(df, keys, order, row, size)
 
-    match = [df[k].eqNullSafe(hot[k]) for k in keys]
-    marked = df.join(F.broadcast(hot), match, "left").select(*[df[c] for c in df.columns], hot["_size"])
+    listed = {k: f"_hot_{k}" for k in keys}
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(name)) for k, name in listed.items()])
+    marked = df.join(F.broadcast(hot.withColumnsRenamed(listed)), match, "left").drop(*listed.values())
     usual = _windowed(marked.filter(F.col("_size").isNull()).drop("_size"), keys, order, row, size)
 
     large = marked.filter(F.col("_size").isNotNull())
@@ -68,11 +71,13 @@ def numbered(
         )
         # Range partitions cut few groups: about one row per partition or hot group.
         before = _offsets(large.groupBy(*keys, "_slice").agg(F.count("*").alias("_rows")), keys)
-        match = [large[k].eqNullSafe(before[k]) for k in [*keys, "_slice"]]
+        at = {k: f"_at_{k}" for k in [*keys, "_slice"]}
+        match = reduce(and_, [F.col(k).eqNullSafe(F.col(name)) for k, name in at.items()])
         large = (
-            large.withColumn("_at", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order)))
-            .join(F.broadcast(before), match)
-            .select(*[large[c] for c in df.columns], large["_size"], (F.col("_at") + before["_before"]).cast("int").alias(row))
+            large.withColumn("_row", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order)))
+            .join(F.broadcast(before.withColumnsRenamed(at)), match)
+            .withColumn(row, (F.col("_row") + F.col("_before")).cast("int"))
+            .drop("_slice", "_row", "_before", *at.values())
         )
     if size is not None:
         large = large.withColumnRenamed("_size", size)

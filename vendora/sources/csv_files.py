@@ -55,6 +55,7 @@ def load_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
+    """Header CSV.  Blanks inside text survive; an empty text reads back as NULL."""
     (
         df.write.option("header", True)
         .option("escape", '"')
