@@ -172,15 +172,18 @@ def ads_review_analysis(fct_reviews: DataFrame) -> DataFrame:
 
 
 def customer_value(fct_orders: DataFrame) -> DataFrame:
-    """Recency, frequency and monetary value of each customer with a delivery."""
-    return (
+    """Recency, frequency and monetary value of each customer with a delivery.
+
+    Folded to (order, customer) first, orders are simply counted."""
+    per_order = (
         fct_orders.filter("is_delivered")
-        .groupBy("customer_id")
-        .agg(
-            F.max("order_date").alias("last_order_date"),
-            F.count_distinct("order_id").alias("frequency"),
-            F.sum("order_amount").cast(TOTAL).alias("monetary"),
-        )
+        .groupBy("order_id", "customer_id")
+        .agg(F.max("order_date").alias("ordered_on"), F.sum("order_amount").alias("amount"))
+    )
+    return per_order.groupBy("customer_id").agg(
+        F.max("ordered_on").alias("last_order_date"),
+        F.count("order_id").alias("frequency"),
+        F.sum("amount").cast(TOTAL).alias("monetary"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from vendora.functions.fixed_values import LOOKBACK_DAYS
 from vendora.functions.metrics import gmv
 from vendora.operators.incremental import KEY, full_refresh, merge
+from vendora.session import settle
 
 EVENT_TIME = "event_time"
 
@@ -30,7 +31,9 @@ def merge_into(lines: DataFrame, path: str, checkpoint: str) -> None:
     merges the same keys again and changes nothing."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop(EVENT_TIME)
+        # Written once: the merge reads the rows several times, and each read of
+        # the batch itself would run the deduplication again.
+        rows = settle(batch.drop(EVENT_TIME), "batch")
         if batch_id == 0:
             full_refresh(rows, path)
         else:
