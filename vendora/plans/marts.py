@@ -222,11 +222,10 @@ def seller_sales(fct_orders: DataFrame) -> DataFrame:
     )
     products = (
         fct_orders.select("seller_id", "product_id").distinct()
-        .groupBy(F.col("seller_id").alias("product_seller"))
+        .groupBy("seller_id")
         .agg(F.count("product_id").alias("product_count"))
     )
-    same = F.col("seller_id").eqNullSafe(F.col("product_seller"))
-    return sales.join(products, same, "left").drop("product_seller")
+    return sales.join(products, "seller_id", "left")
 
 
 def seller_reviews(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
