@@ -238,3 +238,20 @@ def test_plans_stay_on_the_jvm_without_cross_products(spark, name):
 def test_scan_reads_only_needed_columns(spark):
     plan = QUERIES["ads_gmv_monthly"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_tax:double>" in plan
+
+
+def test_staged_tables_answer_plain_sql(spark):
+    from vendora.plans import warehouse
+    from vendora.registry import _all_raw
+
+    views = warehouse.staging(_all_raw(spark, SF_DIR, with_line_ids=False), F.lit("2026-01-01").cast("timestamp_ntz"))
+    warehouse.register(views)
+    assert len(views) == 9
+    got = spark.sql("SELECT count(*) FROM stg_orders o JOIN stg_customers c USING (customer_id)").first()[0]
+    assert got == views["stg_orders"].count()
+
+
+def test_working_folder_comes_from_the_session(spark):
+    from vendora.session import work_path
+
+    assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
