@@ -45,6 +45,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more of it than that."""
     return df.limit(rows + 1).count() <= rows

@@ -21,7 +21,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendora.llm.common import WHITE, WORD, fresh, text_of, words_of
+from vendora.llm.common import WHITE, WORD, fresh, let, text_of, words_of
 
 # --- Fixed values -------------------------------------------------------------
 SYMBOLS = "#*$%&|<>"
@@ -110,7 +110,7 @@ def _repeat_words(windows: Column) -> Column:
     """
     ordered = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("w"), i.alias("at"))))
     same = lambda a, x, i: F.coalesce(F.get(a, i)["w"] == x["w"], F.lit(False))
-    starts = _let(
+    starts = let(
         ordered,
         lambda a: F.sort_array(
             F.transform(F.filter(a, lambda x, i: same(a, x, i - 1) | same(a, x, i + 1)), lambda x: x["at"])
@@ -118,12 +118,7 @@ def _repeat_words(windows: Column) -> Column:
     )
     # Each window adds the words up to the next window's start, three at most.
     added = lambda s: F.transform(s, lambda p, i: F.least(F.coalesce(F.get(s, i + 1), p + 3) - p, F.lit(3)))
-    return _let(starts, lambda s: F.aggregate(added(s), F.lit(0), lambda a, x: a + x))
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return let(starts, lambda s: F.aggregate(added(s), F.lit(0), lambda a, x: a + x))
 
 
 def verdict(measure: dict[str, Column], rules: list[Rule]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendora.llm import quality_rules
+from vendora.llm import decontamination, quality_rules
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -17,6 +17,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", "quality.*")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.report(docs, items).drop("n_near_items")
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op9_decontamination": op9_decontamination,
 }

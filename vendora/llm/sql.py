@@ -16,7 +16,7 @@ WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT rid, doc_id, t, regexp_extract_all(t, '{_WORD}') AS w,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS n
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS n
   FROM d
 ), g AS (
   SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
@@ -33,19 +33,19 @@ WITH d AS (
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(n) - len(list_distinct(n)))::BIGINT AS n_dup_lines,
          coalesce(c, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, x -> lower(x) IN ({_listed(STOP_WORDS)})))::BIGINT AS n_stop_words,
+         len(list_filter(w, lambda x: lower(x) IN ({_listed(STOP_WORDS)})))::BIGINT AS n_stop_words,
          len(n)::BIGINT AS n_lines
   FROM w LEFT JOIN repeats USING (rid)
 ), v AS (
   SELECT *,
          list_filter([
            CASE WHEN n_words < 50 THEN 'min_words' END,
-           CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 'repeated_words' END], x -> x IS NOT NULL) AS base,
+           CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 'repeated_words' END], lambda x: x IS NOT NULL) AS base,
          list_filter([
            CASE WHEN word_chars < 2 * n_words OR word_chars > 12 * n_words THEN 'word_length' END,
            CASE WHEN 4 * n_symbols > n_words THEN 'symbols' END,
            CASE WHEN 25 * n_stop_words < n_words THEN 'stop_words' END,
-           CASE WHEN 2 * n_dup_lines > n_lines THEN 'repeated_lines' END], x -> x IS NOT NULL) AS more
+           CASE WHEN 2 * n_dup_lines > n_lines THEN 'repeated_lines' END], lambda x: x IS NOT NULL) AS more
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, n_lines,
@@ -54,4 +54,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_st
 FROM v
 """
 
-SQL = {"op3_quality_rules": OP3}
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP9 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORD}') AS w FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORD}') AS w FROM benchmark
+), b2 AS (
+  SELECT item_id, w, least(10, len(w)) AS l FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[s:s + l - 1], ' ') AS g
+  FROM (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM b2)
+), lengths AS (
+  SELECT DISTINCT l FROM windows
+), grams AS (
+  SELECT rid, l, s, array_to_string(w[s:s + l - 1], ' ') AS g
+  FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS s FROM d, lengths)
+), found AS (
+  SELECT rid, s, l, item_id FROM grams JOIN windows USING (l, g)
+), hit AS (
+  SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(s, s + l)) AS p FROM found))
+  GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+       coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
+"""
+
+SQL = {"op3_quality_rules": OP3, "op9_decontamination": OP9}
