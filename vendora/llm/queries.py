@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendora.llm import decontamination, quality_rules
+from vendora.llm import decontamination, quality_rules, simhash
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -17,6 +17,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", "quality.*")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.report(docs, items).drop("n_near_items")
@@ -24,5 +28,6 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
 }
