@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYT
     what a worker holds does not depend on how long texts happen to be."""
     for batch in batches:
         start, held = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(batch.column(column)).to_pylist()):
+        for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
             held += n or 0
             if held >= most:
                 yield batch.slice(start, i + 1 - start)

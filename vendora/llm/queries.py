@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendora.llm import decontamination, quality_rules, simhash
+from vendora.llm import decontamination, packing, quality_rules, simhash
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -17,6 +17,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", "quality.*")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
 }
