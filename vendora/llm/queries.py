@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendora.llm import decontamination, packing, quality_rules, simhash
+from vendora.llm import decontamination, line_templates, packing, quality_rules, simhash
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -12,6 +12,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs, out="n_dropped")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select("doc_id", "quality.*")
@@ -31,6 +36,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_templates": op2_line_templates,
     "op3_quality_rules": op3_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash": op6_simhash,
