@@ -30,11 +30,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendora.llm.common import ascii_lower, fresh, let, sized_broadcast, text_of
+from vendora.llm.common import LOWER, UPPER, fresh, let, sized_broadcast, text_of
 from vendora.session import settle
 
-# --- Fixed value: a word after lower-casing -------------------------------------
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# --- Fixed value: what stands between words, the words being lower-cased ---------
+BETWEEN = "".join(map(chr, [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 WINDOW = 10
 # Words that a proximity match may be off its place.
@@ -45,7 +45,9 @@ BROADCAST_ROWS = 100_000
 
 
 def words(text: str) -> Column:
-    return F.regexp_extract_all(ascii_lower(text_of(text)), F.lit(ITEM_WORD), F.lit(0))
+    """The words of the lower-cased text; cutting at spaces is cheaper than a pattern."""
+    spaced = F.translate(text_of(text), UPPER + BETWEEN, LOWER + " " * len(BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def _key(text: str) -> Column:
