@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vendora.llm import decontamination, line_templates, packing, quality_rules, simhash
+from vendora.llm import decontamination, line_templates, packing, quality_classifier, quality_rules, simhash, toxicity
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -22,6 +23,19 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", "quality.*")
 
 
+def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = quality_classifier.remainder("doc_id", 5) == 0
+    scored = toxicity.tag(docs, labels, learn=~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +44,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = quality_classifier.remainder("doc_id", 4) == 2
+    scored = quality_classifier.classify(docs, labels, learn=~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.report(docs, items).drop("n_near_items")
@@ -38,7 +61,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_templates": op2_line_templates,
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity_crf": op4_toxicity_crf,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash": op6_simhash,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_decontamination": op9_decontamination,
 }
