@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendora.llm import decontamination, line_templates, packing, quality_classifier, quality_rules, simhash, toxicity
+from vendora.llm import decontamination, lattice_lm, line_templates, packing, quality_classifier, quality_rules, simhash, toxicity
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = quality_classifier.remainder("doc_id", 7) == 2
+    return lattice_lm.score(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_templates.drop_recurring(docs, out="n_dropped")
@@ -59,6 +64,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice_lm": op1_lattice_lm,
     "op2_line_templates": op2_line_templates,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity_crf": op4_toxicity_crf,
