@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendora.llm import decontamination, lattice_lm, line_templates, packing, quality_classifier, quality_rules, simhash, toxicity
+from vendora.llm import (
+    decontamination,
+    html_content,
+    lattice_lm,
+    line_templates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 from vendora.llm.sql import SQL  # noqa: F401
 
 
@@ -63,6 +73,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(docs, items).drop("n_near_items")
 
 
+def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_line_templates": op2_line_templates,
@@ -72,4 +86,5 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_decontamination": op9_decontamination,
+    "op10_html_content": op10_html_content,
 }
