@@ -153,9 +153,15 @@ def test_hot_order_gives_the_same_flags(spark, shop):
     _, o, _ = shop
     rows = [(f"r{i:03}", "1" if i % 3 else str(i), i % 5 + 1, None, None if i % 4 == 0 else datetime(2018, 1, 1 + i % 9))
             for i in range(200)]
-    plain = core.fct_reviews(reviews(spark, rows), o)
-    split = core.fct_reviews(reviews(spark, rows), o, hot_rows=20)
-    assert sorted(plain.collect(), key=repr) == sorted(split.collect(), key=repr)
+    plain = core.fct_reviews(reviews(spark, rows), o).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = core.fct_reviews(reviews(spark, rows), o).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(plain, key=repr) == sorted(split, key=repr)
 
 
 def test_fanout_counts_every_line_once_per_review(shop, reviewed):

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
-from vendora.functions.grouping import hot_groups, numbered
+from vendora.functions.grouping import numbered, running
 from vendora.functions.metrics import first_level, haversine_km, label_of, weight_tier
 from vendora.functions.rounding import half_up, money_mean, month_of, percent
 from vendora.functions.tiles import with_ntiles, with_rank_desc
@@ -79,7 +79,7 @@ def test_haversine_quarter_of_the_equator(spark):
 def tiles_match(spark, rows, k, parts=4):
     df = spark.createDataFrame(rows, "id string, x decimal(12,2)").repartition(parts)
     plain = F.ntile(k).over(W.orderBy(F.col("x").asc_nulls_last(), "id"))
-    both = with_ntiles(df.withColumn("expected", plain), "id", {"tile": "x"}, k, small_rows=0)
+    both = with_ntiles(df.withColumn("expected", plain), "id", {"tile": "x"}, k)
     return both.filter("tile <> expected").count() == 0 and both.count() == len(rows)
 
 
@@ -108,15 +108,31 @@ def test_several_tiles_of_dates_and_counts_at_once(spark):
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 37).cast("int")).alias("day"),
         (F.col("id") % 5).alias("n"),
     )
-    got = with_ntiles(df, "id", {"d": "day", "c": "n"}, 4, small_rows=0)
+    got = with_ntiles(df, "id", {"d": "day", "c": "n"}, 4)
     for tile, col in (("d", "day"), ("c", "n")):
         got = got.withColumn(f"{tile}_w", F.ntile(4).over(W.orderBy(col, "id")))
     assert got.filter("d <> d_w OR c <> c_w").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,4)", "date", "timestamp", "string"])
+def test_ntiles_of_any_type(spark, kind):
+    """Values that differ by less than a hundredth, or are no numbers, keep their order."""
+    x = {
+        "double": (F.col("id") % 997) / 100000.0,
+        "decimal(12,4)": ((F.col("id") % 997) / 10000).cast("decimal(12,4)"),
+        "date": F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 301).cast("int")),
+        "timestamp": F.timestamp_seconds((F.col("id") * 7 % 301) / 1000),
+        "string": F.md5(F.col("id").cast("string")),
+    }[kind]
+    df = spark.range(2000).select(F.format_string("%05d", "id").alias("id"), F.when(F.col("id") % 13 != 0, x).alias("x"))
+    got = with_ntiles(df, "id", {"t": "x"}, 7)
+    plain = F.ntile(7).over(W.orderBy(F.col("x").asc_nulls_last(), "id"))
+    assert got.withColumn("w", plain).filter("t <> w").count() == 0
+
+
 def test_ntiles_plan_has_no_window_over_the_whole_table(spark, tmp_path):
     spark.range(1000).select(F.col("id").cast("string").alias("id"), F.rand(1).alias("x")).write.parquet(f"{tmp_path}/t")
-    df = with_ntiles(spark.read.parquet(f"{tmp_path}/t"), "id", {"t": "x"}, 4, small_rows=0)
+    df = with_ntiles(spark.read.parquet(f"{tmp_path}/t"), "id", {"t": "x"}, 4)
     main_query = df._jdf.queryExecution().executedPlan().toString().split("Subquer")[0]
     assert "Window" not in main_query
 
@@ -141,22 +157,34 @@ def skewed(spark):
     )
 
 
-def test_hot_groups_lists_only_large_groups(spark, skewed):
-    assert [r["k"] for r in hot_groups(skewed, ["k"], hot_rows=500).collect()] == ["hot"]
-    assert hot_groups(skewed, ["k"], hot_rows=5000) is None
+@pytest.mark.parametrize("slices", ["1", "4", "37"])
+def test_numbered_equals_the_window_form(spark, skewed, slices, monkeypatch):
+    """Slices of a few rows: hot groups span many of them, and every slice has an edge."""
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        order = [F.col("x").desc_nulls_last(), F.col("u").asc()]
+        got = numbered(skewed, ["k"], order, row="rn", size="n")
+        group = W.partitionBy("k")
+        checked = got.withColumn("rn_w", F.row_number().over(group.orderBy(*order)))
+        checked = checked.withColumn("n_w", F.count("*").over(group))
+        assert checked.count() == 3000
+        assert checked.filter("rn <> rn_w OR n <> n_w").count() == 0
+        sums = running(skewed, ["k"], order, {"before": F.coalesce("x", F.lit(0))})
+        plain = F.coalesce(F.sum("x").over(group.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        assert sums.withColumn("w", plain).filter("before <> w").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-@pytest.mark.parametrize("hot_rows", [30, 500, 10**6])
-def test_numbered_equals_the_window_form(spark, skewed, hot_rows):
-    order = [F.col("x").desc_nulls_last(), F.col("u").asc()]
-    got = numbered(skewed, ["k"], order, row="rn", size="n", hot_rows=hot_rows)
-    group = W.partitionBy("k")
-    checked = got.withColumn("rn_w", F.row_number().over(group.orderBy(*order))).withColumn("n_w", F.count("*").over(group))
-    assert checked.count() == 3000
-    assert checked.filter("rn <> rn_w OR n <> n_w").count() == 0
+def test_more_than_a_thousand_hot_groups(spark):
+    df = spark.range(30_000).select((F.col("id") % 1500).alias("k"), F.col("id").alias("u"))
+    got = numbered(df, ["k"], [F.col("u")], row="rn", size="n")
+    assert got.filter("rn <> (u - k) / 1500 + 1 OR n <> 20").count() == 0 and got.count() == 30_000
 
 
 def test_numbered_size_only(spark, skewed):
-    got = numbered(skewed, ["k"], size="n", hot_rows=500)
+    got = numbered(skewed, ["k"], size="n")
     assert got.filter("k = 'hot' AND n <> 1000").count() == 0
     assert got.count() == 3000

@@ -1,4 +1,12 @@
-"""Row numbers and sizes within groups, safe when one group is huge."""
+"""Row numbers, running sums and sizes within groups, safe when one group is huge.
+
+Rows are put in order by one range partitioning on (keys, order) and stored, so
+that slices stay what they are.  A group lies in one slice or in a run of
+neighbouring slices; within a slice a plain window does the work, and what earlier
+slices of the same group hold is added.  A slice continues at most one group, its
+first, so there is at most one such offset for each slice, however many groups
+there are and however large they grow.
+"""
 
 from __future__ import annotations
 
@@ -10,34 +18,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vendora.functions.tiles import _offsets
 from vendora.session import settle
 
-# A group of this many rows is still a normal window partition.
-HOT_ROWS = 1_000_000
-# Hot groups are listed on the driver and broadcast, so their number is limited.
-# Groups past the limit are smaller than every listed one and take the window.
-HOT_LIMIT = 1_000
 
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)])
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The at most ``HOT_LIMIT`` largest groups above ``hot_rows``, or None.
 
-    No group is larger than the table, so a plain count settles most cases."""
-    if df.count() <= hot_rows:
-        return None
-    found = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_size"))
-        .filter(F.col("_size") > hot_rows)
-        .orderBy(F.desc("_size"))
-        .limit(HOT_LIMIT)
-        .collect()
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Add, for each ``{column: whole number}``, its sum over earlier rows of the group."""
+    sliced = settle(
+        df.withColumns({f"_of_{name}": value.cast("long") for name, value in sums.items()})
+        .repartitionByRange(*[F.col(k) for k in keys], *order)
+        .withColumn("_slice", F.spark_partition_id()),
+        "slices",
+    )
+    totals = sliced.groupBy(*keys, "_slice").agg(*[F.sum(f"_of_{name}").alias(f"_of_{name}") for name in sums])
+    # As many rows for a group as it has slices.
+    earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    at = {k: f"_at_{k}" for k in [*keys, "_slice"]}
+    before = (
+        totals.select(
+            *[F.col(k).alias(name) for k, name in at.items()],
+            F.lag(F.lit(True)).over(W.partitionBy(*keys).orderBy("_slice")).alias("_continued"),
+            *[F.sum(f"_of_{name}").over(earlier).alias(f"_before_{name}") for name in sums],
+        )
+        .filter("_continued")
+        .drop("_continued")
+    )
+    within = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    numbered_ = sliced.withColumns({name: F.coalesce(F.sum(f"_of_{name}").over(within), F.lit(0)) for name in sums})
+    return (
+        numbered_.join(F.broadcast(before), _same(list(at), list(at.values())), "left")
+        .withColumns({name: F.col(name) + F.coalesce(f"_before_{name}", F.lit(0)) for name in sums})
+        .select(*df.columns, *sums)
     )
-    if not found:
-        return None
-    schema = df.select(*keys).schema.add("_size", "long")
-    return df.sparkSession.createDataFrame(found, schema)
 
 
 def numbered(
@@ -46,52 +61,15 @@ def numbered(
     order: Sequence[Column] = (),
     row: str | None = None,
     size: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``ROW_NUMBER()`` by ``order`` as ``row`` and ``COUNT(*)`` as ``size`` per group.
 
-    Usual groups go through a window.  Hot groups are cut into range
-    partitions: each slice is numbered on its own and shifted by the number of
-    rows in the slices before it.
-    """
-    hot = hot_groups(df, keys, hot_rows)
-    if hot is None:
-        return _windowed(df, keys, order, row, size)
-
-    listed = {k: f"_hot_{k}" for k in keys}
-    match = reduce(and_, [F.col(k).eqNullSafe(F.col(name)) for k, name in listed.items()])
-    marked = df.join(F.broadcast(hot.withColumnsRenamed(listed)), match, "left").drop(*listed.values())
-    usual = _windowed(marked.filter(F.col("_size").isNull()).drop("_size"), keys, order, row, size)
-
-    large = marked.filter(F.col("_size").isNotNull())
-    if row is not None:
-        large = settle(
-            large.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_slice", F.spark_partition_id()),
-            "slices",
-        )
-        # Range partitions cut few groups: about one row per partition or hot group.
-        before = _offsets(large.groupBy(*keys, "_slice").agg(F.count("*").alias("_rows")), keys)
-        at = {k: f"_at_{k}" for k in [*keys, "_slice"]}
-        match = reduce(and_, [F.col(k).eqNullSafe(F.col(name)) for k, name in at.items()])
-        large = (
-            large.withColumn("_row", F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order)))
-            .join(F.broadcast(before.withColumnsRenamed(at)), match)
-            .withColumn(row, (F.col("_row") + F.col("_before")).cast("int"))
-            .drop("_slice", "_row", "_before", *at.values())
-        )
-    if size is not None:
-        large = large.withColumnRenamed("_size", size)
-    else:
-        large = large.drop("_size")
-    return usual.unionByName(large)
-
-
-def _windowed(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], row: str | None, size: str | None
-) -> DataFrame:
-    group = W.partitionBy(*keys)
+    Sizes are counted before they meet the rows, so a hot group is one row per
+    task of the count, and its join is split at run time."""
     if row is not None:
-        df = df.withColumn(row, F.row_number().over(group.orderBy(*order)))
+        df = running(df, keys, order, {row: F.lit(1)}).withColumn(row, (F.col(row) + 1).cast("int"))
     if size is not None:
-        df = df.withColumn(size, F.count("*").over(group))
+        of = {k: f"_of_{k}" for k in keys}
+        counts = df.groupBy(*[F.col(k).alias(name) for k, name in of.items()]).agg(F.count("*").alias(size))
+        df = df.join(counts, _same(keys, list(of.values()))).drop(*of.values())
     return df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
-from vendora.functions.grouping import HOT_ROWS, numbered
+from vendora.functions.grouping import numbered
 from vendora.functions.metrics import is_core_state, is_true, label_of, region_of, weight_tier
 from vendora.functions.rounding import month_of
 
@@ -123,12 +123,12 @@ def fct_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_reviews(reviews: DataFrame, orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fct_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per review and order, with flags instead of deletions."""
     latest_first = [F.col("review_created_at").desc_nulls_last(), F.col("review_id").asc_nulls_last()]
-    ranked = numbered(reviews, ["review_id"], size="shared_id_count", hot_rows=hot_rows)
+    ranked = numbered(reviews, ["review_id"], size="shared_id_count")
     # Grouped by order last: the join with the orders then needs no shuffle of its own.
-    ranked = numbered(ranked, ["order_id"], latest_first, row="rn", size="order_review_count", hot_rows=hot_rows)
+    ranked = numbered(ranked, ["order_id"], latest_first, row="rn", size="order_review_count")
     bought = orders.select("order_id", "customer_id", "order_purchased_at")
     purchased = F.col("order_purchased_at")
     return ranked.join(bought.hint(GROWS), "order_id", "left").select(
