@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendora.llm import (
+    chat_perspectives,
     decontamination,
     html_content,
     lattice_lm,
@@ -68,6 +69,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_perspectives.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.report(docs, items).drop("n_near_items")
@@ -85,6 +90,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash": op6_simhash,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_chat_perspectives": op8_chat_perspectives,
     "op9_decontamination": op9_decontamination,
     "op10_html_content": op10_html_content,
 }

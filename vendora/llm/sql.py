@@ -87,4 +87,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
 """
 
-SQL = {"op3_quality_rules": OP3, "op9_decontamination": OP9}
+OP8 = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS t
+  FROM conversations
+), sides AS (
+  SELECT DISTINCT conv_id, who AS side FROM given WHERE who <> 'system'
+), seen AS (
+  SELECT rid, g.conv_id, side, turn, who, t,
+         CASE WHEN who = 'system' THEN 'system' WHEN who = side THEN 'assistant' ELSE 'user' END AS role
+  FROM given g JOIN sides s ON g.conv_id IS NOT DISTINCT FROM s.conv_id
+), rendered AS (
+  SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || who ELSE '' END || chr(10)
+            || t || '<|im_end|>' || chr(10) AS segment
+  FROM seen
+), placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+         coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
+  FROM rendered WINDOW w AS (PARTITION BY conv_id, side ORDER BY turn NULLS LAST, who, t, rid)
+)
+SELECT conv_id, side, position::BIGINT AS position, turn, role, CASE WHEN role = 'user' THEN who END AS name, segment, begins,
+       begins + length(segment) AS ends,
+       CASE WHEN role = 'assistant' THEN begins + length('<|im_start|>assistant') + 1 END AS mask_begins,
+       CASE WHEN role = 'assistant' THEN begins + length(segment) - 1 END AS mask_ends
+FROM placed
+"""
+
+SQL = {"op3_quality_rules": OP3, "op8_chat_perspectives": OP8, "op9_decontamination": OP9}
