@@ -145,6 +145,11 @@ def judge(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES, out: s
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """The documents that no rule rejects, with all their columns."""
-    (q,) = fresh(docs, "_quality")
-    return judge(docs, text, rules, q).filter(F.col(q)["kept"]).drop(q)
+    """The documents that no rule rejects, with all their columns.
+
+    One row is generated for each document kept.  A filter would do the same, but
+    the optimizer moves filters below projections and would write out every
+    measure once more for each place that uses it."""
+    q, one = fresh(docs, "_quality", "_one")
+    times = F.array_repeat(F.lit(1), F.col(q)["kept"].cast("int"))
+    return judge(docs, text, rules, q).withColumn(one, F.explode(times)).drop(q, one)
