@@ -8,6 +8,7 @@ from vendora.functions import fixed_values as V
 from vendora.operators import incremental, quality, scd, staging
 from vendora.operators.quality import Rule
 from vendora.sources import csv_files, tables
+from vendora.streaming import order_feed
 
 D = Decimal
 FACT = "order_item_key string, order_date date, order_month timestamp_ntz, order_amount decimal(13,2)"
@@ -78,6 +79,57 @@ def test_merge_keeps_rows_without_a_date(spark, tmp_path):
     assert got == content(fact(spark, [*OLD, ("u", None, 7), ("v", None, 8)]))
 
 
+def test_merge_rejects_unusable_keys(spark, target):
+    for rows, what in (([("b", date(2018, 2, 21), 2), ("b", date(2018, 2, 22), 3)], "not unique"), ([(None, date(2018, 2, 1), 2)], "NULL")):
+        with pytest.raises(ValueError, match=what):
+            incremental.merge(fact(spark, rows), target)
+    assert content(spark.read.schema(FACT).parquet(target)) == content(fact(spark, OLD))
+
+
+def test_merge_that_was_cut_off_is_finished(spark, target, monkeypatch):
+    """The crash comes after the rows are stored and before the table is touched."""
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "replace_partitions", lambda *a: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(OSError):
+            incremental.merge(fact(spark, [("b", date(2018, 3, 1), 20)]), target)
+    assert content(spark.read.schema(FACT).parquet(target)) == content(fact(spark, OLD))
+    got = content(incremental.merge(fact(spark, [("n", date(2018, 1, 6), 5)]), target))
+    assert got == content(fact(spark, [OLD[0], ("b", date(2018, 3, 1), 20), OLD[2], ("n", date(2018, 1, 6), 5)]))
+
+
+def test_merge_by_month_reads_delivered_months_only(spark, target, monkeypatch):
+    plans = []
+    write = incremental.replace_partitions
+    monkeypatch.setattr(incremental, "replace_partitions", lambda *a: (plans.append(a[0]), write(*a)))
+    reads = []
+    months = incremental._months
+    monkeypatch.setattr(incremental, "_months", lambda df: (reads.append(df._jdf.queryExecution().toString()), months(df))[1])
+    incremental.merge(fact(spark, [("c", date(2018, 3, 11), 30)]), target, key_keeps_month=True)
+    assert not any("target" in r and "PartitionFilters: []" in r for r in reads)
+    assert content(spark.read.schema(FACT).parquet(target)) == content(fact(spark, [*OLD[:2], ("c", date(2018, 3, 11), 30)]))
+
+
+def test_lookback_appends_a_key_once(spark, target):
+    twice = fact(spark, [("n", date(2018, 3, 12), 7), ("n", date(2018, 3, 12), 7), ("n", date(2018, 3, 12), 6)])
+    assert content(incremental.append_with_lookback(twice, target)) == content(fact(spark, [*OLD, ("n", date(2018, 3, 12), 7)]))
+
+
+def test_stream_takes_late_lines_and_spares_a_table_that_exists(spark, tmp_path):
+    feed, path = f"{tmp_path}/feed", f"{tmp_path}/t"
+
+    def deliver(rows, checkpoint):
+        df = fact(spark, rows)
+        df.write.mode("append").parquet(feed)
+        order_feed.merge_into(order_feed.line_stream(spark, feed, df.schema), path, f"{tmp_path}/{checkpoint}")
+        return content(spark.read.schema(FACT).parquet(path))
+
+    assert deliver([*OLD, OLD[0]], "c1") == content(fact(spark, OLD))
+    late = ("late", date(2017, 11, 2), 4)
+    assert deliver([late], "c1") == content(fact(spark, [*OLD, late]))
+    incremental.merge(fact(spark, [("own", date(2018, 1, 9), 1)]), path)
+    assert deliver([OLD[1]], "c2") == content(fact(spark, [*OLD, late, ("own", date(2018, 1, 9), 1)]))
+
+
 def test_replace_months(spark, target):
     delivered = fact(spark, [("c2", date(2018, 3, 2), 5)])
     assert content(incremental.replace_months(delivered, target)) == content(fact(spark, [*OLD[:2], ("c2", date(2018, 3, 2), 5)]))
@@ -134,6 +186,41 @@ def test_duplicate_keys_are_rejected(spark):
         scd.by_timestamp(first(spark), twice, "customer_id", "updated_at")
 
 
+def test_null_keys_are_rejected_by_every_type(spark):
+    bad = people(spark, [(None, "a", T2)])
+    target = people(spark, [("1", "a", T1)])
+    for run in (
+        lambda: scd.by_timestamp(first(spark), bad, "customer_id", "updated_at"),
+        lambda: scd.overwrite(target, bad, "customer_id"),
+        lambda: scd.keep_previous(target, bad, "customer_id", "customer_city"),
+        lambda: scd.insert_only(target, bad, "customer_id"),
+    ):
+        with pytest.raises(ValueError, match="NULL"):
+            run()
+
+
+def test_stored_history_over_four_runs(spark, tmp_path):
+    """Runs: first, a change, the same again, another change; a cut-off run leaves no trace."""
+    root = f"{tmp_path}/history"
+    a, b = people(spark, [("1", "sao paulo", T1), ("2", "rio", T1)]), people(spark, [("1", "rio", T2), ("2", "rio", T1)])
+    c = people(spark, [("1", "bahia", T3), ("2", "rio", T1), ("3", "x", T3)])
+
+    def take(source):
+        scd.take_snapshot(
+            source, root, "customer_id", F.col("updated_at"),
+            lambda opened: scd.by_timestamp(opened, source, "customer_id", "updated_at"),
+        )
+        return scd.read_history(spark, root, a.schema)
+
+    plain = scd.first_snapshot(a, F.col("updated_at"))
+    assert versions(take(a)) == versions(plain)
+    plain = scd.by_timestamp(plain, b, "customer_id", "updated_at")
+    assert versions(take(b)) == versions(plain) and versions(take(b)) == versions(plain)
+    a.write.parquet(f"{root}/run=4/is_open=true")  # not published
+    plain = scd.by_timestamp(plain, c, "customer_id", "updated_at")
+    assert versions(take(c)) == versions(plain)
+
+
 def test_validity_is_half_open(spark):
     history = scd.by_timestamp(first(spark), people(spark, [("1", "rio", T2)]), "customer_id", "updated_at")
     facts = spark.createDataFrame([("1", T2), ("1", datetime(2026, 1, 31, 23)), ("1", datetime(2025, 1, 1)), ("9", T2)],
@@ -179,32 +266,21 @@ def test_warnings_do_not_block_publishing(spark):
     assert not quality.may_publish(quality.suite_report({"t": df}, [Rule("t", "x", "not_null")]))
 
 
-def test_all_82_rules_are_declared():
+def test_all_rules_are_declared():
     kinds = [r.kind for r in quality.RULES]
-    assert len(kinds) == 82
+    assert len(kinds) == 84
     assert {k: kinds.count(k) for k in ("not_null", "unique", "accepted_values", "relationships", "value_range")} == {
-        "not_null": 41, "unique": 18, "accepted_values": 12, "relationships": 5, "value_range": 3}
+        "not_null": 42, "unique": 18, "accepted_values": 12, "relationships": 6, "value_range": 3}
 
 
 def test_publishing_switches_versions(spark, tmp_path):
+    assert tables.published(spark, f"{tmp_path}/root", spark.createDataFrame([("a",)], "x string").schema).count() == 0
     for version, rows in (("1", [("a",)]), ("2", [("b",), ("c",)])):
         df = tables.write_table(spark.createDataFrame(rows, "x string"), f"{tmp_path}/v{version}")
         tables.publish(spark, f"{tmp_path}/root", f"{tmp_path}/v{version}")
         assert tables.published(spark, f"{tmp_path}/root", df.schema).count() == len(rows)
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark):
-    left = tables.write_bucketed(spark.range(100).withColumnRenamed("id", "k"), "bucketed_left", "k", 4)
-    right = tables.write_bucketed(spark.range(50).withColumnRenamed("id", "k"), "bucketed_right", "k", 4)
-    try:
-        joined = left.join(right.hint("merge"), "k")
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == 50
-    finally:
-        spark.sql("DROP TABLE bucketed_left")
-        spark.sql("DROP TABLE bucketed_right")
-
-
 # --- CSV ---------------------------------------------------------------------
 
 
@@ -226,6 +302,24 @@ def test_old_column_names_are_aligned_on_load(spark, tmp_path):
     assert (row["customer_zip_code"], row["customer_city"], row["customer_state"]) == ("01151", "sao paulo", "SP")
 
 
+def test_columns_are_taken_by_name_and_must_be_there(spark, tmp_path):
+    head = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state"
+    folder = tmp_path / "x_customers_dataset.csv"
+    folder.mkdir()
+    (folder / "part-1.csv").write_text(f"{head}\n1,u,01000,sp,SP\n")
+    assert csv_files.load_raw(spark, str(tmp_path), "customers").count() == 1
+    (tmp_path / "y_customers_dataset.csv").write_text("extra,customer_state,customer_id,customer_city,customer_zip_code,customer_unique_id\n?,RJ,2,rio,02000,v\n")
+    got = sorted(map(tuple, csv_files.load_raw(spark, str(tmp_path), "customers").collect()))
+    assert got == [("1", "u", "01000", "sp", "SP"), ("2", "v", "02000", "rio", "RJ")]
+    assert csv_files.load_raw(spark, str(tmp_path), "customers", prefix="y_").count() == 1
+    (folder / "part-2.csv").write_text("customer_unique_id,customer_id,customer_zip_code_prefix,customer_city,customer_state\nu,1,01000,sp,SP\n")
+    with pytest.raises(Exception, match="header"):
+        csv_files.load_raw(spark, str(tmp_path), "customers", prefix="x_").collect()
+    (tmp_path / "z_customers_dataset.csv").write_text("customer_id,customer_city\n3,x\n")
+    with pytest.raises(ValueError, match="lacks customer_unique_id"):
+        csv_files.load_raw(spark, str(tmp_path), "customers", prefix="z_")
+
+
 def test_present_contract_name_wins_over_the_old_one(spark):
     df = spark.createDataFrame([("a", "b")], "product_category string, product_category_name string")
     assert csv_files.align_columns(df, {"product_category": "product_category_name"}).columns == df.columns

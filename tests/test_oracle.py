@@ -4,6 +4,8 @@ import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from vendora.oracle import ORACLE
+from vendora.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,13 +16,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry_returns_months(spark):
     assert entry(spark).count() == 80
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    assert differences(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLE[name]) == []

@@ -70,14 +70,24 @@ def dim_products_translated(dim: DataFrame, translation: DataFrame) -> DataFrame
 
 def dim_geography(geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix.  Equally frequent names resolve to the smallest."""
-    return geolocation.groupBy("zip_code_prefix").agg(
+    zips = geolocation.groupBy("zip_code_prefix").agg(
         F.round(F.avg("latitude"), 6).alias("latitude_avg"),
         F.round(F.avg("longitude"), 6).alias("longitude_avg"),
-        F.mode("geo_city", deterministic=True).alias("geo_city"),
-        F.mode("geo_state", deterministic=True).alias("geo_state"),
         F.count("*").alias("measurement_count"),
         F.round(F.stddev_samp("latitude"), 6).alias("latitude_stddev"),
     )
+    for name in ("geo_city", "geo_state"):
+        usual = _most_frequent(geolocation, name).withColumnRenamed("zip_code_prefix", "_zip")
+        zips = zips.join(usual, F.col("zip_code_prefix").eqNullSafe(F.col("_zip")), "left").drop("_zip")
+    return zips.select(
+        "zip_code_prefix", "latitude_avg", "longitude_avg", "geo_city", "geo_state", "measurement_count", "latitude_stddev"
+    )
+
+
+def _most_frequent(geolocation: DataFrame, name: str) -> DataFrame:
+    """Names are counted per zip first, so no zip's names meet in one buffer."""
+    counts = geolocation.filter(F.col(name).isNotNull()).groupBy("zip_code_prefix", name).agg(F.count("*").alias("n"))
+    return counts.groupBy("zip_code_prefix").agg(F.min_by(name, F.struct(-F.col("n"), F.col(name))).alias(name))
 
 
 def fct_orders(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -3,17 +3,24 @@
 The target is a Parquet table partitioned by ``order_month``.  Every function
 takes the target's path and the full or delivered source rows, changes only the
 partitions it has to, and returns the table as it is afterwards.
+
+A merge first stores the rows of the months it will replace in the table's own
+``_pending`` folder, which readers of the table pass over.  If it is cut off after
+that, the next merge finishes it before its own work (:func:`recover`).
 """
 
 from __future__ import annotations
 
 from datetime import date, timedelta
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vendora.functions.fixed_values import LOOKBACK_DAYS
-from vendora.session import settle
+from vendora.operators.keys import reject_unusable
+from vendora.session import exists, remove
 from vendora.sources.tables import append_rows, read_table, replace_partitions, write_table
 
 PARTITION = "order_month"
@@ -55,39 +62,70 @@ def append_new(source: DataFrame, path: str) -> DataFrame:
 
 
 def append_with_lookback(source: DataFrame, path: str, days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Re-read the last days as well and append the keys not loaded yet."""
+    """Re-read the last days as well and append the keys not loaded yet, each once."""
     spark = source.sparkSession
     target = read_table(spark, path, source.schema)
     mark = high_water_mark(target)
     recent = newer_than(source, mark, days)
     loaded = newer_than(target, mark, days).select(KEY)
-    append_rows(recent.join(loaded, KEY, "left_anti"), path, PARTITION)
+    append_rows(one_per_key(recent.join(loaded, KEY, "left_anti")), path, PARTITION)
     return read_table(spark, path, source.schema)
 
 
-def merge(delta: DataFrame, path: str) -> DataFrame:
-    """Replace rows with a known key, insert the others.
+def one_per_key(rows: DataFrame) -> DataFrame:
+    """One row of each key; of different ones the greatest, so that the choice is stable.
+
+    Copies of a key are combined before they are shuffled."""
+    others = [c for c in rows.columns if c != KEY]
+    return (
+        rows.groupBy(KEY).agg(F.max(F.struct(*others)).alias("_row")).select(*[
+            F.col(KEY) if c == KEY else F.col(f"_row.{c}").alias(c) for c in rows.columns
+        ])
+    )
+
+
+def merge(delta: DataFrame, path: str, key_keeps_month: bool = False) -> DataFrame:
+    """Replace rows with a known key, insert the others; a key may come once.
 
     Only months that hold a delivered or a replaced row are rewritten; a key
-    that moved to another month touches both.  The new rows are durable
-    elsewhere before the first file of the table is replaced."""
+    that moved to another month touches both.  To find such keys, the key column
+    of the whole table is read.  Where a key cannot move (its month follows from
+    a moment that never changes), ``key_keeps_month`` says so, and no month but the
+    delivered ones is read."""
     spark = delta.sparkSession
+    reject_unusable(delta, KEY, "delivered rows")
+    recover(spark, path, delta.schema)
     target = read_table(spark, path, delta.schema)
     keys = delta.select(KEY)
-    replaced = target.join(keys, KEY, "left_semi").select(PARTITION)
     # One row per calendar month.
-    touched = _months(replaced.unionByName(delta.select(PARTITION)))
+    touched = _months(delta)
+    if not key_keeps_month:
+        touched |= _months(target.join(keys, KEY, "left_semi"))
     kept = target.filter(_in_months(touched)).join(keys, KEY, "left_anti")
-    rewritten = settle(kept.unionByName(delta), "merge")
-    if touched <= _months(rewritten):
-        replace_partitions(rewritten, path, PARTITION)
-    else:
-        # All keys of a month moved away: replacing partitions would keep it.
-        whole = settle(target.filter(~_in_months(touched)).unionByName(rewritten), "merge")
-        write_table(whole, path, PARTITION)
+    pending = f"{path}/_pending/rows"
+    remove(spark, pending)
+    kept.unionByName(delta).write.parquet(pending)
+    rewritten = spark.read.schema(delta.schema).parquet(pending)
+    emptied = touched - _months(rewritten)
+    spark.createDataFrame([(m,) for m in emptied], "month timestamp_ntz").write.mode("overwrite").parquet(
+        f"{path}/_pending/emptied"
+    )
+    recover(spark, path, delta.schema)
     return read_table(spark, path, delta.schema)
 
 
+def recover(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Replace the months of a stored, unfinished merge; doing it twice changes nothing."""
+    pending = f"{path}/_pending"
+    # The list of emptied months is written last: with it, the merge is known in full.
+    if exists(spark, f"{pending}/emptied/_SUCCESS"):
+        replace_partitions(spark.read.schema(schema).parquet(f"{pending}/rows"), path, PARTITION)
+        for row in spark.read.parquet(f"{pending}/emptied").collect():  # calendar months
+            name = "__HIVE_DEFAULT_PARTITION__" if row.month is None else quote(f"{row.month}", safe=" -")
+            remove(spark, f"{path}/{PARTITION}={name}")
+    remove(spark, pending)
+
+
 def replace_months(delivered: DataFrame, path: str) -> DataFrame:
     """Delete and insert: the months that were delivered again are replaced."""
     replace_partitions(delivered, path, PARTITION)

@@ -1,11 +1,21 @@
-"""Slowly changing dimensions: overwrite, previous value, full history."""
+"""Slowly changing dimensions: overwrite, previous value, full history.
+
+A stored history has one folder for each snapshot, with the versions that it closed
+and the versions that were open after it.  Closed versions are written once; a
+snapshot reads and writes open ones only, and shows once it is published.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructType, TimestampNTZType
+
+from vendora.operators.keys import reject_unusable
+from vendora.session import remove
+from vendora.sources.tables import newest_version, publish
 
 # --- Fixed values: names of the validity columns -----------------------------
 VALID_FROM = "dbt_valid_from"
@@ -13,7 +23,7 @@ VALID_TO = "dbt_valid_to"
 
 
 def first_snapshot(source: DataFrame, valid_from: Column) -> DataFrame:
-    """Every source row as an open version."""
+    """Every source row as an open version; see :func:`take_snapshot` for the check of keys."""
     return source.select(
         *source.columns,
         valid_from.cast("timestamp_ntz").alias(VALID_FROM),
@@ -41,13 +51,14 @@ def _apply(history: DataFrame, source: DataFrame, key: str, changed: Column, sin
     """Close changed versions, open their successors, keep everything else.
 
     A key that is gone from the source keeps its open version."""
-    reject_duplicates(source, key)
+    reject_unusable(source, key, "snapshot source")
     columns = source.columns
-    opened = current(history)
-    paired = opened.alias("old").join(source.alias("new"), F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
+    opened = current(history).withColumn("_known", F.lit(True)).alias("old")
+    given = source.withColumn("_given", F.lit(True)).alias("new")
+    paired = opened.join(given, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
     since = since.cast("timestamp_ntz")
-    is_new = F.col(f"old.{key}").isNull()
-    is_changed = ~is_new & F.col(f"new.{key}").isNotNull() & changed
+    is_new = F.col("_known").isNull()
+    is_changed = ~is_new & F.col("_given").isNotNull() & changed
 
     def version(side: str, valid_from: Column, valid_to: Column) -> Column:
         fields = [F.col(f"{side}.{c}").alias(c) for c in columns]
@@ -64,10 +75,42 @@ def _apply(history: DataFrame, source: DataFrame, key: str, changed: Column, sin
     return closed.unionByName(versions)
 
 
-def reject_duplicates(source: DataFrame, key: str) -> None:
-    twice = source.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"{key} is not unique in the snapshot source: {twice[0][key]!r}")
+# --- The stored history ---------------------------------------------------------
+
+
+def take_snapshot(
+    source: DataFrame, root: str, key: str, valid_from: Column, step: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Bring the history below ``root`` up to date with ``source``.
+
+    The first snapshot opens every row at ``valid_from``; later ones apply ``step`` (one of
+    :func:`by_timestamp` and :func:`by_check`) to the open versions.  A run that
+    is cut off is not published, and the next one writes its folder anew."""
+    spark = source.sparkSession
+    run, _ = newest_version(spark, root)
+    if run == 0:
+        reject_unusable(source, key, "snapshot source")
+        versions = first_snapshot(source, valid_from)
+    else:
+        versions = step(_stored(spark, root, source.schema, run).filter("is_open").drop("run", "is_open"))
+    path = f"{root}/run={run + 1}"
+    versions.withColumn("is_open", F.col(VALID_TO).isNull()).write.mode("overwrite").partitionBy("is_open").parquet(path)
+    publish(spark, root, path)
+    # Readers may still be at the run before; what was open earlier shows nowhere.
+    remove(spark, f"{root}/run={run - 1}/is_open=true")
+
+
+def _stored(spark: SparkSession, root: str, schema: StructType, run: int) -> DataFrame:
+    whole = StructType([*schema.fields]).add(VALID_FROM, TimestampNTZType()).add(VALID_TO, TimestampNTZType())
+    whole = whole.add("run", LongType()).add("is_open", BooleanType())
+    rows = spark.read.schema(whole).option("basePath", root).parquet(f"{root}/run=*")
+    return rows.filter((F.col("is_open") & (F.col("run") == run)) | (~F.col("is_open") & (F.col("run") <= run)))
+
+
+def read_history(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """All versions as of the last published snapshot; ``schema`` is the source's."""
+    run, _ = newest_version(spark, root)
+    return _stored(spark, root, schema, run).drop("run", "is_open")
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -95,11 +138,13 @@ def point_in_time(facts: DataFrame, history: DataFrame, key: str, moment: str, c
 
 def overwrite(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Type 1: the newest values, no history."""
+    reject_unusable(source, key, "source")
     return target.join(source.select(key), key, "left_anti").select(*source.columns).unionByName(source)
 
 
 def keep_previous(target: DataFrame, source: DataFrame, key: str, column: str) -> DataFrame:
     """Type 3: the newest values plus the value before the last change."""
+    reject_unusable(source, key, "source")
     previous = f"prev_{column}"
     earlier = F.col(f"old.{previous}") if previous in target.columns else F.lit(None).cast("string")
     paired = source.alias("new").join(target.alias("old"), F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
@@ -114,4 +159,5 @@ def keep_previous(target: DataFrame, source: DataFrame, key: str, column: str) -
 
 def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Type 0: a known key never changes."""
+    reject_unusable(source, key, "source")
     return target.unionByName(source.join(target.select(key), key, "left_anti").select(*target.columns))

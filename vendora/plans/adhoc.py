@@ -91,11 +91,14 @@ def region_flow(fct_orders: DataFrame, dim_customers: DataFrame, dim_sellers: Da
 
 
 def cross_state_share(fct_orders: DataFrame, dim_customers: DataFrame, dim_sellers: DataFrame) -> DataFrame:
-    """Share of lines whose seller sits in another state, by customer state."""
+    """Share of lines whose seller sits in another state, by customer state.
+
+    Lines of an unknown customer are a group of their own; a line with an
+    unknown party counts as a line and not as a crossing."""
     pairs = (
         _by_parties(fct_orders)
-        .join(dim_customers.select("customer_id", "customer_state"), "customer_id")
-        .join(dim_sellers.select("seller_id", "seller_state"), "seller_id")
+        .join(dim_customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .join(dim_sellers.select("seller_id", "seller_state"), "seller_id", "left")
     )
     crossing = F.when(F.col("customer_state") != F.col("seller_state"), F.col("lines")).otherwise(F.lit(0))
     counted = pairs.groupBy("customer_state").agg(
@@ -110,7 +113,8 @@ def delivery_distance(
     """Mean seller-to-buyer distance by seller state, over zip centroids.
 
     Lines are folded to pairs of zip codes, so each distance is worked out once
-    and weighted by its lines.  Lines without both centroids are counted apart."""
+    and weighted by its lines.  Lines without both centroids, or without a known
+    buyer or seller, are counted apart; those without a seller have no state."""
     def centroid(prefix: str) -> DataFrame:
         return dim_geography.select(
             F.col("zip_code_prefix").alias(f"{prefix}_zip"),
@@ -122,8 +126,8 @@ def delivery_distance(
     shops = dim_sellers.select("seller_id", "seller_state", F.col("seller_zip_code_prefix").alias("from_zip"))
     routes = (
         _by_parties(fct_orders)
-        .join(buyers, "customer_id")
-        .join(shops, "seller_id")
+        .join(buyers, "customer_id", "left")
+        .join(shops, "seller_id", "left")
         .groupBy("seller_state", "from_zip", "to_zip")
         .agg(F.sum("lines").alias("lines"))
         .join(centroid("from"), "from_zip", "left")

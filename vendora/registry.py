@@ -240,9 +240,10 @@ def stg_geolocation(spark, d):
 
 @query
 def stg_category_translation(spark, d):
-    """The translations of the categories that the products carry."""
-    carried = _products(spark, d).select(F.col("product_category").alias("category_name_pt")).distinct()
-    return _translation(spark, d).join(carried, "category_name_pt", "left_semi")
+    """The translation file, written with the categories that the products carry, read and staged."""
+    path = work_path(spark, "translation")
+    csv_files.export_csv(raw.category_translation(spark, d), f"{path}/product_category_name_translation.csv")
+    return staging.STAGING["category_translation"](csv_files.load_raw(spark, path, "category_translation"))
 
 
 # --- Dimensions and facts ----------------------------------------------------
@@ -409,6 +410,18 @@ def _corrected(fact: DataFrame) -> DataFrame:
     )
 
 
+def _misdated(fact: DataFrame) -> DataFrame:
+    wrong = F.col("order_status") == "approved"
+    return fact.withColumns(
+        {
+            "order_date": F.when(wrong, F.add_months("order_date", -1)).otherwise(F.col("order_date")),
+            "order_month": F.when(
+                wrong, F.add_months("order_month", -1).cast("timestamp_ntz")
+            ).otherwise(F.col("order_month")),
+        }
+    )
+
+
 def _started(spark, d, rows) -> tuple[DataFrame, str]:
     """The stored fact of run 2 and the path of the table that run 1 loaded."""
     fact = settle(_fct_orders(spark, d, with_line_ids=True), "fct_orders")
@@ -432,13 +445,15 @@ def inc_append(spark, d):
 @query
 def inc_lookback_dedup(spark, d):
     fact, path = _started(spark, d, lambda f: _on_time(_run_1(f)))
-    return incremental.append_with_lookback(_corrected(fact), path)
+    delivered = _corrected(fact)
+    return incremental.append_with_lookback(delivered.unionByName(delivered), path)
 
 
 @query
 def inc_merge(spark, d):
-    """Late, changed and new lines are delivered and merged by key."""
-    fact, path = _started(spark, d, lambda f: _on_time(_run_1(f)))
+    """Late, changed and new lines are delivered and merged by key.  Lines of run 1
+    whose approved orders were stored a month too early move to their month."""
+    fact, path = _started(spark, d, lambda f: _misdated(_on_time(_run_1(f))))
     new = F.col("order_date") >= F.lit(RUN_1_BEFORE).cast("date")
     late_or_changed = (F.col("freight_value") <= 0) | (F.col("order_status") == "approved")
     return incremental.merge(_corrected(fact).filter(new | late_or_changed), path)
@@ -460,13 +475,16 @@ def inc_missed_rows(spark, d):
 
 @query
 def stream_inc_fact(spark, d):
-    """Run 1 and then run 2 arrive as files; run 2 repeats the last days."""
+    """Lines of run 1 arrive as files, then those of run 2 with the last days again and
+    lines that are years late; a restart with a new checkpoint delivers all once more."""
     fact = settle(_fct_orders(spark, d, with_line_ids=True), "fct_orders")
     feed, path, checkpoint = (work_path(spark, p) for p in ("feed", "target", "stream"))
     since = F.date_sub(F.lit(RUN_1_BEFORE).cast("date"), 5)
-    for delivery in (_run_1(fact), fact.filter(F.col("order_date") >= since)):
+    late = F.col("freight_value") <= 0
+    for delivery in (_on_time(_run_1(fact)), fact.filter((F.col("order_date") >= since) | late)):
         delivery.write.mode("append").parquet(feed)
         order_feed.merge_into(order_feed.line_stream(spark, feed, fact.schema), path, checkpoint)
+    order_feed.merge_into(order_feed.line_stream(spark, feed, fact.schema), path, work_path(spark, "stream"))
     return order_feed.monthly_gmv(tables.read_table(spark, path, fact.schema))
 
 
@@ -488,9 +506,18 @@ def _moved(customers: DataFrame, moved_at: str) -> DataFrame:
 
 
 def _history(spark, d, first: str, second: str) -> DataFrame:
+    """Three stored snapshots, the last one of an unchanged source."""
     before = _customers(spark, d, first)
-    opened = scd.first_snapshot(before, F.col("updated_at"))
-    return scd.by_timestamp(opened, _moved(before, second), "customer_id", "updated_at")
+    root = work_path(spark, "history")
+    for source in (before, _moved(before, second), _moved(before, second)):
+        scd.take_snapshot(
+            source,
+            root,
+            "customer_id",
+            F.col("updated_at"),
+            lambda opened, source=source: scd.by_timestamp(opened, source, "customer_id", "updated_at"),
+        )
+    return scd.read_history(spark, root, before.schema)
 
 
 @query
@@ -502,8 +529,18 @@ def scd2_timestamp(spark, d):
 def scd2_check(spark, d):
     before = _customers(spark, d).drop("updated_at")
     after = _moved(_customers(spark, d), MOVE_TS).drop("updated_at")
-    opened = scd.first_snapshot(before, at(LOAD_TS))
-    return scd.by_check(opened, after, "customer_id", ["customer_city", "customer_state"], at(MOVE_TS))
+    root = work_path(spark, "history")
+    for source in (before, after, after):
+        scd.take_snapshot(
+            source,
+            root,
+            "customer_id",
+            at(LOAD_TS),
+            lambda opened, source=source: scd.by_check(
+                opened, source, "customer_id", ["customer_city", "customer_state"], at(MOVE_TS)
+            ),
+        )
+    return scd.read_history(spark, root, before.schema)
 
 
 @query
@@ -596,13 +633,9 @@ def dq_rfm_completeness(spark, d):
 @query
 def dq_warn_orders_without_items(spark, d):
     """Stays visible as a warning: orders whose amount no mart can see."""
-    lost = profiling.unmatched_rows(_orders(spark, d), _items(spark, d), "order_id", "failures")
-    return lost.select(
-        F.lit("orders_without_items").alias("rule"),
-        F.lit(quality.WARN).alias("severity"),
-        "failures",
-        F.when(F.col("failures") > 0, quality.WARN).otherwise("pass").alias("status"),
-    )
+    rules = [r for r in quality.RULES if r.severity == quality.WARN]
+    lost = quality.suite_report({"stg_orders": _orders(spark, d), "stg_order_items": _items(spark, d)}, rules)
+    return lost.select(F.lit("orders_without_items").alias("rule"), "severity", "failures", "status")
 
 
 @query
@@ -625,7 +658,7 @@ def dq_suite_report(spark, d):
 
 @query
 def dq_gate(spark, d):
-    """Write the payment fact as a version, check it, publish it if no error."""
+    """Write versions of the payment fact, check each, publish it if no error."""
     root = work_path(spark, "published")
     version = f"{root}/fct_payments/1"
     written = tables.write_table(_fct_payments(spark, d), version, "order_month")
@@ -633,12 +666,27 @@ def dq_gate(spark, d):
     report = settle(quality.suite_report({"fct_payments": written}, rules), "report")
     if quality.may_publish(report):
         tables.publish(spark, root, version)
+    # A second version loses the type of vouchers.  It is checked and held back.
+    spoiled = tables.write_table(_spoiled(_fct_payments(spark, d)), f"{root}/fct_payments/2", "order_month")
+    if quality.may_publish(quality.suite_report({"fct_payments": spoiled}, rules)):
+        tables.publish(spark, root, f"{root}/fct_payments/2")
     public = tables.published(spark, root, written.schema)
     return public.groupBy("payment_type").agg(
         F.count("*").alias("payment_count"), F.sum("payment_value").cast(marts.TOTAL).alias("paid")
     )
 
 
+def _spoiled(payments: DataFrame) -> DataFrame:
+    return payments.withColumn("payment_type", F.when(F.col("payment_type") != "voucher", F.col("payment_type")))
+
+
+@query
+def dq_gate_blocked(spark, d):
+    """Why the gate holds back a version without the type of vouchers."""
+    rules = [r for r in quality.RULES if r.table == "fct_payments"]
+    return quality.suite_report({"fct_payments": settle(_spoiled(_fct_payments(spark, d)), "fct_payments")}, rules)
+
+
 # --- Audits ------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -42,14 +44,17 @@ def work_path(spark: SparkSession, label: str) -> str:
     """A new path below the folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is taken only by a local-mode session that names
-    none; executors on other machines could not read it.
+    none; executors on other machines could not read it.  It goes when the
+    process ends.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="vendora-"))
+        own = tempfile.mkdtemp(prefix="vendora-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -65,3 +70,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(settled: DataFrame) -> None:
+    """Remove the files of a settled table that nothing will read again."""
+    for path in {f.rsplit("/", 1)[0] for f in settled.inputFiles()}:
+        remove(settled.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whichever store it is; a missing one is no error."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

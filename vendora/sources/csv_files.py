@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vendora.functions.unions import union_all
 from vendora.sources.contracts import CONTRACTS, Contract
 
 
 def read_csv(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
-    """Header CSV with every column as text, so leading zeros survive."""
-    return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", free_text)
-        .csv(path)
-    )
+    """Header CSV with every column as text, so leading zeros survive.
+
+    The schema is that of the first header, declared, so that Spark checks the
+    header of every further file of the folder against it and fails on a
+    different one; it would else bind their columns by position."""
+    plain = spark.read.option("header", True).option("escape", '"').option("multiLine", free_text)
+    names = plain.csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in names])
+    return plain.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def align_columns(df: DataFrame, old_names: dict[str, str]) -> DataFrame:
@@ -27,16 +30,36 @@ def align_columns(df: DataFrame, old_names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(renames)
 
 
-def load_raw(spark: SparkSession, raw_path: str, table: str) -> DataFrame:
-    """One raw table under its contract names; a missing optional file is empty."""
+def load_raw(spark: SparkSession, raw_path: str, table: str, prefix: str | None = None) -> DataFrame:
+    """One raw table in its contract's columns; a missing optional file is empty.
+
+    ``prefix`` is what the publisher puts before the file name; without it the
+    only file with any prefix is taken.  Several files of the name (deliveries)
+    are read each by its own header and put together by name."""
     contract = CONTRACTS[table]
-    try:
-        found = read_csv(spark, f"{raw_path}/{contract.file}", contract.free_text)
-    except AnalysisException as error:
-        if contract.optional and error.getCondition() == "PATH_NOT_FOUND":
+    pattern = contract.file if prefix is None else contract.file.replace("*_", prefix)
+    paths = matching(spark, f"{raw_path}/{pattern}")
+    if not paths:
+        if contract.optional:
             return empty(spark, contract)
-        raise
-    return align_columns(found, contract.old_names)
+        raise FileNotFoundError(f"PATH_NOT_FOUND: {raw_path}/{pattern}")
+    found = [_in_contract(read_csv(spark, path, contract.free_text), contract, path) for path in paths]
+    return reduce(DataFrame.unionByName, found)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files or folders that match, in whichever store they are."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(status.getPath()) for status in store.globStatus(glob) or [])
+
+
+def _in_contract(df: DataFrame, contract: Contract, path: str) -> DataFrame:
+    aligned = align_columns(df, contract.old_names)
+    missing = [c for c in contract.columns if c not in aligned.columns]
+    if missing:
+        raise ValueError(f"{path} lacks {', '.join(missing)}")
+    return aligned.select(*contract.columns)
 
 
 def empty(spark: SparkSession, contract: Contract) -> DataFrame:

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from vendora.functions.grouping import numbered
 from vendora.functions.metrics import label_of
-from vendora.sources.contracts import CONTRACTS
 
 # --- Fixed values: how driver codes map to marketplace codes -----------------
-STATES = (
-    "SP RJ MG ES PR SC RS BA PE CE RN DF GO MT MS AM PA MA PB PI SE AL TO RO AC"
-).split()
+STATES = [
+    "SP", "RJ", "MG", "ES", "PR", "SC", "RS", "BA", "PE", "CE", "RN", "DF", "GO",
+    "MT", "MS", "AM", "PA", "MA", "PB", "PI", "SE", "AL", "TO", "RO", "AC",
+]
 STATUS_BY_FLAG = {"F": "delivered", "P": "canceled"}
 STATUS_BY_PRIORITY = {"1": "shipped", "2": "invoiced", "3": "processing", "4": "created", "5": "approved"}
 CATEGORY_BY_TYPE = {
@@ -180,7 +180,10 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(TRANSLATIONS, CONTRACTS["category_translation"].schema)
+    """The categories that products carry, with their English names."""
+    english = F.create_map(*[F.lit(x) for pair in TRANSLATIONS for x in pair])
+    carried = products(spark, sf_dir).filter("product_category_name IS NOT NULL").select("product_category_name").distinct()
+    return carried.withColumn("product_category_name_english", english[F.col("product_category_name")])
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vendora.session import exists
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Rebuild the table at ``path`` and return it.
@@ -42,27 +44,33 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-    """A catalog table bucketed by ``key``: joins and groupings on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
-
+VERSIONS = "version long, path string"
 
-VERSIONS = "path string, published_at timestamp"
 
-
-def publish(spark: SparkSession, root: str, version_path: str) -> None:
-    """Make ``version_path`` the published version below ``root``.
+def publish(spark: SparkSession, root: str, version_path: str) -> int:
+    """Make ``version_path`` the newest published version below ``root``; returns its number.
 
     Publishing adds one small row that names the version; no data is copied or
-    moved, and a reader sees either the old or the new version.
+    moved, and a reader sees either the old or the new version.  One process
+    publishes at a time.
     """
-    spark.range(1).select(
-        F.lit(version_path).alias("path"), F.current_timestamp().alias("published_at")
-    ).write.mode("append").json(f"{root}/_versions")
+    version = newest_version(spark, root)[0] + 1
+    spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(version_path).alias("path")).write.mode(
+        "append"
+    ).json(f"{root}/_versions")
+    return version
 
 
-def published(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+def newest_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and path of the newest version; 0 and None before the first one."""
+    if not exists(spark, f"{root}/_versions"):
+        return 0, None
     versions = spark.read.schema(VERSIONS).json(f"{root}/_versions")
-    newest = versions.agg(F.max_by("path", "published_at").alias("path")).first()["path"]
-    return read_table(spark, newest, schema)
+    row = versions.agg(F.max("version").alias("version"), F.max_by("path", "version").alias("path")).first()
+    return row["version"] or 0, row["path"]
+
+
+def published(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The newest version, or an empty table before the first one."""
+    _, path = newest_version(spark, root)
+    return spark.createDataFrame([], schema) if path is None else read_table(spark, path, schema)

@@ -1,4 +1,4 @@
-"""The order fact as a stream: late lines up to seven days, merged by key."""
+"""The order fact as a stream of files, merged by key: a line may come at any time, again and again."""
 
 from __future__ import annotations
 
@@ -6,38 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vendora.functions.fixed_values import LOOKBACK_DAYS
 from vendora.functions.metrics import gmv
-from vendora.operators.incremental import KEY, full_refresh, merge
-from vendora.session import settle
-
-EVENT_TIME = "event_time"
+from vendora.operators.incremental import full_refresh, merge, one_per_key
+from vendora.session import discard, exists, settle
 
 
 def line_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """Order lines from new files.  A line delivered twice passes once; a line
-    more than the look-back behind the newest one seen is too late."""
-    return (
-        spark.readStream.schema(schema)
-        .parquet(folder)
-        .withColumn(EVENT_TIME, F.col("order_date").cast("timestamp"))
-        .withWatermark(EVENT_TIME, f"{LOOKBACK_DAYS} days")
-        .dropDuplicatesWithinWatermark([KEY])
-    )
+    """Order lines from new files.  No state is kept and nothing is too late: the
+    table that the lines are merged into knows which it has."""
+    return spark.readStream.schema(schema).parquet(folder)
 
 
 def merge_into(lines: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is there and stop.  A batch that is replayed after a failure
-    merges the same keys again and changes nothing."""
+    merges the same keys again and changes nothing; a table that exists is
+    merged into, whatever the checkpoint."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Written once: the merge reads the rows several times, and each read of
-        # the batch itself would run the deduplication again.
-        rows = settle(batch.drop(EVENT_TIME), "batch")
-        if batch_id == 0:
-            full_refresh(rows, path)
+        # Written once: the merge reads the rows several times.
+        rows = settle(one_per_key(batch), "batch")
+        if exists(batch.sparkSession, f"{path}/_SUCCESS"):
+            # A line's month is that of its purchase, which never changes.
+            merge(rows, path, key_keeps_month=True)
         else:
-            merge(rows, path)
+            full_refresh(rows, path)
+        discard(rows)
 
     query = (
         lines.writeStream.foreachBatch(apply)
