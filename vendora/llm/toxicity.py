@@ -29,7 +29,6 @@ columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,7 +41,7 @@ from vendora.llm.common import arrow_map
 from vendora.llm.quality_classifier import labelled_texts, sample_of, sigmoid
 from vendora.session import settle
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 TIED = 20.0
 # Share of toxic documents among those with a tied word, and words it follows there.
 PURE = 0.9
@@ -150,44 +149,53 @@ def _ratio(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
     g = 2 * (g - part(toxic, n_toxic, both) - part(clean, n_clean, both))
     return g if toxic * n_clean > clean * n_toxic else -g
 
+def _coded(texts: Iterator[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The different tokens, and each text as their numbers; every text ends with an end."""
+    known: dict[str, int] = {}
+    out = []
+    for t in texts:
+        out.append(np.array([known.setdefault(w, len(known)) for w in [*_TOKENS.findall(t.lower()), "."]], np.int32))
+    return list(known), out
+
+
 
 def train(examples: list[tuple[str, int]]) -> Field:
-    texts = [[w.lower() for w in _TOKENS.findall(t)] for t, _ in examples]
     labels = [y for _, y in examples]
     n_toxic, n_clean = sum(labels), len(labels) - sum(labels)
     model = Field()
     if not n_toxic or not n_clean:
         return model
-    counts, around = (Counter(), Counter()), {}
-    for words, y in zip(texts, labels, strict=True):
-        counts[y].update({f for w in set(words) - _ENDS for f in features_of(w)})
-        for before, w in zip(["", *words], words, strict=False) if y else ():
-            for f in features_of(w) if w not in _ENDS else ():
-                around.setdefault(f, set()).add(before)
-    ratios = {f: _ratio(k, counts[0][f], n_toxic, n_clean) for f, k in counts[1].items() if k > 1}
+    words, texts = _coded(t for t, _ in examples)
+    is_end = np.array([w in _ENDS for w in words])
+    name_of: dict[str, int] = {}
+    of_word = np.array([[name_of.setdefault(f, len(name_of)) for f in features_of(w)] for w in words], np.int32)
+    names = list(name_of)
+    del name_of
+    counts = np.zeros((2, len(names)), np.int64)
+    pairs = []
+    for text, y in zip(texts, labels, strict=True):
+        real = text[~is_end[text]]
+        counts[y][np.unique(of_word[real])] += 1
+        if y:  # each feature with the token before it
+            before = np.append(-1, text[:-1])[~is_end[text]].astype(np.int64) + 1
+            pairs.append(np.unique(before[:, None] * len(names) + of_word[real]))
+    around = np.bincount(np.unique(np.concatenate(pairs)) % len(names), minlength=len(names))
+    some = np.flatnonzero(counts[1] > 1)
+    ratios = np.zeros(len(names))
+    ratios[some] = [_ratio(int(counts[1][f]), int(counts[0][f]), n_toxic, n_clean) for f in some]
     # Copies of one toxic text repeat all its words, but in the same company.
-    tied = {
-        f
-        for f, g in ratios.items()
-        if g > TIED and counts[1][f] >= PURE * (counts[0][f] + counts[1][f]) and len(around[f]) >= CONTEXTS
-    }
-    used = sorted(sorted(ratios, key=lambda f: -abs(ratios[f]))[:MOST_FEATURES])
-    number = {f: i + 1 for i, f in enumerate(used)}
+    tied = (ratios > TIED) & (counts[1] >= PURE * counts.sum(0)) & (around >= CONTEXTS)
+    used = np.sort(some[np.argsort(-np.abs(ratios[some]), kind="stable")[:MOST_FEATURES]])
+    number = np.zeros(len(names), np.int32)
+    number[used] = np.arange(len(used)) + 1
 
     # Chains with a tied word, from documents of either kind, and a share of the
     # others, each of which stands for as many as were left out.
-    known: dict[str, tuple[int, int, int, bool]] = {}
-    for words in texts:
-        for w in words:
-            if w not in known and w not in _ENDS:
-                fs = features_of(w)
-                known[w] = (*(number.get(f, 0) for f in fs), not tied.isdisjoint(fs))
-    known |= dict.fromkeys(_ENDS, (0, 0, 0, False))
-    rows = np.array([known[w] for words in texts for w in [*words, "."]], np.int64)
-    ends = np.array([w in _ENDS for words in texts for w in [*words, "."]])
-    toxic = np.repeat(np.array(labels, bool), [len(t) + 1 for t in texts])
-    starts, lengths = chains(ends)
-    tied_before = np.concatenate([[0], np.cumsum(rows[:, 3])])
+    tied_word = tied[of_word].any(1) & ~is_end
+    tokens = np.concatenate(texts)
+    toxic = np.repeat(np.array(labels, bool), [len(t) for t in texts])
+    starts, lengths = chains(is_end[tokens])
+    tied_before = np.concatenate([[0], np.cumsum(tied_word[tokens])])
     hot = tied_before[starts + lengths] > tied_before[starts]
     plain = np.flatnonzero(~hot)
     kept = plain[:: max(1, len(plain) // PLAIN_CHAINS)]
@@ -198,9 +206,9 @@ def train(examples: list[tuple[str, int]]) -> Field:
     take = np.arange(moved[-1]) - np.repeat(moved[:-1], lengths + 1) + np.repeat(starts, lengths + 1)
     real = np.ones(len(take), bool)
     real[moved[1:] - 1] = False
-    take = np.minimum(take, len(rows) - 1)
-    ids = rows[take, :3] * real[:, None]
-    gold = (rows[take, 3].astype(bool) & toxic[take] & real).astype(float)
+    taken = tokens[take]
+    ids = number[of_word[taken]] * real[:, None]
+    gold = (tied_word[taken] & toxic[take] & real).astype(float)
     if not gold.any():
         return model
     weight = np.repeat(np.where(hot[chosen], 1.0, len(plain) / max(1, len(kept))), lengths + 1) * real
@@ -211,29 +219,30 @@ def train(examples: list[tuple[str, int]]) -> Field:
     seen = np.array([(link * (1 - before) * after).sum(), (link * before * (1 - after)).sum(), (link * before * after).sum()])
     first = starts
     # Adaptive steps along the gradient: features, then bias, start and transitions.
-    w = np.zeros(len(number) + 1 + 5)
+    w = np.zeros(len(used) + 1 + 5)
     w[-5] = np.log(max(1.0, gold.sum()) / n)
     squares = np.zeros(len(w))
     for _ in range(ROUNDS):
         model.bias, model.start, model.steps = w[-5], w[-4], tuple(w[-3:])
-        e = w[: len(number) + 1][ids].sum(1) + model.bias
+        e = w[: len(used) + 1][ids].sum(1) + model.bias
         p, expected = passes(e, starts, lengths, model, weight)
         miss = (gold - p) * weight
         g = np.zeros(len(w))
-        g[: len(number) + 1] = np.bincount(ids.ravel(), np.repeat(miss, 3), len(number) + 1)
+        g[: len(used) + 1] = np.bincount(ids.ravel(), np.repeat(miss, 3), len(used) + 1)
         g[0] = 0
         g[-5], g[-4] = miss.sum(), miss[first].sum()
         g[-3:] = seen - expected
-        g -= PENALTY * n * np.concatenate([np.full(len(number) + 1, 1e-2), np.zeros(5)]) * w
+        g -= PENALTY * n * np.concatenate([np.full(len(used) + 1, 1e-2), np.zeros(5)]) * w
         squares = 0.9 * squares + 0.1 * g * g
         w += STEP * g / (np.sqrt(squares) + 1e-6)
         w = np.clip(w, -15, 15)
     model.bias, model.start, model.steps = float(w[-5]), float(w[-4]), tuple(map(float, w[-3:]))
-    model.weights = {f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-6}
+    model.weights = {names[f]: float(x) for f, x in zip(used, w[1:], strict=False) if abs(x) > 1e-6}
 
     # The score, by a few Newton steps of penalised logistic regression.
     measure = Measure(model)
-    x = np.array([m[:2] for m in measure.documents([t for t, _ in examples])])
+    del texts, tokens, pairs
+    x = np.array([m[:2] for i in range(0, len(examples), 500) for m in measure.documents([t for t, _ in examples[i : i + 500]])])
     x, y = np.column_stack([np.ones(len(x)), x]), np.array(labels, float)
     b = np.zeros(3)
     for _ in range(25):
