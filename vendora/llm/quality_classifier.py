@@ -4,8 +4,8 @@ Tokens are runs of word characters and runs of signs.  Features are hashed token
 pairs of neighbours, and one more for each three-token window that the text has had
 before, all as shares of the text's tokens.  Weights are learned by the
 follow-the-regularised-leader rule with L1 and L2 terms, one example after the
-other, from at most ``TRAIN_ROWS`` labelled documents chosen by hash of their text (the
-bound is a parameter).  Scoring covers every document: a sparse dot product of its
+other, from about ``TRAIN_ROWS`` labelled documents at most, chosen by hash (the bound is a
+parameter).  Scoring covers every document: a sparse dot product of its
 features with the weights, which are ``2 ** WIDTH`` numbers whatever the data's size.
 
 Defined results: null and empty texts have no features and get the bias' score; rows
@@ -98,15 +98,8 @@ def score(weights: np.ndarray, features: np.ndarray) -> float:
     return float(sigmoid(weights[_BIAS] + SCALE * mean))
 
 
-def sample_of(labelled: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` rows of ``(text, label)``, told by the text's hash alone."""
-    n = labelled.count()
-    order = F.xxhash64("text", F.lit(11))
-    return labelled if n <= rows else labelled.filter(F.pmod(order, F.lit(n)) < rows)
-
-
-def fit(labelled: DataFrame, width: int = WIDTH, rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights learned from at most about ``rows`` rows of ``(text, label)``."""
+def fit(labelled: DataFrame, width: int = WIDTH, epochs: int = EPOCHS) -> np.ndarray:
+    """Weights learned from the rows ``(text, label)``, a bounded number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, examples = Hasher(width), []
@@ -118,7 +111,7 @@ def fit(labelled: DataFrame, width: int = WIDTH, rows: int = TRAIN_ROWS, epochs:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "w"])
 
     # The rows' order decides how examples follow each other, so it is fixed.
-    chosen = sample_of(labelled, rows).repartition(1).sortWithinPartitions(F.xxhash64("text", F.lit(23)), "label")
+    chosen = labelled.repartition(1).sortWithinPartitions(F.xxhash64("text", F.lit(23)), "label")
     weights = np.zeros(1 << width)
     for at, w in chosen.mapInArrow(run, "at long, w double").collect():  # as many as there are features
         weights[at] = w
@@ -126,13 +119,28 @@ def fit(labelled: DataFrame, width: int = WIDTH, rows: int = TRAIN_ROWS, epochs:
 
 
 def labelled_texts(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    learn: Column,
+    rows: int,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
-    """Rows ``(text, label)`` of documents with a label of 0 or 1 that may be learned from."""
-    marks = labels.select(F.col(doc_id).alias("_labelled"), F.col(label).cast("int").alias("label"))
-    marks = marks.filter(F.col("label").isin(0, 1) & F.col("_labelled").isNotNull())
-    texts = docs.filter(learn).select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("text"))
-    return texts.join(marks, F.col("_doc") == F.col("_labelled")).select(F.coalesce("text", F.lit("")).alias("text"), "label")
+    """Rows ``(text, label)`` of about ``rows`` documents at most, of those with a label of 0
+    or 1 that may be learned from.
+
+    The labels are sampled before the texts are fetched, so what is broadcast has a
+    bound, and texts are not shuffled."""
+    marks = labels.filter(learn & F.col(label).cast("int").isin(0, 1) & F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).alias("_labelled"), F.col(label).cast("int").alias("label")
+    )
+    n = marks.count()
+    if n > rows:
+        marks = marks.filter(F.pmod(F.xxhash64("_labelled", F.lit(11)), F.lit(n)) < rows)
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("text"))
+    found = texts.join(F.broadcast(marks), F.col("_doc") == F.col("_labelled"))
+    return settle(found.select(F.coalesce("text", F.lit("")).alias("text"), "label"), "labelled")
 
 
 def remainder(doc_id: str, by: int) -> Column:
@@ -165,7 +173,8 @@ def classify(
     learn: Column | None = None,
     rows: int = TRAIN_ROWS,
 ) -> DataFrame:
-    """Rows ``(doc_id, score)`` for every document; ``learn`` says which labels may be used."""
+    """Rows ``(doc_id, score)`` for every document; ``learn``, a condition on the id, says
+    which labels may be used."""
     learn = F.lit(True) if learn is None else learn
-    stored = settle(labelled_texts(docs, labels, label, learn, doc_id, text), "labelled")
-    return score_all(docs, fit(stored, rows=rows), doc_id, text)
+    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text)
+    return score_all(docs, fit(chosen), doc_id, text)

@@ -13,8 +13,8 @@ labelled clean.
 transitions.  They climb the exact gradient of the chains' likelihood, from forward and
 backward passes.  Last, a document's marginals give two numbers, the largest and
 the damped sum of squares, and logistic regression on the document labels turns them into the
-score.  All of it sees at most about ``TRAIN_ROWS`` labelled documents, chosen by hash of
-their text, and runs in one task; the bound is a parameter.
+score.  All of it sees about ``TRAIN_ROWS`` labelled documents at most, chosen by hash, and
+runs in one task; the bound is a parameter.
 
 **Scoring** covers every whole text: emission scores by word, both passes over all
 chains of a batch at once, marginals, score, and the offsets (in characters) of
@@ -38,8 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendora.llm.common import arrow_map
-from vendora.llm.quality_classifier import labelled_texts, sample_of, sigmoid
-from vendora.session import settle
+from vendora.llm.quality_classifier import labelled_texts, sigmoid
 
 TRAIN_ROWS = 8_000
 TIED = 20.0
@@ -149,6 +148,7 @@ def _ratio(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
     g = 2 * (g - part(toxic, n_toxic, both) - part(clean, n_clean, both))
     return g if toxic * n_clean > clean * n_toxic else -g
 
+
 def _coded(texts: Iterator[str]) -> tuple[list[str], list[np.ndarray]]:
     """The different tokens, and each text as their numbers; every text ends with an end."""
     known: dict[str, int] = {}
@@ -158,7 +158,6 @@ def _coded(texts: Iterator[str]) -> tuple[list[str], list[np.ndarray]]:
     return list(known), out
 
 
-
 def train(examples: list[tuple[str, int]]) -> Field:
     labels = [y for _, y in examples]
     n_toxic, n_clean = sum(labels), len(labels) - sum(labels)
@@ -293,8 +292,8 @@ class Measure:
         return out
 
 
-def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Field:
-    """The field learned from at most about ``rows`` rows of ``(text, label)``."""
+def fit(labelled: DataFrame) -> Field:
+    """The field learned from the rows ``(text, label)``, a bounded number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = []
@@ -306,7 +305,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Field:
         names, values = [*flat, *m.weights], [*flat.values(), *m.weights.values()]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(values, pa.float64())], ["name", "value"])
 
-    chosen = sample_of(labelled, rows).repartition(1).sortWithinPartitions(F.xxhash64("text", F.lit(23)), "label")
+    chosen = labelled.repartition(1).sortWithinPartitions(F.xxhash64("text", F.lit(23)), "label")
     got = dict(map(tuple, chosen.mapInArrow(run, "name string, value double").collect()))  # MOST_FEATURES at most
     if not got:
         return Field()
@@ -345,7 +344,8 @@ def tag(
     learn: Column | None = None,
     rows: int = TRAIN_ROWS,
 ) -> DataFrame:
-    """Rows ``(doc_id, score, spans)`` for every document; ``learn`` says which labels may be used."""
+    """Rows ``(doc_id, score, spans)`` for every document; ``learn``, a condition on the id, says
+    which labels may be used."""
     learn = F.lit(True) if learn is None else learn
-    stored = settle(labelled_texts(docs, labels, label, learn, doc_id, text), "labelled")
-    return score_all(docs, fit(stored, rows), doc_id, text)
+    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text)
+    return score_all(docs, fit(chosen), doc_id, text)
