@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from vendora.functions import fixed_values as V
 from vendora.operators import incremental, quality, scd, staging
 from vendora.operators.quality import Rule
-from vendora.sources import csv_files, tables
+from vendora.plans import warehouse
+from vendora.sources import csv_files, driver_tables, tables
+from vendora.sources.contracts import CONTRACTS
 from vendora.streaming import order_feed
 
 D = Decimal
@@ -339,3 +341,17 @@ def test_export_keeps_blanks_and_nulls(spark, tmp_path):
 
 def test_kpi_texts_are_sixteen():
     assert [t[0] for t in V.KPI_TEXTS] == [f"KPI{i:03}" for i in range(1, 17)]
+
+
+def test_release_keeps_the_version_before_if_a_rule_fails(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    inputs = {name: getattr(driver_tables, name)(spark, sf) for name in CONTRACTS}
+    root = f"{tmp_path}/warehouse"
+    assert warehouse.released(spark, root) == {}
+    report, passed = warehouse.release(spark, inputs, root)
+    assert passed and report.filter("status = 'warn'").count() == 1
+    payments = warehouse.released(spark, root)["fct_payments"].count()
+    twice = {**inputs, "order_payments": inputs["order_payments"].unionByName(inputs["order_payments"])}
+    report, passed = warehouse.release(spark, twice, root)
+    assert not passed and report.filter("status = 'fail'").first()["failures"] > 0
+    assert warehouse.released(spark, root)["fct_payments"].count() == payments

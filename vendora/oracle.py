@@ -10,6 +10,7 @@ import re
 
 from vendora.functions import fixed_values as V
 from vendora.operators.quality import RULES, Rule
+from vendora.plans.warehouse import STORED
 from vendora.sources.contracts import CONTRACTS
 from vendora.sources.driver_tables import (
     CATEGORY_BY_TYPE,
@@ -584,6 +585,7 @@ SELECTS = {
                CASE WHEN count(*) > 0 THEN 'warn' ELSE 'pass' END AS status
         FROM stg_orders WHERE order_id NOT IN (SELECT order_id FROM stg_order_items)""",
     "dq_contract": _contract(),
+    "warehouse_build": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in STORED),
     "dq_suite_report": _suite(RULES),
     "dq_gate_blocked": _suite(
         [r for r in RULES if r.table == "fct_payments"],

@@ -200,10 +200,9 @@ def dws_customer_rfm(
     return scored.withColumn("rfm_total", r + f + m).withColumn("rfm_segment", segment(r, f, m))
 
 
-def seller_sales(fct_orders: DataFrame) -> DataFrame:
-    """Sales of each seller.  Folded to (order, seller) first, orders are simply
-    counted; only the products need a distinct count, on two columns."""
-    per_order = fct_orders.groupBy("order_id", "seller_id").agg(
+def order_sellers(fct_orders: DataFrame) -> DataFrame:
+    """What each seller sold in each order: the grain that sales and reviews share."""
+    return fct_orders.groupBy("order_id", "seller_id").agg(
         F.count("*").alias("lines"),
         gmv("order_amount").cast(TOTAL).alias("delivered"),
         gmv_all("order_amount").cast(TOTAL).alias("amount"),
@@ -211,6 +210,13 @@ def seller_sales(fct_orders: DataFrame) -> DataFrame:
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
     )
+
+
+def seller_sales(fct_orders: DataFrame, per_order: DataFrame | None = None) -> DataFrame:
+    """Sales of each seller.  Folded to (order, seller) first (``per_order``, where that
+    is stored), orders are simply counted; only the products need a distinct
+    count, on two columns."""
+    per_order = order_sellers(fct_orders) if per_order is None else per_order
     sales = per_order.groupBy("seller_id").agg(
         F.count("order_id").alias("order_count"),
         F.sum("lines").alias("item_count"),
@@ -228,11 +234,11 @@ def seller_sales(fct_orders: DataFrame) -> DataFrame:
     return sales.join(products, "seller_id", "left")
 
 
-def seller_reviews(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
+def seller_reviews(per_order: DataFrame, fct_reviews: DataFrame) -> DataFrame:
     """Latest reviews by seller; one review counts once per line of the seller
-    in that order.  Lines are folded to (order, seller) with a line count before
-    the join, so the join never multiplies lines by reviews."""
-    lines = fct_orders.groupBy("order_id", "seller_id").agg(F.count("*").alias("lines"))
+    in that order.  Lines come folded to (order, seller) with a line count,
+    so the join never multiplies lines by reviews."""
+    lines = per_order.select("order_id", "seller_id", "lines")
     latest = fct_reviews.filter("is_latest_review").select("order_id", "review_id", "review_score")
     n, score = F.col("lines"), F.col("review_score")
 
@@ -261,9 +267,10 @@ def seller_reviews(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
 
 def dws_seller_performance(dim_sellers: DataFrame, fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
     """Every seller; sales and reviews are brought to seller grain before joining."""
+    per_order = settle(order_sellers(fct_orders), "order_sellers")
     joined = (
-        dim_sellers.join(seller_sales(fct_orders), "seller_id", "left")
-        .join(seller_reviews(fct_orders, fct_reviews), "seller_id", "left")
+        dim_sellers.join(seller_sales(fct_orders, per_order), "seller_id", "left")
+        .join(seller_reviews(per_order, fct_reviews), "seller_id", "left")
     )
     zero_money = F.lit(0).cast(TOTAL)
     delivered = F.coalesce("gmv_delivered", zero_money)

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from vendora.operators import core
+from vendora.operators.quality import RULES, Rule, may_publish, suite_report
 from vendora.operators.staging import STAGING, stg_customers
 from vendora.plans import kpi, marts
-from vendora.sources.tables import write_table
+from vendora.session import settle
+from vendora.sources.tables import newest_version, publish, write_table
 
+STORED = [
+    "dim_customers", "dim_sellers", "dim_products", "dim_geography", "fct_orders", "fct_payments", "fct_reviews",
+    "ads_gmv_monthly", "ads_category_sales", "ads_region_overview", "ads_payment_analysis", "ads_review_analysis",
+    "dws_customer_rfm", "dws_seller_performance", "ads_kpi_summary",
+]
+# Tables written at a time.
+WRITERS = 4
 PARTITIONED = {"fct_orders": "order_month", "fct_payments": "order_month", "fct_reviews": "order_month"}
 
 
@@ -26,39 +38,64 @@ def register(tables: dict[str, DataFrame]) -> None:
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, load_ts: Column | None = None) -> dict:
-    """Rebuild every stored table below ``root``; later tables read the stored ones."""
+    """Rebuild every stored table below ``root``; later tables read the stored ones.
+
+    Tables that do not need one another are written at the same time."""
     t = staging(raw, load_ts)
 
-    def store(name: str, df: DataFrame) -> None:
-        t[name] = write_table(df, f"{root}/{name}", PARTITIONED.get(name))
-
-    store("dim_customers", core.dim_customers(t["stg_customers"]))
-    store("dim_sellers", core.dim_sellers(t["stg_sellers"]))
-    store("dim_products", core.dim_products(t["stg_products"]))
-    store("dim_geography", core.dim_geography(t["stg_geolocation"]))
-    store("fct_orders", core.fct_orders(t["stg_order_items"], t["stg_orders"]))
-    store("fct_payments", core.fct_payments(t["stg_order_payments"], t["stg_orders"]))
-    store("fct_reviews", core.fct_reviews(t["stg_order_reviews"], t["stg_orders"]))
-
-    store("ads_gmv_monthly", marts.ads_gmv_monthly(t["fct_orders"]))
-    store("ads_category_sales", marts.ads_category_sales(t["fct_orders"], t["dim_products"]))
-    store("ads_region_overview", marts.ads_region_overview(t["fct_orders"], t["dim_customers"]))
-    store("ads_payment_analysis", marts.ads_payment_analysis(t["fct_payments"]))
-    store("ads_review_analysis", marts.ads_review_analysis(t["fct_reviews"]))
-    store("dws_customer_rfm", marts.dws_customer_rfm(t["fct_orders"]))
+    def store(**plans: Callable[[], DataFrame]) -> None:
+        def write(name: str) -> DataFrame:
+            return write_table(plans[name](), f"{root}/{name}", PARTITIONED.get(name))
+
+        with ThreadPoolExecutor(WRITERS) as pool:
+            t.update(zip(plans, pool.map(write, plans), strict=True))
+
+    store(
+        dim_customers=lambda: core.dim_customers(t["stg_customers"]),
+        dim_sellers=lambda: core.dim_sellers(t["stg_sellers"]),
+        dim_products=lambda: core.dim_products(t["stg_products"]),
+        dim_geography=lambda: core.dim_geography(t["stg_geolocation"]),
+        fct_orders=lambda: core.fct_orders(t["stg_order_items"], t["stg_orders"]),
+        fct_payments=lambda: core.fct_payments(t["stg_order_payments"], t["stg_orders"]),
+        fct_reviews=lambda: core.fct_reviews(t["stg_order_reviews"], t["stg_orders"]),
+    )
     store(
-        "dws_seller_performance",
-        marts.dws_seller_performance(t["dim_sellers"], t["fct_orders"], t["fct_reviews"]),
+        ads_gmv_monthly=lambda: marts.ads_gmv_monthly(t["fct_orders"]),
+        ads_category_sales=lambda: marts.ads_category_sales(t["fct_orders"], t["dim_products"]),
+        ads_region_overview=lambda: marts.ads_region_overview(t["fct_orders"], t["dim_customers"]),
+        ads_payment_analysis=lambda: marts.ads_payment_analysis(t["fct_payments"]),
+        ads_review_analysis=lambda: marts.ads_review_analysis(t["fct_reviews"]),
+        dws_customer_rfm=lambda: marts.dws_customer_rfm(t["fct_orders"]),
+        dws_seller_performance=lambda: marts.dws_seller_performance(t["dim_sellers"], t["fct_orders"], t["fct_reviews"]),
     )
     store(
-        "ads_kpi_summary",
-        kpi.ads_kpi_summary(
+        ads_kpi_summary=lambda: kpi.ads_kpi_summary(
             t["ads_gmv_monthly"],
             t["dws_customer_rfm"],
             t["fct_reviews"],
             t["ads_review_analysis"],
             t["dws_seller_performance"],
             t["fct_payments"],
-        ),
+        )
     )
     return t
+
+
+def release(
+    spark: SparkSession, raw: dict[str, DataFrame], root: str, rules: Iterable[Rule] = RULES, load_ts: Column | None = None
+) -> tuple[DataFrame, bool]:
+    """Build a new version of all tables, check it, and publish it if no rule of severity
+    error failed.  Returns the report and whether it was published; until then, and
+    if it is not, readers see the version before."""
+    version = f"{root}/version-{newest_version(spark, root)[0] + 1}"
+    report = settle(suite_report(build(spark, raw, version, load_ts), rules), "report")
+    passed = may_publish(report)
+    if passed:
+        publish(spark, root, version)
+    return report, passed
+
+
+def released(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored tables of the published version; none before the first one."""
+    _, version = newest_version(spark, root)
+    return {} if version is None else {name: spark.read.parquet(f"{version}/{name}") for name in STORED}

@@ -649,6 +649,19 @@ def dq_contract(spark, d):
     return union_all(drifts)
 
 
+@query
+def warehouse_build(spark, d):
+    """Rows of every table of a release: built, checked, published, read."""
+    root = work_path(spark, "warehouse")
+    inputs = _all_raw(spark, d)
+    warehouse.release(spark, inputs, root, load_ts=at(LOAD_TS))
+    rows = [
+        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in warehouse.released(spark, root).items()
+    ]
+    return union_all(rows)
+
+
 @query
 def dq_suite_report(spark, d):
     """All declared rules on a freshly built warehouse."""
