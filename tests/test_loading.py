@@ -1,5 +1,6 @@
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from vendora.operators import incremental, quality, scd, staging
 from vendora.operators.quality import Rule
 from vendora.plans import warehouse
 from vendora.sources import csv_files, driver_tables, tables
+from vendora.registry import QUERIES
+from vendora.session import scratch, work_path
 from vendora.sources.contracts import CONTRACTS
 from vendora.streaming import order_feed
 
@@ -355,3 +358,12 @@ def test_release_keeps_the_version_before_if_a_rule_fails(spark, tmp_path):
     report, passed = warehouse.release(spark, twice, root)
     assert not passed and report.filter("status = 'fail'").first()["failures"] > 0
     assert warehouse.released(spark, root)["fct_payments"].count() == payments
+
+
+def test_scratch_leaves_nothing_but_the_result(spark, tmp_path):
+    here = Path(work_path(spark, "x").removeprefix("file:")).parent
+    before = set(here.glob("*"))
+    with scratch(spark):
+        QUERIES["fct_reviews"](spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/result")
+        assert set(here.glob("*")) > before
+    assert set(here.glob("*")) == before and spark.read.parquet(f"{tmp_path}/result").count() > 0

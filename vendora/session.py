@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +58,29 @@ def work_path(spark: SparkSession, label: str) -> str:
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         context.setCheckpointDir(own)
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for paths in _SCRATCH:
+        paths.append(path)
+    return path
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove all working folders that are made inside, at the end.
+
+    Results are lazy and read what was settled on the way, so write or collect
+    them inside."""
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH[:] = [p for p in _SCRATCH if p is not paths]
+        for path in paths:
+            remove(spark, path)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
