@@ -15,7 +15,7 @@ They weight all segmentations of the training words, whose expected piece counts
 of ``ROUNDS`` rounds, smoothed by the first ones.  The pieces themselves are never
 changed.  The discount follows from the numbers of words seen once and twice.
 
-**Jobs.** One pass over the texts codes documents in blocks of a few megabytes: each block
+**Jobs.** One pass over the texts codes documents in blocks of some tens of megabytes: each block
 has a dictionary of its words and lists of word numbers and counts.  Dictionaries, not
 tokens, are shuffled by word to add up counts and to fetch each word's count and
 likelihood; blocks are then joined with their dictionaries.  A word that every document
@@ -52,7 +52,7 @@ ROUNDS = 2
 # Pieces in training words that the vocabulary's own scores count for.
 PRIOR = 1_000.0
 # Bytes of text whose documents share a dictionary.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
 
 MARK = b" "  # begins a word; no word holds it
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
