@@ -60,7 +60,7 @@ def test_equals_brute_force(spark):
 
 
 def test_shuffled_joins_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(D, "BROADCAST_WORDS", 0)
     assert found(D.report(*frames(spark))) == expected(DOCS, ITEMS)
 
 

@@ -51,18 +51,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def small_enough(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more of it than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def sized_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` to be broadcast if it is known to have at most ``rows`` rows.
+def sized_broadcast(df: DataFrame, most: int, width: Column | None = None) -> DataFrame:
+    """``df`` to be broadcast if it is known to be small: at most ``most`` rows, or with
+    ``width``, a number for each row, at most that many in all.
 
     Beyond that the join is a shuffle join and gives the same rows.  ``df``
-    should be stored, since it is read to be counted.
-    """
-    return F.broadcast(df) if small_enough(df, rows) else df
+    should be stored, since it is read to be counted."""
+    if width is None:
+        return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= most else df
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

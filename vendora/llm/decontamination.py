@@ -17,7 +17,7 @@
    words inside any window that agrees in full are hit.
 
 Only DataFrame functions are used.  What is broadcast is counted first
-(``BROADCAST_ROWS``); beyond the bound the same joins shuffle.
+(``BROADCAST_WORDS``); beyond the bound the same joins shuffle.
 
 Defined results: null and empty texts have no words and are clean; items without
 words match nothing; repeated documents each get their row, repeated items count
@@ -39,9 +39,8 @@ BETWEEN = "".join(map(chr, [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B,
 WINDOW = 10
 # Words that a proximity match may be off its place.
 SLOP = 5
-# Most rows of a benchmark-derived or alignment table that is broadcast (a row
-# holds one item's words at most; 100,000 rows of 40 words are about 30 MB).
-BROADCAST_ROWS = 100_000
+# Most words, in all rows together, of a table that is broadcast: about 15 MB.
+BROADCAST_WORDS = 500_000
 
 
 def words(text: str) -> Column:
@@ -60,7 +59,7 @@ def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
     tokens = docs.select(
         F.col(doc_id).alias("id"), _key(text).alias("key"), F.posexplode(words(text)).alias("pos", "term")
     )
-    return settle(tokens.join(sized_broadcast(terms, BROADCAST_ROWS), "term").select("id", "key", "pos", "term"), "postings")
+    return settle(tokens.join(sized_broadcast(terms, BROADCAST_WORDS), "term").select("id", "key", "pos", "term"), "postings")
 
 
 def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
@@ -94,13 +93,13 @@ def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
 def _alignments(index: DataFrame, anchors: DataFrame, slop: int) -> DataFrame:
     """Rows ``(id, key, item, shift, exact)``: item word ``i`` would be document word ``i + shift``."""
     proposed = (
-        index.join(sized_broadcast(anchors, BROADCAST_ROWS), "term")
+        index.join(sized_broadcast(anchors, BROADCAST_WORDS, F.size("seconds") + 1), "term")
         .select("id", "key", "item", (F.col("pos") - F.col("at")).alias("shift"), F.explode("seconds").alias("b"))
         .select("id", "key", "item", "shift", F.col("b.term").alias("term"), (F.col("shift") + F.col("b.at")).alias("due"))
     )
     step = slop + 1
     wanted = anchors.select(F.explode("seconds.term").alias("term")).filter("term IS NOT NULL").distinct()
-    lists = index.join(sized_broadcast(wanted, BROADCAST_ROWS), "term", "left_semi").select(
+    lists = index.join(sized_broadcast(wanted, BROADCAST_WORDS), "term", "left_semi").select(
         "id", "key", "pos", "term", F.floor(F.col("pos") / step).alias("cell")
     )
     cell = F.floor(F.col("due") / step)
@@ -142,7 +141,7 @@ def match(
     anchors = settle(_anchors(items, index, window), "anchors")
     found = _alignments(index, anchors, slop)
     of_doc = (
-        found.join(sized_broadcast(items, BROADCAST_ROWS), "item")
+        found.join(sized_broadcast(items, BROADCAST_WORDS, F.size("words") + 1), "item")
         .groupBy("id", "key")
         .agg(
             F.collect_list(F.when(F.col("exact"), F.struct("item_id", "shift", "words"))).alias("tries"),
@@ -152,7 +151,8 @@ def match(
     tried = settle(of_doc, "alignments")
     d = docs.select(F.col(doc_id).alias("id"), _key(text).alias("key"), F.col(text).alias("text"))
     on = d["id"].eqNullSafe(tried["id"]) & (d["key"] == tried["key"])
-    both = d.join(sized_broadcast(tried, BROADCAST_ROWS), on, "left").select(d["id"], d["key"], words("text").alias("w"), "tries", "near_items")
+    held = F.size(F.flatten(F.transform("tries", lambda t: t["words"]))) + F.size("near_items") + 1
+    both = d.join(sized_broadcast(tried, BROADCAST_WORDS, held), on, "left").select(d["id"], d["key"], words("text").alias("w"), "tries", "near_items")
     return both.select(
         "id",
         "key",

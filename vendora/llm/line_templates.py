@@ -36,7 +36,8 @@ WILDCARD = "<*>"
 DEPTH = 3
 MIN_DOCS = 3
 SIMILARITY = 0.6
-# Most rows (of under 100 bytes) of a table of lines that is broadcast.
+# Most rows of a table that is broadcast; such rows hold hashes and ids only, 100 bytes
+# at most, so that is 20 MB.
 BROADCAST_ROWS = 200_000
 
 LINE = ["leaf", "h1", "h2"]
@@ -77,7 +78,8 @@ def _counted(lines: DataFrame, by: list[str]) -> DataFrame:
 
 
 def generalise(docs: DataFrame, counted: DataFrame, depth: int, min_docs: int, similarity: float) -> DataFrame:
-    """Rows ``(leaf, h1, h2, template)`` for lines that fit a template of their leaf."""
+    """Rows ``(leaf, h1, h2, template, t1, t2)`` for lines that fit a template of their leaf;
+    the last two are hashes of the template."""
     leaves = (
         counted.groupBy("leaf")
         .agg(F.count("*").alias("n"), F.sum("docs").alias("docs"))
@@ -114,6 +116,7 @@ def generalise(docs: DataFrame, counted: DataFrame, depth: int, min_docs: int, s
         .agg(shape.alias("shape"), F.avg(fits.cast("double")).alias("share"))
         .filter(F.col("share") >= similarity)
         .select(*LINE, F.array_join(F.transform("shape", lambda x: x["word"]), " ").alias("template"))
+        .withColumns({"t1": F.xxhash64("template"), "t2": F.hash("template")})
     )
 
 
@@ -125,9 +128,9 @@ def recurring(
     lines = settle(parse(docs, depth), "lines")
     counted = settle(_counted(lines, LINE), "line_counts")
     shaped = settle(generalise(docs, counted, depth, min_docs, similarity), "templates")
-    named = lines.join(sized_broadcast(shaped, BROADCAST_ROWS), LINE)
-    groups = _counted(named, ["leaf", "template"]).filter(F.col("docs") >= min_docs)
-    alike = shaped.join(groups, ["leaf", "template"]).select(*LINE, "template", "docs", "first")
+    named = lines.join(sized_broadcast(shaped.select(*LINE, "t1", "t2"), BROADCAST_ROWS), LINE)
+    groups = _counted(named, ["leaf", "t1", "t2"]).filter(F.col("docs") >= min_docs)
+    alike = shaped.join(groups, ["leaf", "t1", "t2"]).select(*LINE, "template", "docs", "first")
     alone = counted.filter(F.col("docs") >= min_docs).join(shaped, LINE, "left_anti")
     return lines, settle(
         alike.unionByName(alone.select(*LINE, F.lit(None).cast("string").alias("template"), "docs", "first")), "recurring"
@@ -150,8 +153,8 @@ def drop_recurring(
     lines, bad = recurring(given, depth, min_docs, similarity)
     i, k, gone, kept, n = fresh(docs, "_id", "_key", "_gone", "_kept", "_dropped")
     drops = (
-        lines.join(sized_broadcast(bad, BROADCAST_ROWS), LINE)
-        .filter(F.col("first.key") != F.col("key"))
+        lines.join(sized_broadcast(bad.select(*LINE, F.col("first.key").alias("first_key")), BROADCAST_ROWS), LINE)
+        .filter(F.col("first_key") != F.col("key"))
         .groupBy(F.col("id").alias(i), F.col("key").alias(k))
         .agg(F.collect_set(F.struct("h1", "h2")).alias(gone))
     )
