@@ -25,15 +25,20 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)])
 
 
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rows in order, stored with the number of their slice."""
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    return settle(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
     """Add, for each ``{column: whole number}``, its sum over earlier rows of the group."""
-    sliced = settle(
-        df.withColumns({f"_of_{name}": value.cast("long") for name, value in sums.items()})
-        .repartitionByRange(*[F.col(k) for k in keys], *order)
-        .withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
-    totals = sliced.groupBy(*keys, "_slice").agg(*[F.sum(f"_of_{name}").alias(f"_of_{name}") for name in sums])
+    return _summed(_sliced(df, keys, order), keys, order, sums).drop("_slice")
+
+
+def _summed(sliced: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    of = {name: value.cast("long") for name, value in sums.items()}
+    totals = sliced.groupBy(*keys, "_slice").agg(*[F.sum(value).alias(f"_of_{name}") for name, value in of.items()])
     # As many rows for a group as it has slices.
     earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     at = {k: f"_at_{k}" for k in [*keys, "_slice"]}
@@ -47,11 +52,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: d
         .drop("_continued")
     )
     within = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    numbered_ = sliced.withColumns({name: F.coalesce(F.sum(f"_of_{name}").over(within), F.lit(0)) for name in sums})
+    summed = sliced.withColumns({name: F.coalesce(F.sum(value).over(within), F.lit(0)) for name, value in of.items()})
     return (
-        numbered_.join(F.broadcast(before), _same(list(at), list(at.values())), "left")
+        summed.join(F.broadcast(before), _same(list(at), list(at.values())), "left")
         .withColumns({name: F.col(name) + F.coalesce(f"_before_{name}", F.lit(0)) for name in sums})
-        .select(*df.columns, *sums)
+        .select(*sliced.columns, *sums)
     )
 
 
@@ -66,10 +71,12 @@ def numbered(
 
     Sizes are counted before they meet the rows, so a hot group is one row per
     task of the count, and its join is split at run time."""
+    rows = df
     if row is not None:
-        df = running(df, keys, order, {row: F.lit(1)}).withColumn(row, (F.col(row) + 1).cast("int"))
+        df = _sliced(df, keys, order)
+        rows = _summed(df, keys, order, {row: F.lit(1)}).drop("_slice").withColumn(row, (F.col(row) + 1).cast("int"))
     if size is not None:
         of = {k: f"_of_{k}" for k in keys}
         counts = df.groupBy(*[F.col(k).alias(name) for k, name in of.items()]).agg(F.count("*").alias(size))
-        df = df.join(counts, _same(keys, list(of.values()))).drop(*of.values())
-    return df
+        rows = rows.join(counts, _same(keys, list(of.values()))).drop(*of.values())
+    return rows

@@ -457,6 +457,10 @@ EARTH_DIAMETER = 2 * V.EARTH_RADIUS_KM
 
 SELECTS = {
     "src_csv_roundtrip": "SELECT * FROM stg_customers",
+    "src_all_csv_roundtrip": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, 0::BIGINT AS changed_rows FROM {source}"
+        for name, source in AUDITED.items()
+    ),
     "src_align_columns": "SELECT * FROM stg_products",
     "src_optional_empty": "SELECT order_status, count(*) AS orders, 0::BIGINT AS payments FROM stg_orders GROUP BY ALL",
     "src_load_audit": " UNION ALL ".join(

@@ -157,6 +157,32 @@ def src_csv_roundtrip(spark, d):
     return staging.stg_customers(csv_files.load_raw(spark, path, "customers"), at(LOAD_TS))
 
 
+@query
+def src_all_csv_roundtrip(spark, d):
+    """All nine raw tables written as CSV, read by contract and staged: rows, and rows
+    that then differ from the staged original.  Review texts get a line break."""
+    path = work_path(spark, "csv")
+    inputs = _all_raw(spark, d, with_line_ids=False)
+    broken = F.concat(F.col("review_comment_message"), F.lit('\n"so, '), F.col("order_id"), F.lit('"'))
+    inputs["order_reviews"] = inputs["order_reviews"].withColumn("review_comment_message", broken)
+    counts = []
+    for name, df in inputs.items():
+        csv_files.export_csv(df, f"{path}/{CONTRACTS[name].file.replace('*', 'public')}")
+        stage = staging.STAGING[name]
+        moment = (at(LOAD_TS),) if name == "customers" else ()
+        before, after = stage(df, *moment), stage(csv_files.load_raw(spark, path, name), *moment)
+        both = before.withColumn("_n", F.lit(1)).unionByName(after.withColumn("_n", F.lit(-1)))
+        # Copies are added up, so a row that comes back once less or more shows.
+        changed = both.groupBy(*before.columns).agg(F.sum("_n").alias("_n"))
+        counts.append(
+            changed.agg(F.coalesce(F.sum(F.abs("_n")), F.lit(0)).alias("changed_rows")).select(
+                F.lit(name).alias("table_name"), "changed_rows"
+            )
+        )
+    rows = csv_files.load_audit(inputs).select("table_name", "row_count")
+    return rows.join(union_all(counts), "table_name")
+
+
 @query
 def src_align_columns(spark, d):
     contract = CONTRACTS["products"]

@@ -77,11 +77,16 @@ def load_audit(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(rows)
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Header CSV.  Blanks inside text survive; an empty text reads back as NULL."""
+    """Header CSV.  Blanks inside text and all digits of times survive; an empty text reads back as NULL."""
     (
         df.write.option("header", True)
         .option("escape", '"')
+        .option("timestampFormat", MICROS)
+        .option("timestampNTZFormat", MICROS)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
