@@ -10,7 +10,7 @@
    does.  The plan says how many sequences have which lengths.
 3. **Places.** Pieces of one length are interchangeable, so a piece needs only its rank
    among its own length.  Ranks come from row numbers within hashed buckets of a
-   few thousand pieces and running totals of the buckets; a length that a third of
+   few hundred pieces and running totals of the buckets; a length that a third of
    all pieces share has as many more buckets.  A join with the plan gives sequence
    and offset.
 
@@ -45,7 +45,7 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 # Pieces of one bucket whose rows are numbered together.
-BUCKET = 4_096
+BUCKET = 512
 
 
 @lru_cache(2)
