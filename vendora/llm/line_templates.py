@@ -129,8 +129,11 @@ def recurring(
     counted = settle(_counted(lines, LINE), "line_counts")
     shaped = settle(generalise(docs, counted, depth, min_docs, similarity), "templates")
     named = lines.join(sized_broadcast(shaped.select(*LINE, "t1", "t2"), BROADCAST_ROWS), LINE)
-    groups = _counted(named, ["leaf", "t1", "t2"]).filter(F.col("docs") >= min_docs)
-    alike = shaped.join(groups, ["leaf", "t1", "t2"]).select(*LINE, "template", "docs", "first")
+    # Stored apart, so that a template of very many lines is split in the join.
+    groups = settle(_counted(named, ["leaf", "t1", "t2"]).filter(F.col("docs") >= min_docs), "template_counts")
+    alike = shaped.join(sized_broadcast(groups, BROADCAST_ROWS), ["leaf", "t1", "t2"]).select(
+        *LINE, "template", "docs", "first"
+    )
     alone = counted.filter(F.col("docs") >= min_docs).join(shaped, LINE, "left_anti")
     return lines, settle(
         alike.unionByName(alone.select(*LINE, F.lit(None).cast("string").alias("template"), "docs", "first")), "recurring"
