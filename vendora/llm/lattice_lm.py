@@ -15,7 +15,7 @@ They weight all segmentations of the training words, whose expected piece counts
 of ``ROUNDS`` rounds, smoothed by the first ones.  The pieces themselves are never
 changed.  The discount follows from the numbers of words seen once and twice.
 
-**Jobs.** One pass over the texts codes documents in blocks of some tens of megabytes: each block
+**Jobs.** One pass over the texts codes documents in blocks of some megabytes: each block
 has a dictionary of its words and lists of word numbers and counts.  Dictionaries, not
 tokens, are shuffled by word to add up counts and to fetch each word's count and
 likelihood; blocks are then joined with their dictionaries.  A word that every document
@@ -45,14 +45,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendora.llm.common import LOWER, UPPER, arrow_map
-from vendora.session import settle
+from vendora.session import settle, work_path
 
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS = 2
 # Pieces in training words that the vocabulary's own scores count for.
 PRIOR = 1_000.0
 # Bytes of text whose documents share a dictionary.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 MARK = b" "  # begins a word; no word holds it
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -267,7 +267,11 @@ def coded(docs: DataFrame) -> DataFrame:
         if rows:
             yield from block()
 
-    return settle(docs.select("id", "held_out", "text").mapInArrow(run, schema), "coded")
+    # The largest table set down on the way; zstd takes less room than the default.
+    path = work_path(docs.sparkSession, "coded")
+    found = docs.select("id", "held_out", "text").mapInArrow(run, schema)
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
 def fit(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
