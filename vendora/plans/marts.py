@@ -267,7 +267,7 @@ def seller_reviews(per_order: DataFrame, fct_reviews: DataFrame) -> DataFrame:
 
 def dws_seller_performance(dim_sellers: DataFrame, fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
     """Every seller; sales and reviews are brought to seller grain before joining."""
-    per_order = settle(order_sellers(fct_orders), "order_sellers")
+    per_order = order_sellers(fct_orders)
     joined = (
         dim_sellers.join(seller_sales(fct_orders, per_order), "seller_id", "left")
         .join(seller_reviews(per_order, fct_reviews), "seller_id", "left")
