@@ -96,6 +96,15 @@ def test_random_lines(spark):
     compare(spark, docs)
 
 
+def test_unlike_short_lines_of_a_leaf_stay(spark):
+    """Their three leading words alone make no template; one more constant word does."""
+    ends = ["Ing eresnt.", "Oues ereaha.", "Are for.", "Of. Restwh."]
+    docs = [(i, f"Was erlytion that. {e}\nDes erberber das. {e.split()[0]}\nWas erlytion this. {e.split()[0]} too") for i, e in enumerate(ends)]
+    got = L.drop_recurring(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = [(i, t if i == 0 else t.rsplit("\n", 1)[0]) for i, t in docs]
+    assert sorted((r.doc_id, r.text) for r in got) == want
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.drop_recurring(df).count() == 0

@@ -4,9 +4,10 @@ A line goes down a tree of fixed depth: first by its number of words, then by it
 leading words.  Words with a digit are variable from the start.  In a leaf, a word
 at a place is **constant** if at least ``MIN_DOCS`` documents have it there; other words
 are variable fields.  A line fits the leaf's template if enough of its words are
-constant (``SIMILARITY``); its variable words are then generalised to the leaf's
-most frequent word of the place, or to a wildcard where no word is frequent.  A
-line that fits no template stands for itself.
+constant (``SIMILARITY``), one behind the leading words at least: those are the same
+in the whole leaf and say nothing of the lines in it.  Its variable words are then
+generalised to the leaf's most frequent word of the place, or to a wildcard where no
+word is frequent.  A line that fits no template stands for itself.
 
 A template that ``MIN_DOCS`` different texts contain is recurring.  Its lines are
 dropped, but for those of the first document (by id), so that the text is not lost
@@ -113,8 +114,12 @@ def generalise(docs: DataFrame, counted: DataFrame, depth: int, min_docs: int, s
     shape = F.sort_array(F.collect_list(F.struct("at", word.alias("word"))))
     return (
         settled.groupBy(*LINE)
-        .agg(shape.alias("shape"), F.avg(fits.cast("double")).alias("share"))
-        .filter(F.col("share") >= similarity)
+        .agg(
+            shape.alias("shape"),
+            F.avg(fits.cast("double")).alias("share"),
+            F.max(fits & (F.col("at") >= depth)).alias("behind"),
+        )
+        .filter((F.col("share") >= similarity) & F.col("behind"))
         .select(*LINE, F.array_join(F.transform("shape", lambda x: x["word"]), " ").alias("template"))
         .withColumns({"t1": F.xxhash64("template"), "t2": F.hash("template")})
     )
