@@ -41,6 +41,25 @@ def test_page(name):
     assert H.main_text(page) == text
 
 
+SPLIT = {
+    "two sections": (
+        f"<body><div><a href=/>Home</a></div><div class=content><h1>Title</h1><section><h2>One</h2><p>{P1}<p>{P2}<p>{P1}</section>"
+        f"<section><h2>Two</h2><p>{P1}<p>{P1}</section></div><div><a href=/more>More</a></div></body>",
+        f"Title\nOne\n{P1}\n{D2}\n{P1}\nTwo\n{P1}\n{P1}",
+    ),
+    "long list": (f"<div class=content><p>{P1}<p>{P2}<ul><li>{P1}<li>{P2}<li>{P1}</ul></div>", f"{P1}\n{D2}\n{P1}\n{D2}\n{P1}"),
+    "list of all long lines": (f"<div><p>In short:<ul><li>{P1 * 4}<li>{P1 * 4}</ul><p>So.</div>", f"In short:\n{P1 * 4}\n{P1 * 4}\nSo."),
+    "quote": (f"<body><div><p>{P1}<blockquote><p>{P2}<p>{P2}</blockquote></div></body>", f"{P1}\n{D2}\n{D2}"),
+    "main beside article": (f"<main><article><h1>T</h1><p>{P1}<p>{P2}<p>{P1}<p>{P2}</article><p>{P1}<p>{P2}</main>", f"T\n{P1}\n{D2}\n{P1}\n{D2}\n{P1}\n{D2}"),
+}
+
+
+@pytest.mark.parametrize("name", list(SPLIT))
+def test_content_in_several_containers_is_whole(name):
+    page, text = SPLIT[name]
+    assert H.main_text(page) == text
+
+
 def test_fed_in_pieces(monkeypatch):
     want = {k: H.main_text(v[0]) for k, v in PAGES.items()}
     monkeypatch.setattr(H, "FEED", 7)

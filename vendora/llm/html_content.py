@@ -10,9 +10,9 @@
    taken for a menu.
 3. Smoothed ratios fall into two clusters around their low and high means; the
    threshold lies between.  Lines above it are content.
-4. The content region is the innermost container that holds most of the content's
-   characters (``article`` and ``main`` elements first).  All its unmarked lines are the text,
-   short ones too.
+4. The content region is the innermost container that holds all of the content, within
+   the outermost ``article`` or ``main`` element that holds most of its characters, if there
+   is one.  All its unmarked lines are the text, short ones too.
 
 Every page is a row of its own; nothing is shuffled.  Pages are parsed in pieces, and
 their lines are held for one page at a time.
@@ -52,6 +52,8 @@ BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section summary table tbody td "
     "tfoot th thead title tr ul".split()
 )
+# Containers that may be the content region; lists, tables and quotes are parts of a text.
+GROUPS = frozenset("html body main article section div".split())
 # A start of these closes an open paragraph, and of itself, as browsers do.
 ENDS_P = BLOCK - {"br", "body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
 CLOSES = {
@@ -215,20 +217,21 @@ def region(found: Lines, sigma: float = SIGMA) -> list[bool]:
     smooth = smoothed(ratios, sigma)
     cut = threshold(smooth[use])
     content = [i for i in use if smooth[i] > cut] or use
-    weight = np.zeros(len(parents))
+    # Characters of content in each container: all, and those outside links, since smoothing
+    # lifts a menu beside a paragraph too.
+    weight, plain = np.zeros(len(parents)), np.zeros(len(parents))
     for i in content:
         weight[lines[i][3]] += len(lines[i][0])
+        plain[lines[i][3]] += max(0, len(lines[i][0]) - lines[i][2])
     for k in range(len(parents) - 1, 0, -1):  # children come after their parents
         weight[parents[k]] += weight[k]
-    total = weight[0]
-    best = 0
-    named = [k for k in range(len(parents)) if kinds[k] in ("article", "main") and weight[k] > total / 2]
-    if named:
-        best = named[-1]  # the innermost of them
-    else:
-        for k in range(1, len(parents)):
-            if weight[k] > total / 2 and parents[k] == best and kinds[k] not in ("p", "li", "td", "tr", "h1"):
-                best = k
+        plain[parents[k]] += plain[k]
+    named = [k for k in range(len(parents)) if kinds[k] in ("article", "main") and weight[k] > weight[0] / 2]
+    best = named[0] if named else 0
+    # Down to the lowest container of all the content; inside a named one, to a named one only.
+    for k in named[1:] if named else range(1, len(parents)):
+        if plain[k] == plain[best] > 0 and (named or (parents[k] == best and kinds[k] in GROUPS)):
+            best = k
     inside = np.zeros(len(parents), bool)
     inside[best] = True
     for k in range(best + 1, len(parents)):
