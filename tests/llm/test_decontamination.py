@@ -1,9 +1,12 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from vendora.llm import decontamination as D
+from vendora.llm.queries import QUERIES
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LONG = " ".join(f"w{i}" for i in range(14))
@@ -75,6 +78,70 @@ def test_proximity(spark):
     assert near[9] == 1 and near[3] >= 1
 
 
+def brute_near(docs, items):
+    """Per document the number of items with a proximity match only: the two rarest words of
+    a window that any document has stand within five words of their places."""
+    known = {w for _, t in items for w in tokens(t)}
+    counts = Counter(w for _, t in docs for w in tokens(t) if w in known)
+    pairs = set()
+    for item, t in items:
+        v = tokens(t)
+        for s in range(max(0, len(v) - 10) + 1) if v and item is not None else []:
+            ranked = sorted((counts[x], s + i, x) for i, x in enumerate(v[s : s + 10]) if counts[x])
+            if len(ranked) > 1 or len(ranked) == len(v[s : s + 10]):
+                pairs.add((str(item), *[r[1:] for r in (ranked * 2)[:2]]))
+    out = []
+    for i, t in docs:
+        w, at = tokens(t), {}
+        for p, x in enumerate(w):
+            at.setdefault(x, []).append(p)
+        near = {
+            item
+            for item, (a, x), (b, y) in pairs
+            if any(abs(p - a + b - q) <= 5 for p in at.get(x, []) for q in at.get(y, []))
+        }
+        phrases = {str(item) for item, u in items if item is not None and brute(t, [(item, u)])[2]}
+        out.append((i, len(near - phrases)))
+    return sorted(map(str, out))
+
+
+def near_of(df):
+    return sorted(map(str, [(r.doc_id, r.n_near_items) for r in df.collect()]))
+
+
+def near_cases():
+    rng = random.Random(9)
+    changed = LONG.split()[:10]
+    changed[4] = "nowhere"
+    items = [*ITEMS, (20, " ".join(changed)), (21, LONG.replace("w3", "unseen")), (22, "unknown solo"), (23, "unknown unheard")]
+    items += [(30 + i, " ".join(rng.choice("abcdefghuvwxyz") for _ in range(rng.choice([1, 3, 10, 13])))) for i in range(20)]
+    docs = [*DOCS, *[(100 + i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(12)))) for i in range(30)]]
+    return docs, items
+
+
+def test_proximity_equals_brute_force(spark):
+    docs, items = near_cases()
+    got = D.report(*frames(spark, docs, items))
+    assert near_of(got) == brute_near(docs, items)
+    assert found(got) == expected(docs, items)
+
+
+def test_one_rare_word_changed_is_a_proximity_match(spark):
+    docs, items = near_cases()
+    items = [i for i in items if i[0] in (20, 21)]
+    near = {r.doc_id: r.n_near_items for r in D.report(*frames(spark, [(1, LONG)], items)).collect()}
+    assert near == {1: 2 - brute(LONG, items)[2]} and near[1] >= 1
+
+
+def test_proximity_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    read = lambda t, i: [tuple(r) for r in spark.read.parquet(f"{sf}/{t}.parquet").select(i, "text").collect()]
+    docs, items = read("documents", "doc_id"), read("benchmark", "item_id")
+    got = QUERIES["op9_proximity"](spark, sf)
+    assert got.columns[:-1] == QUERIES["op9_decontamination"](spark, sf).columns
+    assert near_of(got) == brute_near(docs, items)
+
+
 def test_keep_clean_keeps_rows_and_columns(spark):
     docs, items = frames(spark)
     kept = D.keep_clean(docs, items)

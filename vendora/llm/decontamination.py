@@ -7,7 +7,7 @@
 2. **Rarest terms.** Counts from the index rank the words of each window of ten
    item words.  The rarest word anchors the window.  Neighbouring windows share
    their anchor, so an item has few.  A window with a word that the index lacks
-   occurs nowhere.
+   occurs nowhere as a phrase; its other words, two at least, are ranked for proximity.
 3. **Intersection.** Each posting of an anchor proposes an alignment (item,
    document, shift).  It is kept if the second rarest word of a window stands at
    its place: an equality join of proposals with that word's postings, so work
@@ -64,7 +64,8 @@ def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text:
 
 def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
     """Rows ``(item, at, term, seconds)``: the rarest word of some window, at its
-    place in the item, with the places and terms of those windows' second words."""
+    place in the item, with the places and terms of those windows' second words, and
+    whether the index has all words of such a window."""
     counts = index.groupBy("term").agg(F.count("*").alias("n"))
     placed = items.select("item", F.posexplode("words").alias("at", "term"))
     ranked = (
@@ -73,20 +74,28 @@ def _anchors(items: DataFrame, index: DataFrame, window: int) -> DataFrame:
         .groupBy("item")
         .agg(F.sort_array(F.collect_list(F.struct("at", "n", "term"))).alias("w"))
     )
+    inside = F.slice("w", F.col("s") + 1, window)
+    indexed = F.filter(inside, lambda x: x["n"] > 0)
     by_rarity = F.sort_array(
-        F.transform(
-            F.slice("w", F.col("s") + 1, window), lambda x: F.struct(x["n"].alias("n"), x["at"].alias("at"), x["term"].alias("term"))
-        )
+        F.transform(indexed, lambda x: F.struct(x["n"].alias("n"), x["at"].alias("at"), x["term"].alias("term")))
     )
     windows = (
         ranked.withColumn("s", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))))
-        .select("item", by_rarity.alias("r"))
-        .filter(F.col("r")[0]["n"] > 0)
-    )
-    return windows.groupBy("item", F.col("r")[0]["at"].alias("at"), F.col("r")[0]["term"].alias("term")).agg(
-        F.collect_set(
-            F.struct(F.get("r", F.lit(1))["at"].alias("at"), F.get("r", F.lit(1))["term"].alias("term"))
-        ).alias("seconds")
+        .select("item", by_rarity.alias("r"), (F.size(indexed) == F.size(inside)).alias("whole"))
+        .filter((F.size("r") > 1) | ((F.size("r") == 1) & F.col("whole")))
+    )
+    second = F.get("r", F.lit(1))
+    return (
+        windows.groupBy(
+            "item",
+            F.col("r")[0]["at"].alias("at"),
+            F.col("r")[0]["term"].alias("term"),
+            second["at"].alias("at2"),
+            second["term"].alias("term2"),
+        )
+        .agg(F.max("whole").alias("whole"))
+        .groupBy("item", "at", "term")
+        .agg(F.collect_list(F.struct(F.col("at2").alias("at"), F.col("term2").alias("term"), "whole")).alias("seconds"))
     )
 
 
@@ -95,7 +104,9 @@ def _alignments(index: DataFrame, anchors: DataFrame, slop: int) -> DataFrame:
     proposed = (
         index.join(sized_broadcast(anchors, BROADCAST_WORDS, F.size("seconds") + 1), "term")
         .select("id", "key", "item", (F.col("pos") - F.col("at")).alias("shift"), F.explode("seconds").alias("b"))
-        .select("id", "key", "item", "shift", F.col("b.term").alias("term"), (F.col("shift") + F.col("b.at")).alias("due"))
+        .select(
+            "id", "key", "item", "shift", F.col("b.term").alias("term"), (F.col("shift") + F.col("b.at")).alias("due"), "b.whole"
+        )
     )
     step = slop + 1
     wanted = anchors.select(F.explode("seconds.term").alias("term")).filter("term IS NOT NULL").distinct()
@@ -110,7 +121,7 @@ def _alignments(index: DataFrame, anchors: DataFrame, slop: int) -> DataFrame:
         .alias("p")
         .join(lists.alias("q"), meets)
         .filter(F.abs(F.col("due") - F.col("pos")) <= slop)
-        .select("p.id", "p.key", "item", "shift", (F.col("due") == F.col("pos")).alias("exact"))
+        .select("p.id", "p.key", "item", "shift", (F.col("whole") & (F.col("due") == F.col("pos"))).alias("exact"))
     )
     # Windows of one word have no second list to meet.
     alone = proposed.filter("term IS NULL").select("id", "key", "item", "shift", F.lit(True).alias("exact"))

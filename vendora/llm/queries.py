@@ -78,6 +78,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(docs, items).drop("n_near_items")
 
 
+def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op9_decontamination``, whose SQL has no proximity, and ``n_near_items``."""
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.report(docs, items)
+
+
 def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(_table(spark, sf_dir, "pages"))
 
@@ -92,5 +98,6 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_perspectives": op8_chat_perspectives,
     "op9_decontamination": op9_decontamination,
+    "op9_proximity": op9_proximity,
     "op10_html_content": op10_html_content,
 }
