@@ -82,7 +82,7 @@ def brute_near(docs, items):
     """Per document the number of items with a proximity match only: the two rarest words of
     a window that any document has stand within five words of their places."""
     known = {w for _, t in items for w in tokens(t)}
-    counts = Counter(w for _, t in docs for w in tokens(t) if w in known)
+    counts = Counter(w for _, t in set(docs) for w in tokens(t) if w in known)
     pairs = set()
     for item, t in items:
         v = tokens(t)
@@ -142,6 +142,17 @@ def test_proximity_query_equals_brute_force(spark):
     assert near_of(got) == brute_near(docs, items)
 
 
+def test_repeated_rows_have_postings_once(spark, monkeypatch):
+    terms = spark.createDataFrame([(f"w{i}",) for i in range(14)], "term string")
+    docs = [(1, LONG)] * 50 + [(None, LONG)] * 50 + [(2, LONG), (2, "w1"), (3, None), (3, None)]
+    for most in (0, D.REPEATED_ROWS):
+        monkeypatch.setattr(D, "REPEATED_ROWS", most)
+        index = D.build_index(spark.createDataFrame(docs, "doc_id long, text string"), terms)
+        assert index.count() == 3 * 14 + 1 == index.distinct().count()
+    docs += DOCS
+    assert found(D.report(*frames(spark, docs))) == expected(docs, ITEMS)
+
+
 def test_keep_clean_keeps_rows_and_columns(spark):
     docs, items = frames(spark)
     kept = D.keep_clean(docs, items)

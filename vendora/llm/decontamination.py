@@ -2,8 +2,8 @@
 
 1. **Index.** Every document is cut into words; the positions of words that some
    benchmark item uses are stored as postings ``(document, position, term)``.
-   Documents are neither shuffled nor collected: a posting list lies spread over
-   the files, in document order.
+   Documents are neither shuffled nor collected, but for one of each group of repeated
+   rows: a posting list lies spread over the files, in document order.
 2. **Rarest terms.** Counts from the index rank the words of each window of ten
    item words.  The rarest word anchors the window.  Neighbouring windows share
    their anchor, so an item has few.  A window with a word that the index lacks
@@ -41,6 +41,8 @@ WINDOW = 10
 SLOP = 5
 # Most words, in all rows together, of a table that is broadcast: about 15 MB.
 BROADCAST_WORDS = 500_000
+# Most repeated (id, key) that are broadcast: about 10 MB.
+REPEATED_ROWS = 200_000
 
 
 def words(text: str) -> Column:
@@ -54,11 +56,20 @@ def _key(text: str) -> Column:
     return F.xxhash64(text_of(text))
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """``docs (id, key, text)`` with one row for each id and key; only texts of repeated
+    rows are shuffled, one a task."""
+    repeated = settle(docs.groupBy("id", "key").agg(F.count("*").alias("n")).filter("n > 1").select("id", "key"), "repeated")
+    d, r = docs.alias("d"), sized_broadcast(repeated, REPEATED_ROWS).alias("r")
+    same = F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.key") == F.col("r.key"))
+    folded = d.join(r, same, "left_semi").groupBy("id", "key").agg(F.max("text").alias("text"))
+    return d.join(r, same, "left_anti").unionByName(folded)
+
+
 def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stored postings ``(id, key, pos, term)`` of the given terms."""
-    tokens = docs.select(
-        F.col(doc_id).alias("id"), _key(text).alias("key"), F.posexplode(words(text)).alias("pos", "term")
-    )
+    """Stored postings ``(id, key, pos, term)`` of the given terms; repeated rows have them once."""
+    given = docs.select(F.col(doc_id).alias("id"), _key(text).alias("key"), F.col(text).alias("text"))
+    tokens = _once(given).select("id", "key", F.posexplode(words("text")).alias("pos", "term"))
     return settle(tokens.join(sized_broadcast(terms, BROADCAST_WORDS), "term").select("id", "key", "pos", "term"), "postings")
 
 
