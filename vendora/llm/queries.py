@@ -15,6 +15,7 @@ from vendora.llm import (
     quality_classifier,
     quality_rules,
     simhash,
+    spelling,
     toxicity,
 )
 from vendora.llm.sql import SQL  # noqa: F401
@@ -88,6 +89,11 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(_table(spark, sf_dir, "documents"))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_line_templates": op2_line_templates,
@@ -100,4 +106,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op9_proximity": op9_proximity,
     "op10_html_content": op10_html_content,
+    "op11_spelling_variants": op11_spelling_variants,
 }
