@@ -56,7 +56,7 @@ def _key(text: str) -> Column:
     return F.xxhash64(text_of(text))
 
 
-def _once(docs: DataFrame) -> DataFrame:
+def distinct_rows(docs: DataFrame) -> DataFrame:
     """``docs (id, key, text)`` with one row for each id and key; only texts of repeated
     rows are shuffled, one a task."""
     repeated = settle(docs.groupBy("id", "key").agg(F.count("*").alias("n")).filter("n > 1").select("id", "key"), "repeated")
@@ -69,7 +69,7 @@ def _once(docs: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Stored postings ``(id, key, pos, term)`` of the given terms; repeated rows have them once."""
     given = docs.select(F.col(doc_id).alias("id"), _key(text).alias("key"), F.col(text).alias("text"))
-    tokens = _once(given).select("id", "key", F.posexplode(words("text")).alias("pos", "term"))
+    tokens = distinct_rows(given).select("id", "key", F.posexplode(words("text")).alias("pos", "term"))
     return settle(tokens.join(sized_broadcast(terms, BROADCAST_WORDS), "term").select("id", "key", "pos", "term"), "postings")
 
 

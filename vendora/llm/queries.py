@@ -10,6 +10,7 @@ from vendora.llm import (
     decontamination,
     html_content,
     lattice_lm,
+    licenses,
     line_templates,
     packing,
     quality_classifier,
@@ -94,6 +95,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lattice_lm": op1_lattice_lm,
     "op2_line_templates": op2_line_templates,
@@ -107,4 +112,5 @@ QUERIES = {
     "op9_proximity": op9_proximity,
     "op10_html_content": op10_html_content,
     "op11_spelling_variants": op11_spelling_variants,
+    "op13_license_scan": op13_license_scan,
 }

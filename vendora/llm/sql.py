@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vendora.llm.licenses import TEMPLATES
 from vendora.llm.quality_rules import STOP_WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -113,4 +114,61 @@ SELECT conv_id, side, position::BIGINT AS position, turn, role, CASE WHEN role =
 FROM placed
 """
 
-SQL = {"op3_quality_rules": OP3, "op8_chat_perspectives": OP8, "op9_decontamination": OP9}
+_NOTICES = ", ".join("({}, '{}', '{}')".format(i, label, text.replace("'", "''")) for i, (label, text) in enumerate(TEMPLATES))
+
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWERED}, '{_ITEM_WORD}') AS w FROM documents
+), notices AS (
+  SELECT template, label, regexp_extract_all({_LOWERED}, '{_ITEM_WORD}') AS tw
+  FROM (VALUES {_NOTICES}) AS v(template, label, text)
+), phrases(label, pw) AS (
+  VALUES ('mit', ['mit', 'license']), ('apache', ['apache', 'license']), ('gpl', ['general', 'public', 'license'])
+), placed AS (
+  SELECT rid, label, s - 1 AS s
+  FROM (SELECT rid, w, label, pw, unnest(range(1, len(w) - len(pw) + 2)) AS s FROM d, phrases WHERE list_contains(w, 'license'))
+  WHERE w[s:s + len(pw) - 1] = pw
+), base AS (
+  SELECT rid, count(*) AS n, min(s) AS first_word, max(s) AS last_word, list(DISTINCT label) AS labels FROM placed GROUP BY rid
+), grams AS (
+  SELECT rid, s, array_to_string(w[s:s + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS s FROM d)
+), index AS (
+  SELECT template, s, array_to_string(tw[s:s + 4], ' ') AS g
+  FROM (SELECT template, tw, unnest(range(1, len(tw) - 3)) AS s FROM notices)
+), votes AS (
+  SELECT rid, template, grams.s - index.s AS diagonal, count(*) AS votes FROM grams JOIN index USING (g) GROUP BY ALL
+), parted AS (
+  SELECT votes.*, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal)
+                           > least(8, len(tw) // 4), true) AS apart
+  FROM votes JOIN notices USING (template)
+), bundled AS (
+  SELECT *, sum(apart::INT) OVER (PARTITION BY rid, template ORDER BY diagonal) AS bundle FROM parted
+), tries AS (
+  SELECT rid, template, bundle, list(diagonal ORDER BY diagonal) AS diagonals
+  FROM bundled JOIN notices USING (template) GROUP BY rid, template, bundle, tw
+  HAVING sum(votes) >= greatest(1, ceil(0.25 * (len(tw) - 4)))
+), aligned AS (
+  SELECT rid, template, bundle, t, min(t + g) AS place
+  FROM (SELECT rid, template, bundle, unnest(diagonals) AS g FROM tries)
+  JOIN (SELECT template, tw, unnest(range(len(tw))) AS t FROM notices) USING (template)
+  JOIN d USING (rid)
+  WHERE t + g >= 0 AND w[t + g + 1] = tw[t + 1]
+  GROUP BY rid, template, bundle, t
+), spans AS (
+  SELECT DISTINCT rid, template, label, first, last, share
+  FROM (SELECT rid, template, bundle, min(place) AS first, max(place) AS last, count(*) AS n FROM aligned GROUP BY ALL)
+  JOIN (SELECT template, label, len(tw) AS size FROM notices) USING (template), LATERAL (SELECT n::DOUBLE / size AS share)
+  WHERE share >= 0.8::DOUBLE
+), method AS (
+  SELECT rid, count(*) AS n, list(DISTINCT label) AS labels, max(share) AS score FROM spans GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(method.labels, []))), ',') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0::DOUBLE) END AS score,
+       coalesce(method.n, 0)::BIGINT AS n_spans
+FROM d LEFT JOIN base USING (rid) LEFT JOIN method USING (rid)
+"""
+
+SQL = {"op3_quality_rules": OP3, "op8_chat_perspectives": OP8, "op9_decontamination": OP9, "op13_license_scan": OP13}
