@@ -17,6 +17,7 @@ from vendora.llm import (
     quality_rules,
     simhash,
     spelling,
+    token_alignment,
     toxicity,
 )
 from vendora.llm.sql import SQL  # noqa: F401
@@ -95,6 +96,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(_table(spark, sf_dir, "documents"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(_table(spark, sf_dir, "documents"))
 
@@ -112,5 +117,6 @@ QUERIES = {
     "op9_proximity": op9_proximity,
     "op10_html_content": op10_html_content,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
     "op13_license_scan": op13_license_scan,
 }
