@@ -39,11 +39,11 @@ from vendora.session import settle
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 # Ids in remembered windows.
-HELD = 1_000_000
+HELD = 400_000
 # Pairs of a group that are made one by one.
 MOST = 4_096
 # Text that is aligned at a time.
-PART = 1 << 20
+PART = 1 << 19
 # Most rows of a broadcast table of counts: about 25 MB.
 BROADCAST_ROWS = 500_000
 
