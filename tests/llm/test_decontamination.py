@@ -164,3 +164,21 @@ def test_keep_clean_keeps_rows_and_columns(spark):
 def test_native(spark):
     plan = D.report(*frames(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_item_and_document_that_repeat_themselves(spark):
+    """Every place of one agrees with every place of the other."""
+    docs = [(1, "a b " * 20_000), (2, "b " + "a b " * 5 + "c"), (3, "a b " * 4)]
+    items = [(1, "a b " * 500), (2, "a a a a a a a a a a a a"), (3, "x " * 12 + LONG + " x" * 12 + " " + LONG)]
+    docs += [(4, "y " + LONG + " x x x"), (5, "x " * 30)]
+    rows = {r.doc_id: r for r in D.report(*frames(spark, docs, items)).collect()}
+    assert [rows[i].n_hit for i in (1, 2, 3, 4, 5)] == [40_000, 11, 0, 17, 30]
+    assert found(D.report(*frames(spark, docs[1:], items))) == expected(docs[1:], items)
+
+
+def test_pieces_hold_each_window_once(spark):
+    text = "a b " * 6 + LONG + " " + LONG
+    got = D.pieces(spark.createDataFrame([(1, text)], "item_id int, text string"), "item_id", "text", 10).collect()
+    held = [tuple(r.words[s : s + 10]) for r in got for s in range(len(r.words) - 9)]
+    w = tokens(text)
+    assert sorted(held) == sorted({tuple(w[s : s + 10]) for s in range(len(w) - 9)})

@@ -16,7 +16,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes of text that a Python worker takes at a time; longer texts come alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -76,6 +76,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYT
             yield batch.slice(start)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends Python workers batches of that size too; by default
+    it would hold 10,000 rows or 64 MB of texts for each task, beside its heap."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def arrow_map(df: DataFrame, per_batch: Callable, schema: str, column: str) -> DataFrame:
     """``mapInArrow`` over bounded batches; ``per_batch`` returns a table or batch."""
 
@@ -84,4 +91,4 @@ def arrow_map(df: DataFrame, per_batch: Callable, schema: str, column: str) -> D
             out = per_batch(batch)
             yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)

@@ -1,5 +1,8 @@
 """Finding benchmark passages in documents with a positional inverted index.
 
+0. **Pieces.** Of windows of the same words an item keeps the first; each run of kept windows is a
+   piece that stands for the item.  Most items are one piece.  An item that repeats itself, held
+   against a document that does, would else agree at every place with every place.
 1. **Index.** Every document is cut into words; the positions of words that some
    benchmark item uses are stored as postings ``(document, position, term)``.
    Documents are neither shuffled nor collected, but for one of each group of repeated
@@ -13,8 +16,9 @@
    its place: an equality join of proposals with that word's postings, so work
    follows the rarer list and never a product of lists.  The same join finds
    second words a few places off: those items are proximity matches.
-4. **Phrases.** Kept alignments are compared with the document word by word.  All
-   words inside any window that agrees in full are hit.
+4. **Phrases.** Kept alignments, for each document and piece a list of shifts beside the words once,
+   are compared with the document word by word.  All words inside any window that agrees in
+   full are hit.
 
 Only DataFrame functions are used.  What is broadcast is counted first
 (``BROADCAST_WORDS``); beyond the bound the same joins shuffle.
@@ -28,6 +32,7 @@ counted; empty tables give empty or clean results; other columns are not read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendora.llm.common import LOWER, UPPER, fresh, let, sized_broadcast, text_of
@@ -66,6 +71,37 @@ def distinct_rows(docs: DataFrame) -> DataFrame:
     return d.join(r, same, "left_anti").unionByName(folded)
 
 
+def pieces(benchmark: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
+    """Rows ``(item, item_id, words)``: for each item the runs of its windows that are not copies of
+    earlier ones."""
+    given = (
+        benchmark.select(F.col(item_id).cast("string").alias("item_id"), words(item_text).alias("words"))
+        .filter(F.size("words") > 0)
+        .distinct()
+        .withColumn("whole", F.xxhash64("item_id", "words"))
+    )
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))
+    kept = (
+        given.select("whole", F.posexplode(F.transform(starts, lambda s: F.slice("words", s + 1, window))).alias("s", "held"))
+        .groupBy("whole", "held")
+        .agg(F.min("s").alias("s"))
+    )
+    # At most as many rows as the item has words.
+    along = W.partitionBy("whole").orderBy("s")
+    runs = (
+        kept.select("whole", "s", (F.col("s") - F.row_number().over(along)).alias("run"))
+        .groupBy("whole", "run")
+        .agg(F.min("s").alias("low"), F.max("s").alias("high"))
+    )
+    piece = F.slice("words", F.col("low") + 1, F.col("high") - F.col("low") + window)
+    return (
+        given.join(runs, "whole")
+        .select("item_id", piece.alias("words"))
+        .distinct()
+        .withColumn("item", F.xxhash64("item_id", "words"))
+    )
+
+
 def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Stored postings ``(id, key, pos, term)`` of the given terms; repeated rows have them once."""
     given = docs.select(F.col(doc_id).alias("id"), _key(text).alias("key"), F.col(text).alias("text"))
@@ -152,28 +188,27 @@ def match(
     """Per document its id, key of the text, ``n_words``, ``hits`` (item id, start
     and length in words of each phrase match) and ``near_items`` (ids of items with a
     proximity match)."""
-    items = settle(
-        benchmark.select(F.col(item_id).cast("string").alias("item_id"), words(item_text).alias("words"))
-        .filter(F.size("words") > 0)
-        .distinct()
-        .withColumn("item", F.xxhash64("item_id", "words")),
-        "items",
-    )
+    items = settle(pieces(benchmark, item_id, item_text, window), "items")
     index = build_index(docs, items.select(F.explode("words").alias("term")).distinct(), doc_id, text)
     anchors = settle(_anchors(items, index, window), "anchors")
-    found = _alignments(index, anchors, slop)
+    found = (
+        _alignments(index, anchors, slop)
+        .groupBy("id", "key", "item")
+        .agg(F.collect_list(F.when(F.col("exact"), F.col("shift"))).alias("shifts"))
+    )
     of_doc = (
         found.join(sized_broadcast(items, BROADCAST_WORDS, F.size("words") + 1), "item")
         .groupBy("id", "key")
         .agg(
-            F.collect_list(F.when(F.col("exact"), F.struct("item_id", "shift", "words"))).alias("tries"),
+            F.collect_list(F.when(F.size("shifts") > 0, F.struct("item_id", "shifts", "words"))).alias("tries"),
             F.array_sort(F.collect_set("item_id")).alias("near_items"),
         )
     )
     tried = settle(of_doc, "alignments")
     d = docs.select(F.col(doc_id).alias("id"), _key(text).alias("key"), F.col(text).alias("text"))
     on = d["id"].eqNullSafe(tried["id"]) & (d["key"] == tried["key"])
-    held = F.size(F.flatten(F.transform("tries", lambda t: t["words"]))) + F.size("near_items") + 1
+    listed = F.aggregate("tries", F.lit(0), lambda n, t: n + F.size(t["words"]) + F.size(t["shifts"]))
+    held = listed + F.size("near_items") + 1
     both = d.join(sized_broadcast(tried, BROADCAST_WORDS, held), on, "left").select(d["id"], d["key"], words("text").alias("w"), "tries", "near_items")
     return both.select(
         "id",
@@ -185,31 +220,45 @@ def match(
 
 
 def _phrases(w: Column, t: Column, window: int) -> Column:
-    """Windows of the item of alignment ``t`` that agree with the words ``w`` in full."""
+    """Windows of the piece in ``t`` that agree with the words ``w`` in full, at any of its shifts."""
     length = F.least(F.size(t["words"]), F.lit(window))
     at = lambda p: F.when(p >= 0, F.get(w, p))
-    agrees = F.transform(t["words"], lambda x, i: F.coalesce(at(t["shift"] + i) == x, F.lit(False)))
-    starts = let(
-        agrees,
-        lambda a: F.filter(
-            F.sequence(F.lit(0), F.size(a) - length), lambda s: F.forall(F.slice(a, s + 1, length), lambda x: x)
-        ),
-    )
-    return F.transform(
-        starts, lambda s: F.struct(t["item_id"].alias("item_id"), (t["shift"] + s).alias("start"), length.alias("length"))
-    )
+
+    def here(shift: Column) -> Column:
+        agrees = F.transform(t["words"], lambda x, i: F.coalesce(at(shift + i) == x, F.lit(False)))
+        starts = let(
+            agrees,
+            lambda a: F.filter(
+                F.sequence(F.lit(0), F.size(a) - length), lambda s: F.forall(F.slice(a, s + 1, length), lambda x: x)
+            ),
+        )
+        return F.transform(
+            starts, lambda s: F.struct(t["item_id"].alias("item_id"), (shift + s).alias("start"), length.alias("length"))
+        )
+
+    return F.flatten(F.transform(t["shifts"], here))
+
+
+def _covered(hits: Column) -> Column:
+    """How many words lie in any of the hits."""
+    spans = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"].alias("low"), (h["start"] + h["length"]).alias("high"))))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("high"))
+
+    def add(so_far: Column, x: Column) -> Column:
+        high = F.greatest(so_far["high"], x["high"])
+        new = high - F.least(F.greatest(so_far["high"], x["low"]), high)
+        return F.struct((so_far["n"] + new).alias("n"), high.alias("high"))
+
+    return F.aggregate(spans, start, add, lambda x: x["n"])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """Per document: words, words hit, items with phrase matches, their digest, and the verdict."""
-    hit = F.array_distinct(
-        F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["length"] - 1)))
-    )
     items = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda h: h["item_id"]), lambda x: x.isNotNull())))
     return match(docs, benchmark, doc_id, text, **more).select(
         F.col("id").alias(doc_id),
         F.col("n_words").cast("long").alias("n_words"),
-        F.size(hit).cast("long").alias("n_hit"),
+        _covered(F.col("hits")).cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
@@ -227,4 +276,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         .distinct()
     )
     same = F.col(doc_id).eqNullSafe(F.col(id_)) & (_key(text) == F.col(key))
-    return docs.join(bad, same, "left_anti")
+    return docs.join(sized_broadcast(settle(bad, "contaminated"), REPEATED_ROWS), same, "left_anti")

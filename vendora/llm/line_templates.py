@@ -166,7 +166,8 @@ def drop_recurring(
         .groupBy(F.col("id").alias(i), F.col("key").alias(k))
         .agg(F.collect_set(F.struct("h1", "h2")).alias(gone))
     )
-    # A document's list is no longer than the document.
+    # A document's list is no longer than the document; whole texts are shuffled only if the lists are long.
+    drops = sized_broadcast(settle(drops, "drops"), BROADCAST_ROWS, F.size(gone) + 2)
     found = docs.join(drops, F.col(doc_id).eqNullSafe(F.col(i)) & (_key(F.col(text)) == F.col(k)), "left")
     split = F.split(F.col(text), "\n", -1)
     left = F.filter(split, lambda x: ~F.array_contains(F.col(gone), F.struct(*_identity(tokens(x)))))

@@ -52,16 +52,25 @@ BUCKET = 512
 def encoder(path: str) -> tiktoken.Encoding:
     """The byte-pair vocabulary of a tokenizers file.
 
-    Ids in such a file follow the order of its merges, so they serve as ranks; names
-    of special tokens in a text are ordinary text."""
+    Ids in such a file follow the order of its merges, so they serve as ranks."""
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        file = json.load(f)
+    vocab, special = file["model"]["vocab"], {t["content"]: t["id"] for t in file["added_tokens"]}
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     others = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if all(c in byte_of for c in token)}
-    ranks.pop(b"<|endoftext|>", None)
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for name in special:
+        ranks.pop(name.encode(), None)
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def token_ids(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids as the file's own library gives them without adding any: a special token's name in a
+    text is that token."""
+    if any(name in text for name in encoding.special_tokens_set):
+        return encoding.encode(text, allowed_special="all")
+    return encoding.encode_ordinary(text)
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -77,10 +86,10 @@ def pieces(
     path = tokenizer or public_tokenizers.path(TOKENIZER)
 
     def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = encoder(path).encode_ordinary
+        encoding = encoder(path)
         rows, out = [], []
         for row, text in enumerate(batch.column("text").to_pylist()):
-            ids = np.array(encode(text or "") + [END_ID], "<u4")
+            ids = np.array(token_ids(encoding, text or "") + [END_ID], "<u4")
             for k, (start, n) in enumerate(cuts(len(ids), capacity)):
                 rows.append(row)
                 out.append((k, start, n, zlib.crc32(ids[start : start + n].tobytes())))

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendora.llm.common import ASCII_LOWER, WORD, arrow_map, fresh
+from vendora.llm.common import ASCII_LOWER, WORD, arrow_map, fresh, sized_broadcast
 from vendora.session import settle
 
 SHINGLE = 3
@@ -56,6 +56,8 @@ MAX_SHARDS = 4_096
 PART = 32_768
 # Shingles hashed at a time.
 BLOCK = 65_536
+# Most rows of ids and keys that are broadcast: about 10 MB.
+BROADCAST_ROWS = 200_000
 # Links held before they are folded into a forest.
 HELD = 500_000
 
@@ -307,20 +309,25 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     Null ids come last; texts that share the id are told apart by hash, and of
     rows alike in id and text one stays."""
-    id_, key, times = fresh(docs, "_id", "_key", "_times")
+    id_, key = fresh(docs, "_id", "_key")
     fps = settle(fingerprints(docs, doc_id, text), "fingerprints")
     best = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
-    copies = fps.groupBy("fp", "id", "key").agg(F.count("*").alias("times"))
+    copies = settle(fps.groupBy("fp", "id", "key").agg(F.count("*").alias("times")), "copies")
     chosen = (
         copies.join(linked(fps), "fp")
         .groupBy("root")
         .agg(F.min_by(F.struct("id", "key", "times"), best).alias("c"))
-        .select(F.col("c.id").alias(id_), F.col("c.key").alias(key), F.col("c.times").alias(times))
+        .select("c.id", "c.key", "c.times")
     )
     chosen = settle(chosen, "chosen")
+    c, k = copies.alias("c"), chosen.alias("k")
+    same = F.col("c.id").eqNullSafe(F.col("k.id")) & (F.col("c.key") == F.col("k.key"))
+    named = [F.col("id").alias(id_), F.col("key").alias(key)]
+    # Ids and keys of what goes, and of what the table holds more than once, meet the texts.
+    gone = sized_broadcast(settle(c.join(k, same, "left_anti").select(*named), "gone"), BROADCAST_ROWS)
+    repeated = sized_broadcast(settle(chosen.filter("times > 1").select(*named), "repeated"), BROADCAST_ROWS)
     same = F.col(doc_id).eqNullSafe(F.col(id_)) & (_key(text) == F.col(key))
-    kept = docs.join(chosen, same)
-    alone = kept.filter(F.col(times) == 1)
-    # Few documents come here: those kept that the table holds more than once.
-    repeated = kept.filter(F.col(times) > 1).dropDuplicates([id_, key])
-    return alone.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = docs.join(gone, same, "left_anti")
+    alone = kept.join(repeated, same, "left_anti")
+    again = kept.join(repeated, same).dropDuplicates([id_, key])
+    return alone.unionByName(again.select(*[F.col(f"`{x}`") for x in docs.columns]))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendora.llm.common import ASCII_LOWER, slices, text_of
+from vendora.llm.common import ASCII_LOWER, slices, small_batches, text_of
 from vendora.session import settle
 
 MIN_LENGTH = 7
@@ -103,7 +103,8 @@ def vocabulary(
         yield out(held)
 
     given = docs.select(text_of(doc_id).alias("doc"), text_of(text).alias("text"))
-    return given.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    counted = small_batches(given).mapInArrow(count, "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
 # --- One slice ------------------------------------------------------------------------

@@ -32,7 +32,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vendora.llm.common import slices, sized_broadcast
+from vendora.llm.common import sized_broadcast, slices, small_batches
 from vendora.llm.packing import encoder
 from vendora.session import settle
 
@@ -58,7 +58,7 @@ class First:
     def __init__(self, path: str):
         self.encoding = encoder(path)
         self.ids = self.encoding.encode_ordinary
-        size = max(self.encoding._mergeable_ranks.values()) + 1
+        size = self.encoding.n_vocab
         self.bytes = [b""] * size
         for token, i in self.encoding._mergeable_ranks.items():
             self.bytes[i] = token
@@ -261,7 +261,7 @@ def align(
 
     given = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     kind = given.schema["id"].dataType.simpleString()
-    return given.mapInArrow(
+    return small_batches(given).mapInArrow(
         run, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, groups string, pairs {PAIRS}"
     )
 
