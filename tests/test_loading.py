@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -135,6 +136,133 @@ def test_stream_takes_late_lines_and_spares_a_table_that_exists(spark, tmp_path)
     assert deliver([OLD[1]], "c2") == content(fact(spark, [*OLD, late, ("own", date(2018, 1, 9), 1)]))
 
 
+@pytest.fixture()
+def no_markers(spark):
+    """A store whose writers leave no success markers."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(name, "false")
+    yield
+    conf.unset(name)
+
+
+def test_merge_without_success_markers(spark, no_markers, tmp_path):
+    path = f"{tmp_path}/t"
+    incremental.full_refresh(fact(spark, OLD), path)
+    got = content(incremental.merge(fact(spark, [("b", date(2018, 3, 1), 20), ("n", date(2018, 4, 1), 4)]), path))
+    assert got == content(fact(spark, [OLD[0], ("b", date(2018, 3, 1), 20), OLD[2], ("n", date(2018, 4, 1), 4)]))
+    assert not list(Path(path).rglob("_SUCCESS"))
+
+
+def test_stream_into_a_table_without_success_markers(spark, no_markers, tmp_path):
+    path, feed = f"{tmp_path}/t", f"{tmp_path}/feed"
+    fact(spark, OLD).write.partitionBy("order_month").parquet(path)
+    new = fact(spark, [("n", date(2018, 4, 1), 4)])
+    new.write.parquet(feed)
+    order_feed.merge_into(order_feed.line_stream(spark, feed, new.schema), path, f"{tmp_path}/c")
+    assert content(tables.read_table(spark, path, new.schema)) == content(fact(spark, [*OLD, ("n", date(2018, 4, 1), 4)]))
+
+
+def test_merge_into_nothing(spark, tmp_path):
+    for path in (f"{tmp_path}/missing", f"{tmp_path}/empty"):
+        Path(f"{tmp_path}/empty").mkdir(exist_ok=True)
+        assert content(incremental.merge(fact(spark, OLD), path)) == content(fact(spark, OLD))
+
+
+def index_of(spark, path):
+    index, _ = incremental.find_index(spark, path)
+    rows = incremental.read_index(spark, index, fact(spark, []).schema).collect()
+    return sorted((r["order_item_key"], str(r["order_month"])[:7]) for r in rows)
+
+
+def test_merge_opens_touched_buckets_and_months_only(spark, tmp_path):
+    """Files of other months and other buckets are spoilt; a merge that opened one would fail."""
+    path = f"{tmp_path}/t"
+    rows = [(f"k{i}", date(2018, 1 + i % 6, 3), i) for i in range(60)]
+    incremental.full_refresh(fact(spark, rows), path, indexed=True)
+    index, buckets = incremental.find_index(spark, path)
+    delta = fact(spark, [("k0", date(2018, 2, 9), 100)])
+    mine = incremental._keys_of(delta, buckets).first()["bucket"]
+    plan = incremental.read_index(spark, index, delta.schema, [mine])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    for file in Path(path).rglob("*.parquet"):
+        where = str(file.parent)
+        if not any(x in where for x in ("2018-01", "2018-02", f"bucket={mine}")):
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+            file.write_bytes(b"spoilt")
+    incremental.merge(delta, path)
+    left = spark.read.schema(FACT).parquet(path).filter("order_month < '2018-03-01'")
+    expected = [r for r in rows[1:] if r[1].month < 3] + [("k0", date(2018, 2, 9), 100)]
+    assert content(left) == content(fact(spark, expected))
+
+
+def test_index_follows_every_writer(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    incremental.full_refresh(fact(spark, OLD), path, indexed=True)
+    incremental.append_new(fact(spark, [("d", date(2018, 4, 1), 4)]), path)
+    incremental.append_with_lookback(fact(spark, [("e", date(2018, 4, 2), 5)]), path)
+    incremental.replace_months(fact(spark, [("f", date(2018, 1, 8), 6)]), path)
+    incremental.merge(fact(spark, [("d", date(2018, 5, 1), 40), ("g", None, 7)]), path)
+    held = {(r["order_item_key"], str(r["order_month"])[:7]) for r in spark.read.schema(FACT).parquet(path).collect()}
+    assert held <= set(index_of(spark, path))
+    assert ("d", "2018-04") not in index_of(spark, path)
+    got = content(incremental.merge(fact(spark, [("e", date(2018, 1, 9), 50), ("g", date(2018, 6, 1), 8)]), path))
+    wanted = [("f", date(2018, 1, 8), 6), OLD[1], OLD[2], ("d", date(2018, 5, 1), 40), ("e", date(2018, 1, 9), 50)]
+    assert got == content(fact(spark, [*wanted, ("g", date(2018, 6, 1), 8)]))
+    incremental.full_refresh(fact(spark, OLD), path)
+    assert incremental.find_index(spark, path) is None
+
+
+def test_merges_in_any_order_equal_a_dictionary(spark, tmp_path, monkeypatch):
+    """Random deliveries with moves and cut-offs, against the plain meaning of a merge."""
+    monkeypatch.setattr(incremental, "MIN_BUCKETS", 3)
+    rng, path, state = random.Random(4), f"{tmp_path}/t", {}
+    for round_ in range(6):
+        keys = rng.sample("abcdefghij", rng.randint(1, 5))
+        rows = [(k, date(2018, rng.randint(1, 4), rng.randint(1, 28)), rng.randint(1, 99)) for k in keys]
+        if round_ == 3:
+            with monkeypatch.context() as m:
+                m.setattr(incremental, "_write_buckets", lambda *a: (_ for _ in ()).throw(OSError("cut off")))
+                with pytest.raises(OSError):
+                    incremental.merge(fact(spark, rows), path)
+        else:
+            incremental.merge(fact(spark, rows), path)
+        state |= {k: (k, d, a) for k, d, a in rows}
+        incremental.recover(spark, path, fact(spark, []).schema)
+        assert content(spark.read.schema(FACT).parquet(path)) == content(fact(spark, list(state.values())))
+
+
+def test_stream_sets_late_lines_aside_and_loses_none(spark, tmp_path, monkeypatch):
+    feed, path = f"{tmp_path}/feed", f"{tmp_path}/t"
+    merged = []
+    merge = order_feed.merge
+    monkeypatch.setattr(order_feed, "merge", lambda rows, *a, **k: (merged.append(content(rows)), merge(rows, *a, **k))[1])
+
+    def deliver(rows, checkpoint="c"):
+        df = fact(spark, rows)
+        df.coalesce(1).write.mode("append").parquet(feed)
+        order_feed.merge_into(order_feed.line_stream(spark, feed, df.schema), path, f"{tmp_path}/{checkpoint}")
+        return content(spark.read.schema(FACT).parquet(path))
+
+    def late():
+        return content(order_feed.late_lines(spark, path, fact(spark, []).schema))
+
+    first = [("a", date(2018, 3, 1), 1), ("b", date(2018, 3, 20), 2), ("u", None, 3)]
+    assert deliver(first) == content(fact(spark, first)) and late() == content(fact(spark, first[2:]))
+    # At the mark (13 March) is late, after it is not; an unchanged line comes again, a changed one too.
+    second = [("c", date(2018, 3, 13), 4), ("d", date(2018, 3, 14), 5), ("b", date(2018, 3, 20), 2), ("e", date(2017, 1, 1), 6)]
+    assert deliver(second) == content(fact(spark, [*first, second[0], second[1], second[3]]))
+    assert late() == content(fact(spark, [first[2], second[0], second[3]]))
+    assert ("b", "2018-03-20", D("2.00")) not in merged[-1]
+    third = [("b", date(2018, 3, 20), 22), ("d", date(2018, 3, 14), 5)]
+    state = [first[0], first[2], second[0], second[1], second[3], third[0]]
+    assert deliver(third) == content(fact(spark, state))
+    # Another checkpoint starts without state and marks: everything comes again, nothing is lost.
+    again = deliver([("z", date(2018, 4, 1), 9)], "other")
+    assert {r[0] for r in again} == {"a", "b", "c", "d", "e", "u", "z"}
+    assert late() == content(fact(spark, [first[2], first[2], second[0], second[3]]))
+
+
 def test_replace_months(spark, target):
     delivered = fact(spark, [("c2", date(2018, 3, 2), 5)])
     assert content(incremental.replace_months(delivered, target)) == content(fact(spark, [*OLD[:2], ("c2", date(2018, 3, 2), 5)]))

@@ -4,31 +4,95 @@ The target is a Parquet table partitioned by ``order_month``.  Every function
 takes the target's path and the full or delivered source rows, changes only the
 partitions it has to, and returns the table as it is afterwards.
 
-A merge first stores the rows of the months it will replace in the table's own
-``_pending`` folder, which readers of the table pass over.  If it is cut off after
-that, the next merge finishes it before its own work (:func:`recover`).
+**Key index.** A merge has to know in which months the delivered keys are stored.  The
+table's own ``_keys`` folder, which readers of the table pass over, lists each key with its
+month in hashed buckets, sorted by key; a merge reads and rewrites the buckets of the
+delivered keys only.  The index may list months that a key has left, never miss one:
+other writers add their keys before they write rows.
+
+**Unfinished merges.** A merge first stores the rows of the months it will replace, and the
+buckets, in the table's ``_pending`` folder, and last a row that commits them.  If it is cut off
+after that, the next merge finishes it before its own work (:func:`recover`).  What is there is told
+by data files; markers that a writer may or may not leave decide nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vendora.functions.fixed_values import LOOKBACK_DAYS
 from vendora.operators.keys import reject_unusable
-from vendora.session import exists, remove
-from vendora.sources.tables import append_rows, read_table, replace_partitions, write_table
+from vendora.session import remove
+from vendora.sources.tables import append_rows, holds_rows, newest_version, publish, read_table, replace_partitions, write_table
 
 PARTITION = "order_month"
 KEY = "order_item_key"
+BUCKET = "bucket"
+# Keys of one bucket of the index, and the fewest buckets.
+BUCKET_KEYS = 1_000_000
+MIN_BUCKETS = 16
 
 
-def full_refresh(source: DataFrame, path: str) -> DataFrame:
-    return write_table(source, path, PARTITION)
+def full_refresh(source: DataFrame, path: str, indexed: bool = False) -> DataFrame:
+    """Rebuild the table; what was pending and the index of the old one go.  ``indexed`` builds the
+    index now and not at the first merge."""
+    table = write_table(source, path, PARTITION)
+    for folder in ("_pending", "_keys"):
+        remove(source.sparkSession, f"{path}/{folder}")
+    if indexed:
+        build_index(table, path)
+    return table
+
+
+# --- The key index ---------------------------------------------------------------
+
+
+def build_index(table: DataFrame, path: str) -> tuple[str, int]:
+    """Index the keys of the whole table; returns the index's path and number of buckets.
+
+    It counts once it is published, so one that was cut off is built again."""
+    spark = table.sparkSession
+    buckets = max(MIN_BUCKETS, -(-table.count() // BUCKET_KEYS))
+    index = f"{path}/_keys/{buckets}-{uuid.uuid4().hex}"
+    _write_buckets(_keys_of(table, buckets), index, "append")
+    publish(spark, f"{path}/_keys", index)
+    return index, buckets
+
+
+def find_index(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    index = newest_version(spark, f"{path}/_keys")[1]
+    return None if index is None else (index, int(index.rsplit("/", 1)[1].split("-")[0]))
+
+
+def read_index(spark: SparkSession, index: str, schema: StructType, buckets: list[int] | None = None) -> DataFrame:
+    """Rows ``(key, month, bucket)``; with ``buckets``, no others are opened."""
+    fields = [schema[KEY], schema[PARTITION], StructField(BUCKET, IntegerType())]
+    rows = spark.read.schema(StructType(fields)).parquet(index)
+    return rows if buckets is None else rows.filter(F.col(BUCKET).isin(buckets))
+
+
+def _keys_of(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.select(KEY, PARTITION, F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias(BUCKET))
+
+
+def _write_buckets(keys: DataFrame, index: str, mode: str) -> None:
+    sorted_keys = keys.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, KEY)
+    writer = sorted_keys.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET).parquet(index)
+
+
+def _index_first(rows: DataFrame, path: str) -> None:
+    """List the keys of rows that are about to be written, if the table has an index."""
+    found = find_index(rows.sparkSession, path)
+    if found:
+        index, buckets = found
+        _write_buckets(_keys_of(rows, buckets), index, "append")
 
 
 def high_water_mark(target: DataFrame) -> date | None:
@@ -57,7 +121,7 @@ def append_new(source: DataFrame, path: str) -> DataFrame:
     loaded are lost; :func:`missed_rows` counts them."""
     spark = source.sparkSession
     target = read_table(spark, path, source.schema)
-    append_rows(newer_than(source, high_water_mark(target)), path, PARTITION)
+    _append(newer_than(source, high_water_mark(target)), path)
     return read_table(spark, path, source.schema)
 
 
@@ -68,10 +132,15 @@ def append_with_lookback(source: DataFrame, path: str, days: int = LOOKBACK_DAYS
     mark = high_water_mark(target)
     recent = newer_than(source, mark, days)
     loaded = newer_than(target, mark, days).select(KEY)
-    append_rows(one_per_key(recent.join(loaded, KEY, "left_anti")), path, PARTITION)
+    _append(one_per_key(recent.join(loaded, KEY, "left_anti")), path)
     return read_table(spark, path, source.schema)
 
 
+def _append(rows: DataFrame, path: str) -> None:
+    _index_first(rows, path)
+    append_rows(rows, path, PARTITION)
+
+
 def one_per_key(rows: DataFrame) -> DataFrame:
     """One row of each key; of different ones the greatest, so that the choice is stable.
 
@@ -88,46 +157,62 @@ def merge(delta: DataFrame, path: str, key_keeps_month: bool = False) -> DataFra
     """Replace rows with a known key, insert the others; a key may come once.
 
     Only months that hold a delivered or a replaced row are rewritten; a key
-    that moved to another month touches both.  To find such keys, the key column
-    of the whole table is read.  Where a key cannot move (its month follows from
+    that moved to another month touches both.  The key index tells where keys are; it is
+    built by the first merge.  Where a key cannot move (its month follows from
     a moment that never changes), ``key_keeps_month`` says so, and no month but the
-    delivered ones is read."""
+    delivered ones is looked at.  A table without rows takes the delivered ones."""
     spark = delta.sparkSession
     reject_unusable(delta, KEY, "delivered rows")
     recover(spark, path, delta.schema)
-    target = read_table(spark, path, delta.schema)
-    keys = delta.select(KEY)
+    if holds_rows(spark, path):
+        target = read_table(spark, path, delta.schema)
+    else:
+        target = spark.createDataFrame([], delta.schema)
+    found = find_index(spark, path)
+    if not found and not key_keeps_month:
+        found = build_index(target, path)
     # One row per calendar month.
     touched = _months(delta)
-    if not key_keeps_month:
-        touched |= _months(target.join(keys, KEY, "left_semi"))
-    kept = target.filter(_in_months(touched)).join(keys, KEY, "left_anti")
-    pending = f"{path}/_pending/rows"
-    remove(spark, pending)
-    kept.unionByName(delta).write.parquet(pending)
-    rewritten = spark.read.schema(delta.schema).parquet(pending)
-    emptied = touched - _months(rewritten)
-    spark.createDataFrame([(m,) for m in emptied], "month timestamp_ntz").write.mode("overwrite").parquet(
-        f"{path}/_pending/emptied"
-    )
+    if found:
+        index, buckets = found
+        given = _keys_of(delta, buckets)
+        # At most as many as the index has buckets.
+        opened = sorted(r[0] for r in given.select(BUCKET).distinct().collect())
+        known = read_index(spark, index, delta.schema, opened)
+        if not key_keeps_month:
+            touched |= _months(known.join(given.select(BUCKET, KEY), [BUCKET, KEY], "left_semi"))
+        others = known.join(given.select(BUCKET, KEY), [BUCKET, KEY], "left_anti")
+        others.unionByName(given).write.mode("overwrite").parquet(f"{path}/_pending/keys")
+    kept = target.filter(_in_months(touched)).join(delta.select(KEY), KEY, "left_anti")
+    kept.unionByName(delta).write.mode("overwrite").parquet(f"{path}/_pending/rows")
+    emptied = touched - _months(spark.read.schema(delta.schema).parquet(f"{path}/_pending/rows"))
+    commit = [(list(emptied), found[0] if found else None)]
+    spark.createDataFrame(commit, "emptied array<timestamp_ntz>, index string").coalesce(1).write.parquet(f"{path}/_pending/commit")
     recover(spark, path, delta.schema)
     return read_table(spark, path, delta.schema)
 
 
 def recover(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Replace the months of a stored, unfinished merge; doing it twice changes nothing."""
+    """Finish a merge that is stored in full, twice if need be; forget one that is not."""
     pending = f"{path}/_pending"
-    # The list of emptied months is written last: with it, the merge is known in full.
-    if exists(spark, f"{pending}/emptied/_SUCCESS"):
-        replace_partitions(spark.read.schema(schema).parquet(f"{pending}/rows"), path, PARTITION)
-        for row in spark.read.parquet(f"{pending}/emptied").collect():  # calendar months
-            name = "__HIVE_DEFAULT_PARTITION__" if row.month is None else quote(f"{row.month}", safe=" -")
-            remove(spark, f"{path}/{PARTITION}={name}")
+    # The commit is written last: with its row, the merge is known in full.
+    if holds_rows(spark, f"{pending}/commit"):
+        commit = spark.read.parquet(f"{pending}/commit").first()
+        if commit:
+            replace_partitions(spark.read.schema(schema).parquet(f"{pending}/rows"), path, PARTITION)
+            for month in commit["emptied"]:  # calendar months
+                name = "__HIVE_DEFAULT_PARTITION__" if month is None else quote(f"{month}", safe=" -")
+                remove(spark, f"{path}/{PARTITION}={name}")
+            if commit["index"]:
+                _write_buckets(read_index(spark, f"{pending}/keys", schema), commit["index"], "overwrite")
+    # The commit goes first: what is left without it is forgotten.
+    remove(spark, f"{pending}/commit")
     remove(spark, pending)
 
 
 def replace_months(delivered: DataFrame, path: str) -> DataFrame:
     """Delete and insert: the months that were delivered again are replaced."""
+    _index_first(delivered, path)
     replace_partitions(delivered, path, PARTITION)
     return read_table(delivered.sparkSession, path, delivered.schema)
 

@@ -541,7 +541,10 @@ SELECTS = {
         GROUP BY c.order_month HAVING missing_rows + stale_rows > 0""",
     "stream_inc_fact": f"""
         SELECT order_month, count(*) AS line_count,
-               CAST(ifnull(sum(order_amount) FILTER (WHERE is_delivered), 0) AS {MONEY}) AS gmv_delivered
+               CAST(ifnull(sum(order_amount) FILTER (WHERE is_delivered), 0) AS {MONEY}) AS gmv_delivered,
+               count(*) FILTER (WHERE freight_value <= 0 AND order_date <= (
+                 SELECT max(order_date) FROM fct_orders WHERE order_date < DATE '2000-04-01' AND freight_value > 0
+               ) - INTERVAL 7 DAY) AS late_lines
         FROM fct_orders GROUP BY order_month""",
     "scd2_timestamp": "SELECT * FROM history",
     "scd2_check": _history("2026-01-01 00:00:00", "2026-02-01 00:00:00", updated_at=False),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
 from vendora.functions.metrics import gmv, gmv_all, rfm_segment_with_keep
+from vendora.functions.rounding import month_of
 from vendora.functions.tiles import with_ntiles
 from vendora.functions.unions import union_all
 from vendora.operators import audits, core, incremental, profiling, quality, scd, staging
@@ -448,11 +449,11 @@ def _misdated(fact: DataFrame) -> DataFrame:
     )
 
 
-def _started(spark, d, rows) -> tuple[DataFrame, str]:
+def _started(spark, d, rows, indexed=False) -> tuple[DataFrame, str]:
     """The stored fact of run 2 and the path of the table that run 1 loaded."""
     fact = settle(_fct_orders(spark, d, with_line_ids=True), "fct_orders")
     path = work_path(spark, "target")
-    incremental.full_refresh(rows(fact), path)
+    incremental.full_refresh(rows(fact), path, indexed)
     return fact, path
 
 
@@ -479,7 +480,7 @@ def inc_lookback_dedup(spark, d):
 def inc_merge(spark, d):
     """Late, changed and new lines are delivered and merged by key.  Lines of run 1
     whose approved orders were stored a month too early move to their month."""
-    fact, path = _started(spark, d, lambda f: _misdated(_on_time(_run_1(f))))
+    fact, path = _started(spark, d, lambda f: _misdated(_on_time(_run_1(f))), indexed=True)
     new = F.col("order_date") >= F.lit(RUN_1_BEFORE).cast("date")
     late_or_changed = (F.col("freight_value") <= 0) | (F.col("order_status") == "approved")
     return incremental.merge(_corrected(fact).filter(new | late_or_changed), path)
@@ -502,7 +503,8 @@ def inc_missed_rows(spark, d):
 @query
 def stream_inc_fact(spark, d):
     """Lines of run 1 arrive as files, then those of run 2 with the last days again and
-    lines that are years late; a restart with a new checkpoint delivers all once more."""
+    lines that are years late; a restart with a new checkpoint delivers all once more.
+    ``late_lines`` counts what came behind the mark."""
     fact = settle(_fct_orders(spark, d, with_line_ids=True), "fct_orders")
     feed, path, checkpoint = (work_path(spark, p) for p in ("feed", "target", "stream"))
     since = F.date_sub(F.lit(RUN_1_BEFORE).cast("date"), 5)
@@ -511,7 +513,10 @@ def stream_inc_fact(spark, d):
         delivery.write.mode("append").parquet(feed)
         order_feed.merge_into(order_feed.line_stream(spark, feed, fact.schema), path, checkpoint)
     order_feed.merge_into(order_feed.line_stream(spark, feed, fact.schema), path, work_path(spark, "stream"))
-    return order_feed.monthly_gmv(tables.read_table(spark, path, fact.schema))
+    months = order_feed.monthly_gmv(tables.read_table(spark, path, fact.schema))
+    late = order_feed.late_lines(spark, path, fact.schema)
+    late = late.groupBy(month_of("order_date").alias("order_month")).agg(F.count("*").alias("late_lines"))
+    return months.join(late, "order_month", "left").fillna(0, ["late_lines"])
 
 
 # --- Slowly changing dimensions ----------------------------------------------

@@ -44,6 +44,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has data files or partitions; markers and folders with a leading
+    underscore are none, so this holds on stores and for writers that leave no marker."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return False
+    return any(entry.getPath().getName()[0] not in "._" for entry in store.listStatus(place))
+
+
 VERSIONS = "version long, path string"
 
 

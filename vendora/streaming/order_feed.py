@@ -1,46 +1,102 @@
-"""The order fact as a stream of files, merged by key: a line may come at any time, again and again."""
+"""The order fact as a stream of files, merged by key: a line may come at any time, again and again.
+
+**State.** Lines that come again unchanged within ``LATENESS`` are dropped by a keyed state store
+(``dropDuplicatesWithinWatermark`` on the key and a hash of the line); the watermark lets go of
+older state, so the store does not grow with the stream.  A changed line is no repetition.
+
+**Late lines.** Behind the watermark the state operator would drop lines.  The same batch
+therefore carries the lines a second time, past the state: those at or before the mark are late. They are
+set aside in the table's ``_late`` folder, one folder for each batch, and merged with the
+batch.  The mark is the newest event of earlier batches less ``LATENESS``, kept beside the
+checkpoint; Spark's own watermark is never ahead of it, so a line is late or passes the state.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vendora.functions.metrics import gmv
-from vendora.operators.incremental import full_refresh, merge, one_per_key
-from vendora.session import discard, exists, settle
+from vendora.operators.incremental import KEY, PARTITION, merge, one_per_key
+from vendora.session import discard, settle
+from vendora.sources.tables import holds_rows
+
+LATENESS = timedelta(days=7)
+EVENT, PAST_STATE = "_event", "_past_state"
 
 
 def line_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """Order lines from new files.  No state is kept and nothing is too late: the
-    table that the lines are merged into knows which it has."""
+    """Order lines from new files."""
     return spark.readStream.schema(schema).parquet(folder)
 
 
-def merge_into(lines: DataFrame, path: str, checkpoint: str) -> None:
+def merge_into(lines: DataFrame, path: str, checkpoint: str, lateness: timedelta = LATENESS) -> None:
     """Process what is there and stop.  A batch that is replayed after a failure
     merges the same keys again and changes nothing; a table that exists is
-    merged into, whatever the checkpoint."""
+    merged into, whatever the checkpoint.  A line without a date is always late."""
+    columns = lines.columns
+    event = F.coalesce(F.col("order_date").cast("timestamp"), F.lit(0).cast("timestamp"))
+    dated = lines.withColumn(EVENT, event)
+    marks = f"{checkpoint}-marks"
+
+    fresh = (
+        dated.withColumn("_line", F.xxhash64(*columns))
+        .withWatermark(EVENT, f"{int(lateness.total_seconds())} seconds")
+        .dropDuplicatesWithinWatermark([KEY, "_line"])
+        .drop("_line")
+        .withColumn(PAST_STATE, F.lit(False))
+    )
+    both = fresh.unionByName(dated.withColumn(PAST_STATE, F.lit(True)))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Written once: the merge reads the rows several times.
-        rows = settle(one_per_key(batch), "batch")
-        if exists(batch.sparkSession, f"{path}/_SUCCESS"):
+        spark = batch.sparkSession
+        mark = _mark(spark, marks, batch_id, lateness)
+        # Spark's own mark begins at zero.
+        zero = F.lit(0).cast("timestamp")
+        late = F.col(EVENT) <= (zero if mark is None else F.greatest(F.lit(mark).cast("timestamp"), zero))
+        seen = Observation()
+        newest = F.max(F.when(F.col(EVENT) > F.lit(datetime(1970, 1, 2)), F.col(EVENT))).alias("newest")
+        # Written once: the state is brought forward once, and the merge reads the rows several times.
+        observed = batch.observe(seen, newest, F.count("*").alias("n"))
+        rows = settle(observed.filter(F.col(PAST_STATE) == late), "batch")
+        if seen.get["n"]:
+            aside = rows.filter(PAST_STATE).select(*columns).drop(PARTITION)
+            aside.withColumn("newest_before", F.lit(mark).cast("timestamp_ntz")).write.mode("overwrite").parquet(
+                f"{path}/_late/{checkpoint.rsplit('/', 1)[-1]}-{batch_id}"
+            )
             # A line's month is that of its purchase, which never changes.
-            merge(rows, path, key_keeps_month=True)
-        else:
-            full_refresh(rows, path)
+            merge(one_per_key(rows.select(*columns)), path, key_keeps_month=True)
+            if seen.get["newest"] is not None:
+                newest_row = [(batch_id, seen.get["newest"])]
+                spark.createDataFrame(newest_row, "batch long, newest timestamp").coalesce(1).write.mode("overwrite").parquet(
+                    f"{marks}/batch={batch_id}"
+                )
         discard(rows)
 
-    query = (
-        lines.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    query = both.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def _mark(spark: SparkSession, marks: str, batch_id: int, lateness: timedelta) -> datetime | None:
+    """Lines at or before it are late in this batch; none before the second one."""
+    if not holds_rows(spark, marks):
+        return None
+    earlier = spark.read.schema("newest timestamp, batch long").parquet(marks).filter(F.col("batch") < batch_id)
+    newest = earlier.agg(F.max("newest")).first()[0]
+    return None if newest is None else newest - lateness
+
+
+def late_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every line that came late, as it came."""
+    kept = StructType([f for f in schema.fields if f.name != PARTITION])
+    if not holds_rows(spark, f"{path}/_late"):
+        return spark.createDataFrame([], kept)
+    return spark.read.schema(kept).parquet(f"{path}/_late/*")
+
+
 def monthly_gmv(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.groupBy("order_month").agg(
         F.count("*").alias("line_count"), gmv("order_amount").cast("decimal(38,2)").alias("gmv_delivered")
