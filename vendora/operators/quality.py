@@ -137,78 +137,92 @@ def contract_drift(df: DataFrame, table: str, declared: Iterable[str]) -> DataFr
 def suite_report(tables: dict[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """One row per rule with its number of failures.
 
-    All rules that look at single rows share one pass over their table, all rules
-    of accepted values another one that keeps offending values only; each unique or
-    relationship rule takes one aggregation of its own.  Pass stored
-    tables: a table is read once per pass."""
+    Every table is read once.  A row gives an entry for each rule of single rows that it breaks,
+    for each value outside a list, and for each key column that a rule is about; the keys
+    of a child and of its parent are entries of one domain.  One grouping of all entries by
+    (domain, key), which combines before it shuffles, then serves unique and foreign-key rules alike."""
     rules = list(rules)
-    parts = []
-    for table in dict.fromkeys(r.table for r in rules):
-        own = [r for r in rules if r.table == table]
-        parts += [_row_rules(tables[table], [r for r in own if r.kind not in ("unique", "relationships", "accepted_values")])]
-        parts += [_value_rules(tables[table], [r for r in own if r.kind == "accepted_values"])]
-        parts += [_counted(duplicates(tables[table], r.column), r, F.count("*")) for r in own if r.kind == "unique"]
-        parts += [
-            _counted(orphans(tables[table], r.column, tables[r.parent], r.parent_key), r, F.sum("n_records"))
-            for r in own
-            if r.kind == "relationships"
-        ]
-    report = union_all([p for p in parts if p is not None])
+    domains: dict[tuple, int] = {}
+    children: dict[int, int] = {}
+    entries: dict[str, list[Column]] = {}
+    listed = []
+
+    def entry(table: str, domain: int, key: Column, slot: int, when: Column) -> None:
+        made = F.struct(F.lit(domain).alias("domain"), key.cast("string").alias("key"), F.lit(slot).alias("slot"))
+        entries.setdefault(table, []).append(F.when(when, made))
+
+    def keys(table: str, column: str) -> int:
+        """The domain of a column's own keys, which are entries once, whatever the number of rules."""
+        known = (table, column) in domains
+        domain = domains.setdefault((table, column), len(domains))
+        if not known:
+            entry(table, domain, F.col(column), OWN, F.col(column).isNotNull())
+        return domain
+
+    for r in rules:
+        column, slot = F.col(r.column), OWN
+        if r.kind == "unique":
+            domain = keys(r.table, r.column)
+        elif r.kind == "relationships":
+            domain = keys(r.parent, r.parent_key)
+            slot = children.get(domain, 0)
+            children[domain] = slot + 1
+            entry(r.table, domain, column, slot, column.isNotNull())
+        else:
+            domain = domains.setdefault((len(listed),), len(domains))
+            listed_values = r.kind == "accepted_values"
+            offends = ~column.isin(list(r.values)) if listed_values else _offends(r)
+            entry(r.table, domain, column if listed_values else F.lit(""), OWN, offends)
+        measure = {"unique": "twice", "relationships": f"orphans_{slot}", "accepted_values": "keys"}.get(r.kind, "rows")
+        listed.append((len(listed), domain, measure, r.table, r.column, r.kind, r.severity))
+
+    spark = next(iter(tables.values())).sparkSession
+    named = spark.createDataFrame(
+        listed,
+        "rule_no int, domain int, measure string, table_name string, column_name string, rule string, severity string",
+    )
+    slots = range(max(children.values(), default=0))
+    all_entries = union_all([_entries(tables[table], made) for table, made in entries.items()])
+    by_key = all_entries.groupBy("domain", "key").agg(
+        F.count_if(F.col("slot") == OWN).alias("own"), *[F.count_if(F.col("slot") == i).alias(f"n_{i}") for i in slots]
+    )
+    measures = {
+        "twice": F.count_if(F.col("own") > 1),
+        "keys": F.count("*"),
+        "rows": F.sum("own"),
+        **{f"orphans_{i}": F.sum(F.when(F.col("own") == 0, F.col(f"n_{i}"))) for i in slots},
+    }
+    by_domain = by_key.groupBy("domain").agg(*[m.alias(name) for name, m in measures.items()])
+    found = F.coalesce(*[F.when(F.col("measure") == name, F.col(name)) for name in measures], F.lit(0))
     lenient = F.col("severity").isin(WARN, INFO)
-    status = F.when(F.col("failures") == 0, "pass").when(lenient, F.col("severity")).otherwise("fail")
-    return report.withColumn("status", status)
-
-
-def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame | None:
-    if not rules:
-        return None
-    counted = df.agg(*[_failures(r).alias(f"rule_{i}") for i, r in enumerate(rules)])
-    results = [_result(r, F.col(f"rule_{i}")) for i, r in enumerate(rules)]
-    return counted.select(F.explode(F.array(*results)).alias("r")).select("r.*")
-
-
-def _value_rules(df: DataFrame, rules: list[Rule]) -> DataFrame | None:
-    """Counts the different values outside each rule's list."""
-    if not rules:
-        return None
-    wrong = [
-        F.when(~F.col(r.column).isin(list(r.values)), F.struct(F.lit(i).alias("rule"), F.col(r.column).cast("string").alias("value")))
-        for i, r in enumerate(rules)
-    ]
-    offending = df.select(F.explode(F.array(*wrong)).alias("o")).filter("o IS NOT NULL").select("o.*").distinct()
-    counted = offending.agg(*[F.count_if(F.col("rule") == i).alias(f"rule_{i}") for i in range(len(rules))])
-    results = [_result(r, F.col(f"rule_{i}")) for i, r in enumerate(rules)]
-    return counted.select(F.explode(F.array(*results)).alias("r")).select("r.*")
-
-
-def _failures(rule: Rule) -> Column:
-    column = F.col(rule.column)
-    if rule.kind == "not_null":
-        offends = column.isNull()
-    elif rule.kind == "value_range":
-        offends = _out_of_range(rule.column, rule.low, rule.high)
-    elif rule.kind == "not_empty_string":
-        offends = _empty_string(rule.column)
-    else:
-        offends = F.expr(_BUSINESS[rule.kind])
-    return F.count_if(offends)
-
-
-def _counted(offending: DataFrame, rule: Rule, count: Column) -> DataFrame:
-    counted = offending.agg(F.coalesce(count, F.lit(0)).alias("n"))
-    return counted.select(_result(rule, F.col("n")).alias("r")).select("r.*")
-
-
-def _result(rule: Rule, failures: Column) -> Column:
-    return F.struct(
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.kind).alias("rule"),
-        F.lit(rule.severity).alias("severity"),
-        failures.cast("long").alias("failures"),
+    # One row for each domain, so no more than there are rules and their parents.
+    return named.join(F.broadcast(by_domain), "domain", "left").select(
+        "table_name",
+        "column_name",
+        "rule",
+        "severity",
+        found.cast("long").alias("failures"),
+        F.when(found == 0, "pass").when(lenient, F.col("severity")).otherwise("fail").alias("status"),
     )
 
 
+OWN = -1
+
+
+def _entries(df: DataFrame, made: list[Column]) -> DataFrame:
+    return df.select(F.explode(F.array(*made)).alias("e")).filter("e IS NOT NULL").select("e.*")
+
+
+def _offends(rule: Rule) -> Column:
+    if rule.kind == "not_null":
+        return F.col(rule.column).isNull()
+    if rule.kind == "value_range":
+        return _out_of_range(rule.column, rule.low, rule.high)
+    if rule.kind == "not_empty_string":
+        return _empty_string(rule.column)
+    return F.expr(_BUSINESS[rule.kind])
+
+
 def may_publish(report: DataFrame) -> bool:
     """False if a rule of severity error failed; warnings and notes do not block."""
     return report.filter(F.col("status") == "fail").limit(1).count() == 0
