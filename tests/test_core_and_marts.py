@@ -188,6 +188,30 @@ def test_seller_marts_align_grain(spark, shop, reviewed):
     assert idle["avg_review_score"] is None
 
 
+def test_seller_totals_with_hot_orders_and_gaps(spark):
+    """One order with many products and several lines of one, lines without order or product, reviews without id or score."""
+    line = "order_id string, seller_id string, product_id string, order_amount decimal(13,2), order_date date, is_delivered boolean, is_cancelled boolean"
+    rows = [("o", "s", f"p{i % 40}", D(1), None, True, False) for i in range(100)]
+    rows += [("o", "t", None, D(2), None, False, False), (None, "s", "p1", D(3), None, True, False), ("q", "t", "x", D(4), None, True, False)]
+    fact = spark.createDataFrame(rows, line)
+    marked = spark.createDataFrame(
+        [("o", "r1", 5, True), ("o", "r2", 1, False), ("q", None, None, True), (None, "r3", 1, True)],
+        "order_id string, review_id string, review_score int, is_latest_review boolean",
+    )
+    got = {r["seller_id"]: r for r in marts.seller_totals(fact, marked).collect()}
+    s, t = got["s"], got["t"]
+    assert (s["order_count"], s["item_count"], s["product_count"], s["gmv_delivered"]) == (1, 101, 40, D("103.00"))
+    assert (s["review_count"], s["avg_review_score"], s["good_review_rate_pct"]) == (100, 5.0, 100.0)
+    assert (t["order_count"], t["item_count"], t["product_count"], t["review_count"]) == (2, 2, 1, 1)
+
+
+def test_seller_performance_reads_the_fact_once(spark):
+    plan = QUERIES["dws_seller_performance"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_extendedprice") > 0
+    scans = [line for line in plan.splitlines() if "Relation [" in line and "l_orderkey" in line]
+    assert len(scans) == 1
+
+
 def test_all_months_unscored_are_unknown(spark, shop):
     _, o, _ = shop
     only = core.fct_reviews(reviews(spark, [("r1", "1", None, None, DAY)]), o)

@@ -201,7 +201,7 @@ def dws_customer_rfm(
 
 
 def order_sellers(fct_orders: DataFrame) -> DataFrame:
-    """What each seller sold in each order: the grain that sales and reviews share."""
+    """What each seller sold in each order."""
     return fct_orders.groupBy("order_id", "seller_id").agg(
         F.count("*").alias("lines"),
         gmv("order_amount").cast(TOTAL).alias("delivered"),
@@ -212,12 +212,10 @@ def order_sellers(fct_orders: DataFrame) -> DataFrame:
     )
 
 
-def seller_sales(fct_orders: DataFrame, per_order: DataFrame | None = None) -> DataFrame:
-    """Sales of each seller.  Folded to (order, seller) first (``per_order``, where that
-    is stored), orders are simply counted; only the products need a distinct
-    count, on two columns."""
-    per_order = order_sellers(fct_orders) if per_order is None else per_order
-    sales = per_order.groupBy("seller_id").agg(
+def seller_sales(fct_orders: DataFrame) -> DataFrame:
+    """Sales of each seller.  Folded to (order, seller) first, orders are simply counted;
+    only the products need a distinct count, on two columns."""
+    sales = order_sellers(fct_orders).groupBy("seller_id").agg(
         F.count("order_id").alias("order_count"),
         F.sum("lines").alias("item_count"),
         F.sum("delivered").cast(TOTAL).alias("gmv_delivered"),
@@ -234,44 +232,68 @@ def seller_sales(fct_orders: DataFrame, per_order: DataFrame | None = None) -> D
     return sales.join(products, "seller_id", "left")
 
 
-def seller_reviews(per_order: DataFrame, fct_reviews: DataFrame) -> DataFrame:
-    """Latest reviews by seller; one review counts once per line of the seller
-    in that order.  Lines come folded to (order, seller) with a line count,
-    so the join never multiplies lines by reviews."""
-    lines = per_order.select("order_id", "seller_id", "lines")
-    latest = fct_reviews.filter("is_latest_review").select("order_id", "review_id", "review_score")
-    n, score = F.col("lines"), F.col("review_score")
+def seller_totals(fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
+    """Sales, products and latest reviews of each seller, from one reading of the fact.
 
-    def weigh(condition: Column) -> Column:
-        return F.sum(F.when(condition, n).otherwise(F.lit(0)))
-
-    totals = (
-        lines.join(latest, "order_id")
-        .groupBy("seller_id")
+    Lines are folded to (order, seller, product) and reviews to orders, so their join multiplies
+    nothing; one row of each (order, seller) is flagged, so orders are counted by a sum.  Then rows are
+    folded to (seller, product), where products are counted, and to sellers.  All but the
+    last two folds are grouped by order, as the facts leave their joins."""
+    lines = fct_orders.groupBy("order_id", "seller_id", "product_id").agg(
+        F.count("*").alias("lines"),
+        gmv("order_amount").cast(TOTAL).alias("delivered"),
+        gmv_all("order_amount").cast(TOTAL).alias("amount"),
+        count_where(F.col("is_delivered")).alias("delivered_lines"),
+        F.min("order_date").alias("first_date"),
+        F.max("order_date").alias("last_date"),
+    )
+    # At most as many rows as the seller has products in one order.
+    first = F.lag(F.lit(False), 1, True).over(W.partitionBy("order_id", "seller_id").orderBy("product_id"))
+    score = F.col("review_score")
+    reviews = (
+        fct_reviews.filter("is_latest_review")
+        .groupBy("order_id")
         .agg(
-            weigh(F.col("review_id").isNotNull()).alias("review_count"),
-            F.sum(score * n).alias("score_sum"),
-            weigh(score.isNotNull()).alias("scored"),
-            weigh(score >= V.GOOD_FROM).alias("good"),
-            weigh(score <= V.BAD_UP_TO).alias("bad"),
+            F.count("review_id").alias("reviews"),
+            F.sum(score).alias("score_sum"),
+            F.count(score).alias("scored"),
+            count_where(score >= V.GOOD_FROM).alias("good"),
+            count_where(score <= V.BAD_UP_TO).alias("bad"),
         )
     )
-    return totals.select(
-        "seller_id",
-        "review_count",
-        half_up(F.col("score_sum"), F.col("scored"), 3).alias("avg_review_score"),
-        percent(F.col("good"), F.col("review_count")).alias("good_review_rate_pct"),
-        percent(F.col("bad"), F.col("review_count")).alias("bad_review_rate_pct"),
+    weighed = ["reviews", "score_sum", "scored", "good", "bad"]
+    per_product = (
+        lines.withColumn("orders", (first & F.col("order_id").isNotNull()).cast("long"))
+        .join(reviews, "order_id", "left")
+        .groupBy("seller_id", "product_id")
+        .agg(
+            *[F.sum(c).cast(TOTAL).alias(c) for c in ("delivered", "amount")],
+            *[F.sum(c).alias(c) for c in ("orders", "lines", "delivered_lines")],
+            *[F.sum(F.col(c) * F.col("lines")).alias(c) for c in weighed],
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+        )
+    )
+    delivered = F.sum("delivered").cast(TOTAL)
+    return per_product.groupBy("seller_id").agg(
+        F.sum("orders").alias("order_count"),
+        F.sum("lines").alias("item_count"),
+        F.count("product_id").alias("product_count"),
+        delivered.alias("gmv_delivered"),
+        F.sum("amount").cast(TOTAL).alias("gmv_all"),
+        money_mean(delivered, F.sum("delivered_lines")).alias("avg_order_value"),
+        F.min("first_date").alias("first_sale_date"),
+        F.max("last_date").alias("last_sale_date"),
+        F.sum("reviews").alias("review_count"),
+        half_up(F.sum("score_sum"), F.sum("scored"), 3).alias("avg_review_score"),
+        percent(F.sum("good"), F.sum("reviews")).alias("good_review_rate_pct"),
+        percent(F.sum("bad"), F.sum("reviews")).alias("bad_review_rate_pct"),
     )
 
 
 def dws_seller_performance(dim_sellers: DataFrame, fct_orders: DataFrame, fct_reviews: DataFrame) -> DataFrame:
-    """Every seller; sales and reviews are brought to seller grain before joining."""
-    per_order = order_sellers(fct_orders)
-    joined = (
-        dim_sellers.join(seller_sales(fct_orders, per_order), "seller_id", "left")
-        .join(seller_reviews(per_order, fct_reviews), "seller_id", "left")
-    )
+    """Every seller, with sales and reviews at seller grain."""
+    joined = dim_sellers.join(seller_totals(fct_orders, fct_reviews), "seller_id", "left")
     zero_money = F.lit(0).cast(TOTAL)
     delivered = F.coalesce("gmv_delivered", zero_money)
     idle_or_active = F.when(delivered > 0, V.SELLER_TIER_ACTIVE).otherwise(V.SELLER_TIER_IDLE)
