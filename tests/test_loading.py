@@ -1,3 +1,4 @@
+import csv
 import random
 from datetime import date, datetime
 from decimal import Decimal
@@ -274,6 +275,48 @@ def test_missed_rows_tell_missing_from_stale(spark):
     assert [(r["missing_rows"], r["stale_rows"], r["missing_amount"]) for r in rows] == [(1, 1, D("5.00"))]
 
 
+# --- quoted CSV in blocks -----------------------------------------------------
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are cut every 150 bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_csv_is_cut_into_blocks(spark, small_blocks, tmp_path, end):
+    """Quotes, commas and line breaks anywhere, a record longer than several blocks, no text at all."""
+    rng = random.Random(len(end))
+    rows = [[str(i), "".join(rng.choices(['a', '"', ",", "\n", "x y", "é"], k=rng.randint(0, 12)))] for i in range(60)]
+    rows[20][1], rows[40][1] = '"line\n' * 150, "\n" * 300
+    path = f"{tmp_path}/reviews.csv"
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f, lineterminator=end)
+        writer.writerow(["id", "text"])
+        writer.writerows(rows)
+    assert csv_files.block_lines(spark, path).rdd.getNumPartitions() > 5
+    got = [tuple(r) for r in csv_files.read_free_text(spark, path).collect()]
+    assert sorted(got) == sorted((i, t or None) for i, t in rows)
+
+
+def test_quoted_csv_of_several_files_keeps_one_header(spark, small_blocks, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name, head in (("a", "id,text"), ("b", "id,text"), ("c", "")):
+        body = f'{head}\n1,"{name}\n{name}"\n\n2,{name}' if head else ""
+        (tmp_path / "d" / f"{name}.csv").write_text(body)
+    got = sorted(tuple(r) for r in csv_files.read_free_text(spark, f"{tmp_path}/d").collect())
+    assert got == [("1", "a\na"), ("1", "b\nb"), ("2", "a"), ("2", "b")]
+    (tmp_path / "d" / "e.csv").write_text("text,id\nx,1\n")
+    with pytest.raises(ValueError, match="headers"):
+        csv_files.read_free_text(spark, f"{tmp_path}/d")
+
+
 # --- slowly changing dimensions ----------------------------------------------
 
 CUSTOMER = "customer_id string, customer_city string, updated_at timestamp_ntz"

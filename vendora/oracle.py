@@ -463,6 +463,9 @@ SELECTS = {
     ),
     "src_align_columns": "SELECT * FROM stg_products",
     "src_optional_empty": "SELECT order_status, count(*) AS orders, 0::BIGINT AS payments FROM stg_orders GROUP BY ALL",
+    "src_optional_present": """
+        SELECT order_status, count(DISTINCT o.order_id) AS orders, count(p.order_id) AS payments
+        FROM stg_orders o LEFT JOIN stg_order_payments p USING (order_id) GROUP BY order_status""",
     "src_load_audit": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, '{','.join(CONTRACTS[name].columns)}' AS column_names "
         f"FROM {source}"
@@ -587,6 +590,18 @@ SELECTS = {
         FROM ads_gmv_monthly WHERE gmv_all < gmv_delivered""",
     "dq_positive_gmv": "SELECT order_month, gmv_delivered FROM ads_gmv_monthly WHERE 0 > gmv_delivered",
     "dq_rfm_completeness": "SELECT customer_id, rfm_segment FROM dws_customer_rfm WHERE coalesce(rfm_segment, '') = ''",
+    "dq_gmv_consistency_broken": f"""
+        SELECT order_month, gmv_all, CAST(2 * gmv_all AS {MONEY}) AS gmv_delivered, gmv_cancelled,
+               CAST(-gmv_all AS {MONEY}) AS diff
+        FROM ads_gmv_monthly WHERE month(order_month) IN (3, 9) AND gmv_all > 0""",
+    "dq_positive_gmv_broken": f"""
+        SELECT order_month, CAST(-gmv_all AS {MONEY}) AS gmv_delivered
+        FROM ads_gmv_monthly WHERE month(order_month) IN (6, 12) AND gmv_all > 0""",
+    "dq_rfm_completeness_broken": """
+        SELECT customer_id, CASE WHEN r_score = 3 THEN '' END AS rfm_segment FROM dws_customer_rfm WHERE r_score >= 3""",
+    "union_distinct_places": """
+        SELECT customer_city AS city, customer_state AS state FROM stg_customers
+        UNION SELECT seller_city, seller_state FROM stg_sellers""",
     "dq_warn_orders_without_items": """
         SELECT 'orders_without_items' AS rule, 'warn' AS severity, count(*) AS failures,
                CASE WHEN count(*) > 0 THEN 'warn' ELSE 'pass' END AS status

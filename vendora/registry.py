@@ -12,7 +12,7 @@ from vendora.functions import fixed_values as V
 from vendora.functions.metrics import gmv, gmv_all, rfm_segment_with_keep
 from vendora.functions.rounding import month_of
 from vendora.functions.tiles import with_ntiles
-from vendora.functions.unions import union_all
+from vendora.functions.unions import union_all, union_distinct
 from vendora.operators import audits, core, incremental, profiling, quality, scd, staging
 from vendora.plans import adhoc, kpi, marts, warehouse
 from vendora.session import settle, tune, work_path
@@ -204,6 +204,24 @@ def src_optional_empty(spark, d):
     )
 
 
+@query
+def src_optional_present(spark, d):
+    """Orders against payments whose optional file was delivered, and delivered again."""
+    path = work_path(spark, "files")
+    payments = raw.order_payments(spark, d)
+    by_slip = F.coalesce(F.col("payment_type") == "boleto", F.lit(False))
+    for name, part in {"first": by_slip, "second": ~by_slip}.items():
+        csv_files.export_csv(payments.filter(part), f"{path}/{name}_order_payments_dataset.csv")
+    found = csv_files.load_raw(spark, path, "order_payments")
+    paid = staging.stg_order_payments(found).groupBy("order_id").agg(F.count("*").alias("payments"))
+    return (
+        _orders(spark, d)
+        .join(paid, "order_id", "left")
+        .groupBy("order_status")
+        .agg(F.count("*").alias("orders"), F.coalesce(F.sum("payments"), F.lit(0)).alias("payments"))
+    )
+
+
 @query
 def src_load_audit(spark, d):
     return csv_files.load_audit(_all_raw(spark, d, with_line_ids=False))
@@ -661,6 +679,47 @@ def dq_rfm_completeness(spark, d):
     return quality.rfm_incomplete(_rfm(spark, d))
 
 
+# The business rules once more on marts that are wrong: every third month by number, and customers
+# with the best recency.
+
+
+def _wrong_months(spark, d) -> DataFrame:
+    wrong = F.month("order_month") % 3 == 0
+    months = _gmv_monthly(spark, d)
+    return months.withColumn(
+        "gmv_delivered",
+        F.when(wrong & (F.month("order_month") % 2 == 0), -F.col("gmv_all"))
+        .when(wrong, F.col("gmv_all") * 2)
+        .otherwise(F.col("gmv_delivered"))
+        .cast("decimal(38,2)"),
+    )
+
+
+@query
+def dq_gmv_consistency_broken(spark, d):
+    return quality.gmv_inconsistent(_wrong_months(spark, d))
+
+
+@query
+def dq_positive_gmv_broken(spark, d):
+    return quality.gmv_negative(_wrong_months(spark, d))
+
+
+@query
+def dq_rfm_completeness_broken(spark, d):
+    r = F.col("r_score")
+    gone = F.when(r == 4, F.lit(None)).when(r == 3, F.lit("")).otherwise(F.col("rfm_segment"))
+    return quality.rfm_incomplete(_rfm(spark, d).withColumn("rfm_segment", gone))
+
+
+@query
+def union_distinct_places(spark, d):
+    """Every place that a buyer or a seller has, once."""
+    buyers = _customers(spark, d).select(F.col("customer_city").alias("city"), F.col("customer_state").alias("state"))
+    sellers = _sellers(spark, d).select(F.col("seller_city").alias("city"), F.col("seller_state").alias("state"))
+    return union_distinct([buyers, sellers])
+
+
 @query
 def dq_warn_orders_without_items(spark, d):
     """Stays visible as a warning: orders whose amount no mart can see."""

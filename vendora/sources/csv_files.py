@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,15 +16,85 @@ from vendora.sources.contracts import CONTRACTS, Contract
 def read_csv(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
     """Header CSV with every column as text, so leading zeros survive.
 
-    The schema is that of the first header, declared, so that Spark checks the
-    header of every further file of the folder against it and fails on a
+    Fields of ``free_text`` may hold line breaks; see :func:`read_free_text`.  The schema
+    is that of the first header, declared, so that Spark checks the header of every further file of the folder against it and fails on a
     different one; it would else bind their columns by position."""
-    plain = spark.read.option("header", True).option("escape", '"').option("multiLine", free_text)
+    if free_text:
+        return read_free_text(spark, path)
+    plain = spark.read.option("header", True).option("escape", '"')
     names = plain.csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in names])
     return plain.option("enforceSchema", False).schema(schema).csv(path)
 
 
+def read_free_text(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV whose quoted fields may hold line breaks, read in as many tasks as the files have blocks.
+
+    Spark cuts files into blocks at line ends and cannot know whether a block begins inside quotes.  The
+    parity of the quotes tells: a line begins a record if the lines before it in its file hold an
+    even number of quotes.  Each block counts its own; a running XOR over one row for each block gives
+    the parity at its start.  Records of one line, nearly all, are parsed where they are; the
+    lines of others are brought together by the place where their record begins, which may lie
+    blocks before.  Every file needs the same header, as in :func:`read_csv`."""
+    lines = (
+        block_lines(spark, path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .withColumn("nth", F.monotonically_increasing_id())
+        .withColumn("odd", F.length(F.regexp_replace("value", '[^"]', "")) % 2)
+    )
+    # Within a block; a block is what one task reads.
+    in_block = W.partitionBy("file", "block").orderBy("nth")
+    before = F.coalesce(F.sum("odd").over(in_block.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.withColumn("before", before % 2)
+
+    blocks = placed.groupBy("file", "block").agg(
+        (F.sum("odd") % 2).alias("odd"),
+        # The last line before which the block's own quotes are even, and odd.
+        *[F.max(F.when(F.col("before") == x, F.struct("block", "nth"))).alias(f"last_{x}") for x in (0, 1)],
+    )
+    # One row for each block of a file.
+    along = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        blocks.withColumn("start", F.coalesce(F.sum("odd").over(along), F.lit(0)) % 2)
+        .withColumn("last", F.when(F.col("start") == 0, F.col("last_0")).otherwise(F.col("last_1")))
+        .withColumn("open", F.last("last", ignorenulls=True).over(along))
+        .select("file", "block", "start", "open")
+    )
+    begins = (F.col("before") + F.col("start")) % 2 == 0
+    own = F.last(F.when(begins, F.struct("block", "nth")), ignorenulls=True).over(in_block)
+    # Both ends of the record: where it begins, and whether its quotes are closed on this line.
+    owned = (
+        placed.join(carried, ["file", "block"])
+        .withColumn("begins", begins)
+        .withColumn("record", F.coalesce(own, "open"))
+        .withColumn("whole", F.col("begins") & (F.col("odd") == 0))
+    )
+    single = owned.filter("whole").select("file", "record", F.col("value").alias("text"))
+    several = (
+        owned.filter("NOT whole")
+        .groupBy("file", "record")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "nth", "value"))).alias("parts"))
+        .select("file", "record", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("text"))
+    )
+    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    tops = placed.filter(F.col("block") == 0).groupBy("file").agg(F.min("nth").alias("top"), F.min_by("value", "nth").alias("head"))
+    if tops.select("head").distinct().limit(2).count() > 1:
+        raise ValueError(f"files of {path} differ in their headers")
+    options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+    records = single.unionByName(several).withColumn("text", F.regexp_replace("text", "\r$", ""))
+    # A file's first record is its header; blank lines are no records.
+    first = (F.col("record.block") == 0) & (F.col("record.nth") == F.col("top"))
+    # One row for each file.
+    rows = records.join(F.broadcast(tops.drop("head")), "file", "left").filter(~F.coalesce(first, F.lit(False)) & (F.col("text") != ""))
+    ddl = ", ".join(f"`{c}` string" for c in names)
+    return rows.select(F.from_csv("text", ddl, options).alias("r")).select("r.*")
+
+
+def block_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines by block; a file of any size is several tasks."""
+    return spark.read.option("lineSep", "\n").text(path)
+
+
 def align_columns(df: DataFrame, old_names: dict[str, str]) -> DataFrame:
     """Rename an earlier column name where the contract's name is absent."""
     renames = {old: new for old, new in old_names.items() if old in df.columns and new not in df.columns}
