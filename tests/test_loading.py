@@ -275,6 +275,23 @@ def test_missed_rows_tell_missing_from_stale(spark):
     assert [(r["missing_rows"], r["stale_rows"], r["missing_amount"]) for r in rows] == [(1, 1, D("5.00"))]
 
 
+def test_only_months_that_differ_are_compared(spark, target):
+    """A row moved to another month, a changed one; the order of rows is no difference."""
+    source = [OLD[0], ("x", date(2018, 1, 7), 9), ("b", date(2018, 4, 2), 2), ("c", date(2018, 3, 10), 3), ("u", None, 1)]
+    incremental.append_new(fact(spark, [("x", date(2018, 3, 12), 9)]), target)
+    stored = tables.read_table(spark, target, fact(spark, []).schema)
+    rebuilt = fact(spark, source[::-1])
+    months = incremental.differing_months(stored, rebuilt)
+    assert sorted(str(m)[:7] for m in months) == ["2018-01", "2018-02", "2018-03", "2018-04", "None"]
+    got = {str(r["order_month"])[:7]: (r["missing_rows"], r["stale_rows"]) for r in incremental.missed_rows(stored, rebuilt).collect()}
+    assert got == {"2018-01": (0, 1), "2018-04": (0, 1), "None": (1, 0)}
+    late = fact(spark, [*OLD, ("late", date(2018, 2, 3), 1), ("x", date(2018, 3, 12), 9)])
+    assert [str(m)[:7] for m in incremental.differing_months(stored, late)] == ["2018-02"]
+    plan = incremental.missed_rows(stored, late)._jdf.queryExecution().executedPlan().toString()
+    assert "2018-02-01" in plan and "2018-01-01" not in plan
+    assert incremental.missed_rows(stored, stored).collect() == []
+
+
 # --- quoted CSV in blocks -----------------------------------------------------
 
 
