@@ -78,6 +78,7 @@ def linked_by_spark(spark, fps):
 
 def test_linked_equals_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(S, "PART", 20)  # shards have several parts
+    monkeypatch.setattr(S, "SIDE", 30)  # and their visitors several sides
     rng = random.Random(5)
     rows, i = [(None, 77), (None, 0)], 0
     for _ in range(60):
@@ -92,6 +93,17 @@ def test_linked_equals_all_pairs(spark, monkeypatch):
     assert linked_by_spark(spark, rows) == slow_components(rows)
 
 
+def test_no_group_grows_with_the_points(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART", 20)
+    monkeypatch.setattr(S, "SIDE", 30)
+    rng = np.random.default_rng(1)
+    fps = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    points = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    placed = S.shards(points, S.grow(fps, 3), 3)
+    sizes = placed.groupBy("shard", "part", "side").agg(F.count_if("home").alias("n"), F.count_if(~F.col("home")).alias("m")).collect()
+    assert max(r.n for r in sizes) < 60 and max(r.m for r in sizes) < 80
+
+
 def test_operator_on_odd_rows(spark):
     t = " ".join(f"w{i}" for i in range(60))
     rows = [(5, t, "a"), (3, t, "b"), (3, t, "b"), (None, t, "c"), (9, None, None), (8, "", "x"), (2, "one Word", "x"), (None, "odd one out here", "y")]

@@ -17,8 +17,8 @@
    vantage points; a visitor is compared only with the groups that the triangle
    inequality leaves, bit for bit.  Links are exact.
 5. **Links.** A shard returns a spanning forest of its links, at most one row for each
-   of its points, so dense groups do not emit all their pairs.  A shard with many home
-   points is cut into parts that each meet all its visitors.
+   of its points, so dense groups do not emit all their pairs.  The home points of a shard
+   are cut into parts and its visitors into sides; every part meets every side.
 6. **Components.** Smallest labels spread along links until nothing changes; every
    round is stored in the shared folder.
 
@@ -52,8 +52,9 @@ SHARD = 4_096
 MIN_SHARDS = 64
 # A deeper tree would need a larger sample; beyond this, shards have more parts.
 MAX_SHARDS = 4_096
-# Home points of one part of a shard.
+# Home points of one part of a shard, and visitors of one side.
 PART = 32_768
+SIDE = 262_144
 # Shingles hashed at a time.
 BLOCK = 65_536
 # Most rows of ids and keys that are broadcast: about 10 MB.
@@ -137,40 +138,46 @@ def place(points: np.ndarray, nodes: list[tuple[int, int]], reach: int) -> tuple
 
 
 def shards(points: DataFrame, nodes: list[tuple[int, int]], bits: int) -> DataFrame:
-    """Rows ``(shard, part, fp, home)``: a point once at home, in one part of its shard,
-    and as a visitor in every part of the shards that it reaches."""
+    """Rows ``(shard, part, side, fp, home)``: the home points of a shard lie in parts and its visitors in
+    sides, and every part meets every side, so that no group holds more than ``PART`` and
+    ``SIDE`` points or so, however many a shard has."""
 
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, at = place(_unsigned(batch.column("fp")), nodes, 0)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32))], ["shard"])
+            for start in range(0, batch.num_rows, 4096):
+                fp = _unsigned(batch.column("fp").slice(start, 4096))
+                home, at = (np.bincount(place(fp, nodes, reach)[1], minlength=len(nodes) + 1) for reach in (0, bits))
+                columns = [pa.array(np.arange(len(home), dtype=np.int32)), pa.array(home), pa.array(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "homes", "visitors"])
 
-    sizes = points.select("fp").mapInArrow(homes, "shard int").groupBy("shard").count().collect()
-    parts = np.ones(len(nodes) + 1, np.int64)
-    for shard, n in sizes:  # one row for each shard at most
-        parts[shard] = -(-n // PART)
+    counted = points.select("fp").mapInArrow(count, "shard int, homes long, visitors long").groupBy("shard")
+    parts, sides = np.ones(len(nodes) + 1, np.int64), np.ones(len(nodes) + 1, np.int64)
+    for shard, n, m in counted.agg(F.sum("homes"), F.sum("visitors")).collect():  # one row for each shard
+        parts[shard], sides[shard] = max(1, -(-n // PART)), max(1, -(-m // SIDE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 fp = _unsigned(batch.column("fp").slice(start, 4096))
-                own, home = place(fp, nodes, 0)
-                rows, at = place(fp, nodes, bits)
-                times = parts[at]
-                rows, at = np.repeat(rows, times), np.repeat(at, times)
-                part = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-                mixed = (fp[own] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([home, at]).astype(np.int32)),
-                        pa.array(np.concatenate([mixed.astype(np.int64) % parts[home], part]).astype(np.int32)),
-                        pa.array(np.concatenate([fp[own], fp[rows]]).view(np.int64)),
-                        pa.array(np.arange(len(own) + len(rows)) < len(own)),
-                    ],
-                    ["shard", "part", "fp", "home"],
-                )
-
-    return points.select("fp").mapInArrow(run, "shard int, part int, fp long, home boolean")
+                mixed = ((fp * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64)
+                own, home = _each(*place(fp, nodes, 0), sides)
+                rows, at = _each(*place(fp, nodes, bits), parts)
+                columns = [
+                    np.concatenate([home[0], at[0]]).astype(np.int32),
+                    np.concatenate([mixed[own] % parts[home[0]], at[1]]).astype(np.int32),
+                    np.concatenate([home[1], mixed[rows] % sides[at[0]]]).astype(np.int32),
+                    np.concatenate([fp[own], fp[rows]]).view(np.int64),
+                    np.arange(len(own) + len(rows)) < len(own),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "part", "side", "fp", "home"])
+
+    return points.select("fp").mapInArrow(run, "shard int, part int, side int, fp long, home boolean")
+
+
+def _each(rows: np.ndarray, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Every row as often as its shard says, with the shard and a number from 0."""
+    n = times[at]
+    return np.repeat(rows, n), (np.repeat(at, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
 
 def _unsigned(column: pa.Array) -> np.ndarray:
@@ -245,14 +252,14 @@ def links_within(home: np.ndarray, visit: np.ndarray, bits: int) -> tuple[np.nda
 
 
 def shard_links(placed: DataFrame, bits: int) -> DataFrame:
-    """Rows ``(a, b)`` that connect, within each part of a shard, all points linked there."""
+    """Rows ``(a, b)`` that connect, within each part and side of a shard, all points linked there."""
 
     def per_part(pdf: pd.DataFrame) -> pd.DataFrame:
         fp, home = pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy()
         a, b = links_within(fp[home], fp[~home], bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return placed.groupBy("shard", "part").applyInPandas(per_part, "a long, b long")
+    return placed.groupBy("shard", "part", "side").applyInPandas(per_part, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
