@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
+from vendora.functions import grouping
+from vendora.functions.checksums import hash_sum
 from vendora.operators import incremental, quality, scd, staging
 from vendora.operators.quality import Rule
 from vendora.plans import warehouse
@@ -414,6 +416,111 @@ def test_stored_history_over_four_runs(spark, tmp_path):
     assert versions(take(c)) == versions(plain)
 
 
+def test_unchanged_buckets_are_neither_read_nor_written(spark, tmp_path):
+    root = f"{tmp_path}/history"
+    rule = scd.timestamp_rule("customer_id", "updated_at")
+    take = lambda source, by=rule: scd.snapshot(source, root, "customer_id", F.col("updated_at"), by)
+    written = lambda run: sorted(p.parent.name for p in Path(root).glob(f"run={run}/is_open=true/*/*.parquet"))
+    before = people(spark, [(str(i), "rio", T1) for i in range(300)])
+    after = people(spark, [(str(i), "bahia" if i == 7 else "rio", T2 if i == 7 else T1) for i in range(300)])
+    take(before)
+    assert len(set(written(1))) == scd.MIN_BUCKETS
+    take(after)
+    changed = written(2)
+    assert len(changed) == 1
+    # Run 1's other buckets are still the open versions; one that is not opened cannot be missed.
+    plain = scd.by_timestamp(scd.first_snapshot(before, F.col("updated_at")), after, "customer_id", "updated_at")
+    assert versions(scd.read_history(spark, root, before.schema)) == versions(plain)
+    take(after)
+    assert not Path(f"{root}/run=3").exists()
+    # A third state: the bucket of run 1 that run 2 replaced goes once run 3 is published.
+    last = people(spark, [(str(i), "natal" if i == 7 else "rio", T3 if i == 7 else T1) for i in range(300)])
+    take(last)
+    assert written(3) == changed and changed[0] not in written(1) and len(set(written(1))) == scd.MIN_BUCKETS - 1
+    plain = scd.by_timestamp(plain, last, "customer_id", "updated_at")
+    assert versions(scd.read_history(spark, root, before.schema)) == versions(plain)
+    # Another rule may see what this one passed over: every bucket is looked at.
+    take(last, scd.check_rule("customer_id", ["customer_city"], F.lit(str(T3)).cast("timestamp_ntz")))
+    assert len(set(written(4))) == scd.MIN_BUCKETS
+    assert versions(scd.read_history(spark, root, before.schema)) == versions(plain)
+
+
+def test_random_snapshots_equal_the_plain_history(spark, tmp_path, monkeypatch):
+    """Keys come, go and come back, values swap with NULL, and buckets become too few."""
+    monkeypatch.setattr(scd, "MIN_BUCKETS", 3)
+    monkeypatch.setattr(scd, "BUCKET_ROWS", 4)
+    rng, root = random.Random(3), f"{tmp_path}/history"
+    schema = "customer_id string, customer_city string, customer_state string"
+    rule = scd.check_rule("customer_id", ["customer_city", "customer_state"], F.lit(str(T2)).cast("timestamp_ntz"))
+    state, plain, start = {}, None, F.lit(str(T1)).cast("timestamp_ntz")
+    for size in (0, 5, 5, 8, 70, 70):
+        for key in rng.sample(range(size), size // 3):
+            state.pop(key, None)
+        for key in rng.sample(range(size), size // 2):
+            a, b = state.get(key, ("x", None))
+            state[key] = (b, a) if rng.random() < 0.6 else (rng.choice("xyz"), None)
+        source = spark.createDataFrame([(str(k), *v) for k, v in state.items()], schema)
+        scd.snapshot(source, root, "customer_id", start, rule)
+        if plain is None:
+            plain = scd.first_snapshot(source, start)
+        else:
+            plain = scd.by_check(plain, source, "customer_id", ["customer_city", "customer_state"], F.lit(str(T2)).cast("timestamp_ntz"))
+        rows = sorted(map(str, map(tuple, plain.collect())))
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+        assert sorted(map(str, map(tuple, scd.read_history(spark, root, source.schema).collect()))) == rows
+    twice = spark.createDataFrame([("1", "a", None), ("1", "b", None)], schema)
+    with pytest.raises(ValueError, match="not unique"):
+        scd.snapshot(twice, root, "customer_id", start, rule)
+
+
+def test_point_in_time_equals_a_range_join(spark, request):
+    """One key with most facts and very many versions, gaps, equal moments, repeated facts and NULLs."""
+    rng = random.Random(8)
+    day = lambda n: T1 + (T2 - T1) * n / 31
+    history = []
+    for key, n in (("hot", 400), ("a", 5), ("b", 1)):
+        cuts = sorted(rng.sample(range(1200), n))
+        for i, low in enumerate(cuts):
+            high = cuts[i + 1] if i + 1 < n else None
+            if high is not None and rng.random() < 0.2:
+                high = rng.randrange(low, high + 1)  # a gap, or nothing covered
+            history.append((key, rng.choice(["x", "y", None]), i, day(low), None if high is None else day(high)))
+    history += [(None, "z", 0, day(0), None), ("c", "z", 0, None, None), ("a", "z", 9, day(3), day(3))]
+    facts = [(rng.choice(["hot"] * 8 + ["a", "b", "c", "d", None]), day(rng.randrange(-5, 1210)), rng.randrange(3)) for _ in range(3000)]
+    facts += [("hot", day(50), 1)] * 200 + [("hot", None, 1), ("a", day(3), 7)]
+    h = spark.createDataFrame(history, f"customer_id string, city string, n int, {scd.VALID_FROM} timestamp_ntz, {scd.VALID_TO} timestamp_ntz")
+    f = spark.createDataFrame(facts, "customer_id string, sold_at timestamp_ntz, amount int")
+    h.createOrReplaceTempView("h")
+    f.createOrReplaceTempView("f")
+    want = spark.sql(f"""
+        SELECT f.*, city, n FROM f LEFT JOIN h ON f.customer_id = h.customer_id AND sold_at >= {scd.VALID_FROM}
+        AND ({scd.VALID_TO} IS NULL OR sold_at < {scd.VALID_TO})""")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true"))
+    got = scd.point_in_time(f, h, "customer_id", "sold_at", ["city", "n"])
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
+    # The hot key lies in several slices: what is carried over comes from the slices before.
+    placed = grouping.carried(
+        f.filter("sold_at IS NOT NULL"), ["customer_id"], ["sold_at", "amount"], {"seen": F.when(F.col("amount") == 2, F.col("sold_at"))}
+    )
+    mine = sorted((r for r in placed.collect() if r["customer_id"] == "hot"), key=lambda r: (r["sold_at"], r["amount"]))
+    last = None
+    for r in mine:
+        last = r["sold_at"] if r["amount"] == 2 else last
+        assert r["seen"] == last
+    sliced = grouping._sliced(f, ["customer_id"], [F.col("sold_at")])
+    assert sliced.filter("customer_id = 'hot'").select("_slice").distinct().count() > 1
+
+
+def test_checksums_tell_in_which_column_a_null_is(spark):
+    rows = spark.createDataFrame([(1, "x", None), (2, None, "x")], "i int, a string, b string")
+    one, two = (rows.filter(f"i = {i}").agg(hash_sum(["a", "b"])).first()[0] for i in (1, 2))
+    assert one != two
+
+
 def test_validity_is_half_open(spark):
     history = scd.by_timestamp(first(spark), people(spark, [("1", "rio", T2)]), "customer_id", "updated_at")
     facts = spark.createDataFrame([("1", T2), ("1", datetime(2026, 1, 31, 23)), ("1", datetime(2025, 1, 1)), ("9", T2)],

@@ -1,4 +1,4 @@
-"""Row numbers, running sums and sizes within groups, safe when one group is huge.
+"""Row numbers, running sums, carried values and sizes within groups, safe when one group is huge.
 
 Rows are put in order by one range partitioning on (keys, order) and stored, so
 that slices stay what they are.  A group lies in one slice or in a run of
@@ -60,6 +60,36 @@ def _summed(sliced: DataFrame, keys: Sequence[str], order: Sequence[Column], sum
     )
 
 
+def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Add, for each ``{column: value}``, the group's last value that is not NULL, up to and with the
+    row itself; ``order`` names columns, and rows equal in all of them must not have different values."""
+    sliced = _sliced(df, keys, [F.col(c) for c in order])
+    rank = F.struct(*order)
+    ends = sliced.groupBy(*keys, "_slice").agg(
+        *[F.max_by(value, F.when(value.isNotNull(), rank)).alias(f"_of_{name}") for name, value in values.items()]
+    )
+    # As many rows for a group as it has slices.
+    along = W.partitionBy(*keys).orderBy("_slice")
+    earlier = along.rowsBetween(W.unboundedPreceding, -1)
+    at = {k: f"_at_{k}" for k in [*keys, "_slice"]}
+    before = (
+        ends.select(
+            *[F.col(k).alias(name) for k, name in at.items()],
+            F.lag(F.lit(True)).over(along).alias("_continued"),
+            *[F.last(f"_of_{name}", ignorenulls=True).over(earlier).alias(f"_before_{name}") for name in values],
+        )
+        .filter("_continued")
+        .drop("_continued")
+    )
+    so_far = W.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    own = sliced.withColumns({name: F.last(value, ignorenulls=True).over(so_far) for name, value in values.items()})
+    return (
+        own.join(F.broadcast(before), _same(list(at), list(at.values())), "left")
+        .withColumns({name: F.coalesce(F.col(name), F.col(f"_before_{name}")) for name in values})
+        .select(*df.columns, *values)
+    )
+
+
 def numbered(
     df: DataFrame,
     keys: Sequence[str],

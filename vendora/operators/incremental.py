@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from vendora.functions.checksums import hash_sum
 from vendora.functions.fixed_values import LOOKBACK_DAYS
 from vendora.operators.keys import reject_unusable
 from vendora.session import remove
@@ -221,9 +222,7 @@ def month_checksums(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Per month the number of rows and the sum of their hashes, which no order changes.
 
     Tasks add up before the shuffle, so a month is one row for each task."""
-    return rows.groupBy(PARTITION).agg(
-        F.count("*").alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("hashes")
-    )
+    return rows.groupBy(PARTITION).agg(F.count("*").alias("rows"), hash_sum(columns).alias("hashes"))
 
 
 def differing_months(target: DataFrame, rebuilt: DataFrame) -> set:

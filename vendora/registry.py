@@ -559,13 +559,7 @@ def _history(spark, d, first: str, second: str) -> DataFrame:
     before = _customers(spark, d, first)
     root = work_path(spark, "history")
     for source in (before, _moved(before, second), _moved(before, second)):
-        scd.take_snapshot(
-            source,
-            root,
-            "customer_id",
-            F.col("updated_at"),
-            lambda opened, source=source: scd.by_timestamp(opened, source, "customer_id", "updated_at"),
-        )
+        scd.snapshot(source, root, "customer_id", F.col("updated_at"), scd.timestamp_rule("customer_id", "updated_at"))
     return scd.read_history(spark, root, before.schema)
 
 
@@ -579,16 +573,9 @@ def scd2_check(spark, d):
     before = _customers(spark, d).drop("updated_at")
     after = _moved(_customers(spark, d), MOVE_TS).drop("updated_at")
     root = work_path(spark, "history")
+    rule = scd.check_rule("customer_id", ["customer_city", "customer_state"], at(MOVE_TS))
     for source in (before, after, after):
-        scd.take_snapshot(
-            source,
-            root,
-            "customer_id",
-            at(LOAD_TS),
-            lambda opened, source=source: scd.by_check(
-                opened, source, "customer_id", ["customer_city", "customer_state"], at(MOVE_TS)
-            ),
-        )
+        scd.snapshot(source, root, "customer_id", at(LOAD_TS), rule)
     return scd.read_history(spark, root, before.schema)
 
 
