@@ -133,3 +133,81 @@ def test_spans_point_at_the_words(spark):
         assert (r.score >= 0.5) == bool(r.doc_id % 2)
         assert all(texts[r.doc_id][s.start : s.end].lower().startswith("vile") for s in r.spans)
         assert bool(r.spans) == bool(r.doc_id % 2)
+
+
+def test_bound_holds_for_repeated_labels(spark):
+    """One id holds a third of all label rows, and of all documents."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(2000)] + [(7, "text 7"), (7, "text 6")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(1300)] + [(7, 1)] * 700 + [(8, 1), (9, 0), (None, 1), (5000, 1)], "doc_id long, quality int"
+    )
+    whole = Q.labelled_texts(docs, labels, "quality", F.lit(True), 5000).collect()
+    # Id 8 has two labels that disagree, id 9 too.
+    assert sorted(map(tuple, whole)) == sorted((f"text {i}", i % 2) for i in range(1300) if i not in (8, 9))
+    chosen = Q.labelled_texts(docs, labels, "quality", F.lit(True), 100).collect()
+    assert 60 < len(chosen) < 140 and len(set(chosen)) == len(chosen)
+
+
+def test_bytes_of_the_sample_are_bounded(spark):
+    rows = [(i, "word " * (1 + i % 50)) for i in range(800)] + [(900, "long " * 100_000), (901, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    held = lambda df: sum(len(r.text) for r in df.collect())
+    most = 64 * 300
+    bounded = Q.labelled_texts(docs, labels, "toxic", F.lit(True), 5000, most_bytes=most)
+    assert most * 0.95 < held(bounded) <= most
+    assert len(Q.labelled_texts(docs, labels, "toxic", F.lit(True), 5000).collect()) == len(rows)
+    for run in (Q.classify, T.tag):
+        scored = run(docs, labels.withColumnRenamed("toxic", "quality") if run is Q.classify else labels, most_bytes=most)
+        assert scored.count() == len(rows)
+
+
+def plain_ftrl(examples, width, epochs):
+    """Follow the regularised leader, one coordinate of one example after the other."""
+    z, n = [0.0] * (1 << width), [0.0] * (1 << width)
+
+    def weight(i):
+        if abs(z[i]) <= Q.L1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * Q.L1) / ((Q.BETA + n[i] ** 0.5) / Q.ALPHA + Q.L2)
+
+    for _ in range(epochs):
+        for features, label in examples:
+            x = {}
+            for f in features:
+                x[f] = x.get(f, 0.0) + Q.SCALE / len(features)
+            x[0] = 1.0
+            w = {i: weight(i) for i in x}
+            miss = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x))) - label
+            for i, v in x.items():
+                sigma = ((n[i] + (miss * v) ** 2) ** 0.5 - n[i] ** 0.5) / Q.ALPHA
+                z[i] += miss * v - sigma * w[i]
+                n[i] += (miss * v) ** 2
+    return [weight(i) for i in range(1 << width)]
+
+
+def test_training_equals_the_plain_rule():
+    rng, h = random.Random(4), Q.Hasher(8)
+    texts = [(" ".join(rng.choices("abcdefgh" if y else "efghijkl", k=rng.randrange(1, 9))), y) for y in (0, 1) * 30]
+    examples = [(h.features(t), y) for t, y in texts]
+    assert np.allclose(Q.train(examples, 8, 2), plain_ftrl(examples, 8, 2))
+
+
+def test_training_in_small_blocks(monkeypatch):
+    """Blocks of a few plain chains give a field that tells the same texts apart."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(240):
+        words = [f"w{rng.randrange(60)}" for _ in range(10)]
+        if i % 2:
+            words[rng.randrange(10)] = "vilest"
+            words[rng.randrange(10)] = "vilely"
+        texts.append((" ".join(words) + ".", i % 2))
+    whole = T.train(texts)
+    monkeypatch.setattr(T, "BLOCK", 7)
+    blocks = T.train(texts)
+    for model in (whole, blocks):
+        a, b, c = model.score
+        got = [a + b * x + c * z >= 0 for x, z, _ in T.Measure(model).documents([t for t, _ in texts])]
+        assert np.mean([g == bool(y) for g, (_, y) in zip(got, texts, strict=True)]) > 0.97
+    assert whole.weights.keys() == blocks.weights.keys()

@@ -4,13 +4,14 @@ Tokens are runs of word characters and runs of signs.  Features are hashed token
 pairs of neighbours, and one more for each three-token window that the text has had
 before, all as shares of the text's tokens.  Weights are learned by the
 follow-the-regularised-leader rule with L1 and L2 terms, one example after the
-other, from about ``TRAIN_ROWS`` labelled documents at most, chosen by hash (the bound is a
-parameter).  Scoring covers every document: a sparse dot product of its
+other, from about ``TRAIN_ROWS`` labelled documents and ``TRAIN_BYTES`` of their text at most,
+chosen by hash (both bounds are parameters).  Scoring covers every document: a sparse dot product of its
 features with the weights, which are ``2 ** WIDTH`` numbers whatever the data's size.
 
 Defined results: null and empty texts have no features and get the bias' score; rows
-without a label, or whose text has no document, teach nothing; with no labels at all
-every score is 0.5; repeated rows score alike; an empty table gives an empty
+without a label, or whose label has no document, teach nothing; a repeated label counts once, and
+ids whose labels disagree teach nothing; of documents that share an id the greatest text is learned
+from; with no labels at all every score is 0.5; repeated rows score alike; an empty table gives an empty
 result; other columns are not read.  Only the text enters a score.
 """
 
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendora.llm.common import arrow_map
@@ -30,6 +32,8 @@ from vendora.session import settle
 
 WIDTH = 18
 TRAIN_ROWS = 12_000
+# Bytes of labelled texts; beyond them no text of over a 64th of that is learned from.
+TRAIN_BYTES = 64 << 20
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 1e-3, 1e-4
 # Features are shares of a few hundredths; this brings a common one to about 1.
@@ -126,21 +130,32 @@ def labelled_texts(
     rows: int,
     doc_id: str = "doc_id",
     text: str = "text",
+    most_bytes: int = TRAIN_BYTES,
 ) -> DataFrame:
-    """Rows ``(text, label)`` of about ``rows`` documents at most, of those with a label of 0
-    or 1 that may be learned from.
+    """Rows ``(text, label)`` of about ``rows`` documents and ``most_bytes`` of text at most, of those with
+    a label of 0 or 1 that may be learned from.
 
-    The labels are sampled before the texts are fetched, so what is broadcast has a
-    bound, and texts are not shuffled."""
+    Label rows are folded to one for each id before they are counted and sampled, so that what is broadcast
+    has a bound however often an id comes; so are the documents found.  Texts of the sample alone are shuffled."""
     marks = labels.filter(learn & F.col(label).cast("int").isin(0, 1) & F.col(doc_id).isNotNull()).select(
         F.col(doc_id).alias("_labelled"), F.col(label).cast("int").alias("label")
     )
+    folded = marks.groupBy("_labelled").agg(F.min("label").alias("label"), F.max("label").alias("other"))
+    marks = settle(folded.filter("label = other").drop("other"), "marks")
     n = marks.count()
     if n > rows:
         marks = marks.filter(F.pmod(F.xxhash64("_labelled", F.lit(11)), F.lit(n)) < rows)
-    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     found = texts.join(F.broadcast(marks), F.col("_doc") == F.col("_labelled"))
-    return settle(found.select(F.coalesce("text", F.lit("")).alias("text"), "label"), "labelled")
+    chosen = settle(found.groupBy("_labelled").agg(F.max("text").alias("text"), F.max("label").alias("label")), "labelled")
+    held = F.octet_length("text")
+    if (chosen.agg(F.sum(held)).first()[0] or 0) > most_bytes:
+        # About `rows` numbers; texts that would push out many others are passed over.
+        along = W.orderBy(F.xxhash64("_labelled", F.lit(17)), "_labelled").rowsBetween(W.unboundedPreceding, 0)
+        sizes = chosen.select("_labelled", held.alias("held")).filter(F.col("held") <= most_bytes // 64)
+        fits = sizes.withColumn("so_far", F.sum("held").over(along)).filter(F.col("so_far") <= most_bytes)
+        chosen = chosen.join(F.broadcast(fits.select("_labelled")), "_labelled", "left_semi")
+    return chosen.select("text", "label")
 
 
 def remainder(doc_id: str, by: int) -> Column:
@@ -172,9 +187,10 @@ def classify(
     text: str = "text",
     learn: Column | None = None,
     rows: int = TRAIN_ROWS,
+    most_bytes: int = TRAIN_BYTES,
 ) -> DataFrame:
     """Rows ``(doc_id, score)`` for every document; ``learn``, a condition on the id, says
     which labels may be used."""
     learn = F.lit(True) if learn is None else learn
-    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text)
+    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text, most_bytes)
     return score_all(docs, fit(chosen), doc_id, text)

@@ -13,8 +13,9 @@ labelled clean.
 transitions.  They climb the exact gradient of the chains' likelihood, from forward and
 backward passes.  Last, a document's marginals give two numbers, the largest and
 the damped sum of squares, and logistic regression on the document labels turns them into the
-score.  All of it sees about ``TRAIN_ROWS`` labelled documents at most, chosen by hash, and
-runs in one task; the bound is a parameter.
+score.  All of it sees about ``TRAIN_ROWS`` labelled documents and ``TRAIN_BYTES`` of their text at
+most, chosen by hash, and runs in one task; both bounds are parameters.  All chains of that
+sample are trained on, those without a tied word in blocks that take turns.
 
 **Scoring** covers every whole text: emission scores by word, both passes over all
 chains of a batch at once, marginals, score, and the offsets (in characters) of
@@ -22,7 +23,7 @@ tokens that are more likely toxic than not.
 
 Defined results: null and empty texts have no tokens and get the score of an empty
 document; without any label, or without both kinds, every score is 0 for lack of toxic
-evidence; repeated rows score alike; an empty table gives an empty result; other
+evidence; a repeated label counts once, and ids whose labels disagree teach nothing; repeated rows score alike; an empty table gives an empty result; other
 columns are not read.
 """
 
@@ -38,16 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendora.llm.common import arrow_map
-from vendora.llm.quality_classifier import labelled_texts, sigmoid
+from vendora.llm.quality_classifier import TRAIN_BYTES, labelled_texts, sigmoid
 
 TRAIN_ROWS = 8_000
 TIED = 20.0
 # Share of toxic documents among those with a tied word, and words it follows there.
 PURE = 0.9
 CONTEXTS = 6
-MOST_FEATURES = 50_000
-# Chains trained on that hold no tied word, besides all that do.
-PLAIN_CHAINS = 10_000
+# Chains without a tied word that one step of the training takes, besides all with one; the steps
+# go through all of them in turn.
+BLOCK = 10_000
 CHAIN = 256
 ROUNDS = 50
 STEP = 0.3
@@ -184,53 +185,51 @@ def train(examples: list[tuple[str, int]]) -> Field:
     ratios[some] = [_ratio(int(counts[1][f]), int(counts[0][f]), n_toxic, n_clean) for f in some]
     # Copies of one toxic text repeat all its words, but in the same company.
     tied = (ratios > TIED) & (counts[1] >= PURE * counts.sum(0)) & (around >= CONTEXTS)
-    used = np.sort(some[np.argsort(-np.abs(ratios[some]), kind="stable")[:MOST_FEATURES]])
+    used = some
     number = np.zeros(len(names), np.int32)
     number[used] = np.arange(len(used)) + 1
 
-    # Chains with a tied word, from documents of either kind, and a share of the
-    # others, each of which stands for as many as were left out.
+    # Every step sees the chains with a tied word, from documents of either kind, and one block of the
+    # others, each of which stands for one of every block.
     tied_word = tied[of_word].any(1) & ~is_end
     tokens = np.concatenate(texts)
     toxic = np.repeat(np.array(labels, bool), [len(t) for t in texts])
     starts, lengths = chains(is_end[tokens])
     tied_before = np.concatenate([[0], np.cumsum(tied_word[tokens])])
     hot = tied_before[starts + lengths] > tied_before[starts]
-    plain = np.flatnonzero(~hot)
-    kept = plain[:: max(1, len(plain) // PLAIN_CHAINS)]
-    chosen = np.sort(np.concatenate([np.flatnonzero(hot), kept]))
-    starts, lengths = starts[chosen], lengths[chosen]
-    # The chosen chains side by side, one empty token after each.
-    moved = np.concatenate([[0], np.cumsum(lengths + 1)])
-    take = np.arange(moved[-1]) - np.repeat(moved[:-1], lengths + 1) + np.repeat(starts, lengths + 1)
-    real = np.ones(len(take), bool)
-    real[moved[1:] - 1] = False
-    taken = tokens[take]
-    ids = number[of_word[taken]] * real[:, None]
-    gold = (tied_word[taken] & toxic[take] & real).astype(float)
-    if not gold.any():
+    gold_of = tied_word[tokens] & toxic
+    if not gold_of.any():
         return model
-    weight = np.repeat(np.where(hot[chosen], 1.0, len(plain) / max(1, len(kept))), lengths + 1) * real
-    starts = moved[:-1]
-    n = weight.sum()
-    before, after = gold[:-1], gold[1:]
-    link = weight[:-1] * real[1:]
-    seen = np.array([(link * (1 - before) * after).sum(), (link * before * (1 - after)).sum(), (link * before * after).sum()])
-    first = starts
+    plain = np.flatnonzero(~hot)
+    n_blocks = max(1, -(-len(plain) // BLOCK))
+    part = [(starts[c], lengths[c]) for c in (np.flatnonzero(hot), *(plain[b::n_blocks] for b in range(n_blocks)))]
+    n = float(lengths.sum())
     # Adaptive steps along the gradient: features, then bias, start and transitions.
     w = np.zeros(len(used) + 1 + 5)
-    w[-5] = np.log(max(1.0, gold.sum()) / n)
+    w[-5] = np.log(max(1.0, gold_of.sum()) / n)
     squares = np.zeros(len(w))
-    for _ in range(ROUNDS):
+    for step in range(max(ROUNDS, n_blocks)):
         model.bias, model.start, model.steps = w[-5], w[-4], tuple(w[-3:])
-        e = w[: len(used) + 1][ids].sum(1) + model.bias
-        p, expected = passes(e, starts, lengths, model, weight)
-        miss = (gold - p) * weight
         g = np.zeros(len(w))
-        g[: len(used) + 1] = np.bincount(ids.ravel(), np.repeat(miss, 3), len(used) + 1)
+        for which, times in ((0, 1.0), (1 + step % n_blocks, float(n_blocks))):
+            s, k = part[which]
+            # The chains side by side, one empty token after each.
+            first = np.concatenate([[0], np.cumsum(k + 1)])
+            take = np.arange(first[-1]) - np.repeat(first[:-1], k + 1) + np.repeat(s, k + 1)
+            real = np.ones(len(take), bool)
+            real[first[1:] - 1] = False
+            take[~real] = 0
+            ids = number[of_word[tokens[take]]] * real[:, None]
+            gold = (gold_of[take] & real).astype(float)
+            p, expected = passes(w[: len(used) + 1][ids].sum(1) + model.bias, first[:-1], k, model, real.astype(float))
+            miss = (gold - p) * real * times
+            g[: len(used) + 1] += np.bincount(ids.ravel(), np.repeat(miss, 3), len(used) + 1)
+            g[-5] += miss.sum()
+            g[-4] += miss[first[:-1]].sum()
+            a, z, link = gold[:-1], gold[1:], real[:-1] & real[1:]
+            seen = np.array([(link * (1 - a) * z).sum(), (link * a * (1 - z)).sum(), (link * a * z).sum()])
+            g[-3:] += (seen - expected) * times
         g[0] = 0
-        g[-5], g[-4] = miss.sum(), miss[first].sum()
-        g[-3:] = seen - expected
         g -= PENALTY * n * np.concatenate([np.full(len(used) + 1, 1e-2), np.zeros(5)]) * w
         squares = 0.9 * squares + 0.1 * g * g
         w += STEP * g / (np.sqrt(squares) + 1e-6)
@@ -240,7 +239,7 @@ def train(examples: list[tuple[str, int]]) -> Field:
 
     # The score, by a few Newton steps of penalised logistic regression.
     measure = Measure(model)
-    del texts, tokens, pairs
+    del texts, tokens, toxic, pairs
     x = np.array([m[:2] for i in range(0, len(examples), 500) for m in measure.documents([t for t, _ in examples[i : i + 500]])])
     x, y = np.column_stack([np.ones(len(x)), x]), np.array(labels, float)
     b = np.zeros(3)
@@ -306,7 +305,7 @@ def fit(labelled: DataFrame) -> Field:
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(values, pa.float64())], ["name", "value"])
 
     chosen = labelled.repartition(1).sortWithinPartitions(F.xxhash64("text", F.lit(23)), "label")
-    got = dict(map(tuple, chosen.mapInArrow(run, "name string, value double").collect()))  # MOST_FEATURES at most
+    got = dict(map(tuple, chosen.mapInArrow(run, "name string, value double").collect()))  # as many as the sample has features
     if not got:
         return Field()
     own = [got.pop(n) for n in ("bias", "start", "step0", "step1", "step2", "score0", "score1", "score2")]
@@ -343,9 +342,10 @@ def tag(
     text: str = "text",
     learn: Column | None = None,
     rows: int = TRAIN_ROWS,
+    most_bytes: int = TRAIN_BYTES,
 ) -> DataFrame:
     """Rows ``(doc_id, score, spans)`` for every document; ``learn``, a condition on the id, says
     which labels may be used."""
     learn = F.lit(True) if learn is None else learn
-    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text)
+    chosen = labelled_texts(docs, labels, label, learn, rows, doc_id, text, most_bytes)
     return score_all(docs, fit(chosen), doc_id, text)
