@@ -60,6 +60,52 @@ def test_content_in_several_containers_is_whole(name):
     assert H.main_text(page) == text
 
 
+DOUBTFUL = ["related-work", "story-rail", "legal-news", "post-share-price", "alert-system", "promo-video-story", "login-tutorial"]
+
+
+@pytest.mark.parametrize("name", DOUBTFUL)
+def test_a_word_of_a_name_does_not_decide_alone(name):
+    page = f"<nav><a href=a>Menu</a></nav><article><h1>T</h1><p>{P1}</p><div class='{name}'><p>{P1}</p><p>{P2}</p></div><p>So.</p></article>"
+    assert H.main_text(page) == f"T\n{P1}\n{P1}\n{D2}\nSo."
+    # The same name around links and scraps: the ratios say that it is none of the text.
+    scraps = "".join(f"<li><a href=x{i}>More {i}</a> now" for i in range(5))
+    page = f"<article><h1>T</h1><p>{P1}</p><p>{P2}</p><div class='{name}'><ul>{scraps}</ul></div><p>{P1}</p><p>{P2}</p></article>"
+    assert H.main_text(page) == f"T\n{P1}\n{D2}\n{P1}\n{D2}"
+
+
+@pytest.mark.parametrize("name", ["ad-box", "cookie-notice", "commentList", "post-comments", "sidebar x1", "related-posts", "site-footer"])
+def test_plain_names_mark(name):
+    page = f"<div class=a><h1>T</h1><p>{P1}</p><div class='{name}'><p>{P1}</p></div><p>{P2}</p></div>"
+    assert H.main_text(page) == f"T\n{P1}\n{D2}"
+
+
+LINKS = "".join(f"<li><a href=/{i}>Place {i}</a>" for i in range(6))
+BODY = f"<h1>T</h1>{f'<p>{P1}<p>{P2}' * 5}<p>So.</p>"
+TEXT = "T\n" + f"{P1}\n{D2}\n" * 5 + "So."
+
+
+def test_neutral_names():
+    """Menus and notices beside the region, and boxes of links in it, whatever they are called."""
+    menu, said = f"<div class=x1><ul>{LINKS}</ul></div>", "<div class=x2>We use small files to make this site work for you.</div>"
+    assert H.main_text(f"<body>{menu}<div class=x3>{BODY}</div>{said}</body>") == TEXT
+    assert H.main_text(f"<body><div class=x3>{BODY}{menu}</div>{said}{menu}</body>") == TEXT
+    # A list of words and links is not mostly links, and in an article links are text.
+    assert H.main_text(f"<body><div>{BODY}<ul><li>{P1} <a href=x>Here</a></ul></div></body>") == f"{TEXT}\n{P1} Here"
+    assert H.main_text(f"<article>{BODY}<ul><li><a href=x>Source</a></ul></article>") == f"{TEXT}\nSource"
+    # A box with the heading is no box beside.
+    headed = BODY.replace("<h1>T</h1>", "<h2>U</h2>")
+    assert H.main_text(f"<body><div><h1>T</h1></div><div>{headed}</div></body>") == "T\nU\n" + TEXT[2:]
+
+
+def test_the_method_decides(monkeypatch):
+    """Without clusters, the same page gives more."""
+    page = f"<body><div class=x1><ul>{LINKS}</ul></div><div class=x3>{BODY}</div><div class=x2>Small files are used.</div></body>"
+    assert H.main_text(page) == TEXT
+    monkeypatch.setattr(H, "threshold", lambda values: -1.0)
+    monkeypatch.setattr(H, "BESIDE", 0.0)
+    assert H.main_text(page) != TEXT
+
+
 def test_fed_in_pieces(monkeypatch):
     want = {k: H.main_text(v[0]) for k, v in PAGES.items()}
     monkeypatch.setattr(H, "FEED", 7)

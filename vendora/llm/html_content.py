@@ -3,16 +3,20 @@
 1. The standard library's parser streams its events into lines: a block element, a break
    or a list item starts a new one.  Each line keeps its characters, its tags, its
    characters inside links, and the containers around it.  What is never content by its
-   element (scripts, styles, menus, forms, footers, ...) or by the names that pages give
-   to menus, notices, adverts and comments is marked.
+   element (scripts, styles, menus, forms, footers, ...) or by a name that says nothing but
+   menu, notice, advert or comment is marked.  A name that has such a word beside others
+   (``related-work``, ``alert-system``) is a doubt that the ratios settle.
 2. A line's ratio is its characters outside links for each tag on it.  A Gaussian kernel
    smooths the ratios along the page, so that a short line among long ones is not
    taken for a menu.
 3. Smoothed ratios fall into two clusters around their low and high means; the
-   threshold lies between.  Lines above it are content.
+   threshold lies between.  Lines above it are content.  A doubtful container is marked if
+   its characters outside links for each of its tags are not above the threshold either.
 4. The content region is the innermost container that holds all of the content, within
    the outermost ``article`` or ``main`` element that holds most of its characters, if there
-   is one.  All its unmarked lines are the text, short ones too.
+   is one.  Without one, boxes beside the innermost that hold a tenth of the content at most, and no
+   title that it lacks, are left out, and so are boxes inside it that are mostly links.  All other unmarked
+   lines of the region are the text, short ones too.
 
 Every page is a row of its own; nothing is shuffled.  Pages are parsed in pieces, and
 their lines are held for one page at a time.
@@ -37,6 +41,8 @@ from pyspark.sql import functions as F
 from vendora.llm.common import slices
 
 SIGMA = 1.0
+# Share of the content's characters that boxes beside the region may hold, where no element names it.
+BESIDE = 0.1
 # Characters of a page that the parser gets at a time.
 FEED = 1 << 16
 
@@ -65,47 +71,63 @@ CLOSES = {
     "th": ("td th", ("tr", "table")),
     "option": ("option", ("select",)),
 }
-NAMES = (
+NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs topbar toolbar pagination pager "
     "sidebar sidenav aside rail widget widgets footer masthead "
     "comment comments commentlist respond replies disqus discussion "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
-    "login share sharing social related recommended recommendations skip copyright disclaimer legal"
-).split()
+    "login share sharing social related recommended recommendations skip copyright disclaimer legal".split()
+)
+# Words that say where or what kind of box something is, beside the names above.
+PLACES = frozenset(
+    "article articles area bar block body bottom box button buttons container content entry entries fixed footer form "
+    "global group head header holder icon icons inner item items left link links list main outer page panel post posts "
+    "primary reader readers region right row secondary section site slot small sticky text thread title top unit user "
+    "users wrap wrapper".split()
+)
+LISTS = frozenset("ul ol table".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 
 _NAME = re.compile(r"[a-z]+")
-_NAMES = frozenset(NAMES)
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
-def _marked(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
+# How sure it is that an element is never content.
+NO, DOUBT, YES = 0, 1, 2
+
+
+def _marked(tag: str, attrs: dict[str, str | None], inside: bool) -> int:
     """Whether an element is never content; ``inside``: of an article."""
     if tag in NEVER or (tag == "header" and not inside):
-        return True
+        return YES
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search((attrs.get("style") or "").lower()):
-        return True
+        return YES
     if (attrs.get("role") or "").lower() in ROLES:
-        return True
+        return YES
     if tag in ("body", "html", "main", "article"):
-        return False
-    named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    split = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()
-    return not _NAMES.isdisjoint(_NAME.findall(split))
+        return NO
+    sure = NO
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        words = set(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()))
+        if words & NAMES:
+            sure = max(sure, YES if words <= NAMES | PLACES else DOUBT)
+    return sure
 
 
 class Lines(HTMLParser):
-    """Collects lines ``[text, tags, link characters, container, marked]`` from parser events."""
+    """Collects lines ``[text, tags, link characters, container, marked, doubt]`` from parser events;
+    a doubt is the number of the outermost doubtful element around the line, 0 if there is none."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[list] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
-        # Open elements: name, container number, whether marked.
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]
+        # Open elements: name, container number, whether marked, doubt.
+        self.open: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        self.doubts = 0
         self.parents = [0]
         self.kinds = [""]
         self.links = self.articles = 0
@@ -114,12 +136,12 @@ class Lines(HTMLParser):
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append([text, self.tags, self.linked, self.open[-1][1], self.open[-1][2]])
+                self.lines.append([text, self.tags, self.linked, *self.open[-1][1:]])
                 self.tags = self.linked = 0
             self.parts = []
 
     def _pop(self) -> None:
-        tag, _, _ = self.open[-1]
+        tag = self.open[-1][0]
         if tag in BLOCK:
             self._line()
         self.open.pop()
@@ -147,13 +169,17 @@ class Lines(HTMLParser):
             self._line()
         if tag in VOID:
             return
-        marked = self.open[-1][2] or _marked(tag, dict(attrs), self.articles > 0)
-        number = self.open[-1][1]
+        _, number, marked, doubt = self.open[-1]
+        sure = NO if marked else _marked(tag, dict(attrs), self.articles > 0)
+        marked |= sure == YES
+        if sure == DOUBT and not doubt:
+            self.doubts += 1
+            doubt = self.doubts
         if tag in BLOCK:
             self.parents.append(number)
             self.kinds.append(tag)
             number = len(self.parents) - 1
-        self.open.append((tag, number, marked))
+        self.open.append((tag, number, marked, doubt))
         self.links += tag == "a"
         self.articles += tag == "article"
 
@@ -213,34 +239,60 @@ def region(found: Lines, sigma: float = SIGMA) -> list[bool]:
     use = [i for i, line in enumerate(lines) if not line[4]]
     if not use:
         return [False] * len(lines)
-    ratios = np.array([0.0 if m else max(0, len(t) - linked) / max(1, tags) for t, tags, linked, _, m in lines])
+    free = [0 if m else max(0, len(t) - linked) for t, _, linked, _, m, _ in lines]
+    ratios = np.array([n / max(1, line[1]) for n, line in zip(free, lines, strict=True)])
     smooth = smoothed(ratios, sigma)
     cut = threshold(smooth[use])
+    # Doubtful elements as a whole: free characters and tags.
+    held = np.zeros((found.doubts + 1, 2))
+    for i in use:
+        held[lines[i][5]] += free[i], lines[i][1]
+    dropped = held[:, 0] <= cut * np.maximum(1, held[:, 1])
+    dropped[0] = False
+    use = [i for i in use if not dropped[lines[i][5]]]
     content = [i for i in use if smooth[i] > cut] or use
     # Characters of content in each container: all, and those outside links, since smoothing
-    # lifts a menu beside a paragraph too.
-    weight, plain = np.zeros(len(parents)), np.zeros(len(parents))
+    # lifts a menu beside a paragraph too; and of all lines, all and in links.
+    weight, plain, whole, linked = np.zeros((4, len(parents)))
+    title = np.zeros(len(parents), bool)
     for i in content:
         weight[lines[i][3]] += len(lines[i][0])
-        plain[lines[i][3]] += max(0, len(lines[i][0]) - lines[i][2])
+        plain[lines[i][3]] += free[i]
+    for i in use:
+        whole[lines[i][3]] += len(lines[i][0])
+        linked[lines[i][3]] += lines[i][2]
+        title[lines[i][3]] |= kinds[lines[i][3]] == "h1"
+    apart = plain.copy()
     for k in range(len(parents) - 1, 0, -1):  # children come after their parents
-        weight[parents[k]] += weight[k]
-        plain[parents[k]] += plain[k]
+        for sums in (weight, plain, whole, linked):
+            sums[parents[k]] += sums[k]
+        title[parents[k]] |= title[k]
+    # What of a container's content stands in it, or in a part that is no box.
+    for k in range(1, len(parents)):
+        if kinds[k] not in GROUPS:
+            apart[parents[k]] += plain[k]
     named = [k for k in range(len(parents)) if kinds[k] in ("article", "main") and weight[k] > weight[0] / 2]
     best = named[0] if named else 0
     # Down to the lowest container of all the content; inside a named one, to a named one only.
     for k in named[1:] if named else range(1, len(parents)):
-        if plain[k] == plain[best] > 0 and (named or (parents[k] == best and kinds[k] in GROUPS)):
+        if named:
+            deeper = plain[k] == plain[best] > 0
+        else:
+            nearly = apart[best] == 0 and plain[k] >= (1 - BESIDE) * plain[best]
+            most = plain[best] > 0 and (plain[k] == plain[best] or nearly)
+            deeper = most and parents[k] == best and kinds[k] in GROUPS and (title[k] or not title[best])
+        if deeper:
             best = k
     inside = np.zeros(len(parents), bool)
     inside[best] = True
     for k in range(best + 1, len(parents)):
-        inside[k] = inside[parents[k]]
+        links = not named and kinds[k] in GROUPS | LISTS and linked[k] > whole[k] / 2
+        inside[k] = inside[parents[k]] and not links
     # Several articles on a page are content alike.
     if kinds[best] == "article":
         for k in range(1, len(parents)):
             inside[k] |= kinds[k] == "article" or inside[parents[k]]
-    return [bool(inside[line[3]]) and not line[4] for line in lines]
+    return [bool(inside[line[3]]) and not line[4] and not dropped[line[5]] for line in lines]
 
 
 def main_text(html: str | None) -> str:
