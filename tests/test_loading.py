@@ -620,6 +620,23 @@ def test_columns_are_taken_by_name_and_must_be_there(spark, tmp_path):
         csv_files.load_raw(spark, str(tmp_path), "customers", prefix="z_")
 
 
+def test_many_deliveries_are_one_read_for_each_header(spark, tmp_path):
+    contract = CONTRACTS["customers"]
+    turned = list(reversed(contract.columns))
+    for i in range(30):
+        names = turned if i % 3 == 0 else contract.columns
+        with open(tmp_path / contract.file.replace("*", f"d{i}"), "w", newline="") as out:
+            writer = csv.writer(out)
+            writer.writerow(names)
+            writer.writerow([f"{i}-{c}" for c in names])
+    paths = csv_files.matching(spark, f"{tmp_path}/{contract.file}")
+    assert len(paths) == 30 and sorted(map(len, csv_files.by_header(spark, paths))) == [10, 20]
+    got = csv_files.load_raw(spark, str(tmp_path), "customers")
+    assert sorted(map(tuple, got.collect())) == sorted(tuple(f"{i}-{c}" for c in contract.columns) for i in range(30))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation ") == 2
+    assert csv_files.first_line(spark, str(tmp_path)) is None
+
+
 def test_present_contract_name_wins_over_the_old_one(spark):
     df = spark.createDataFrame([("a", "b")], "product_category string, product_category_name string")
     assert csv_files.align_columns(df, {"product_category": "product_category_name"}).columns == df.columns

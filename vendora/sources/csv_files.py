@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,21 +14,24 @@ from vendora.functions.unions import union_all
 from vendora.sources.contracts import CONTRACTS, Contract
 
 
-def read_csv(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
+Paths = str | list[str]
+
+
+def read_csv(spark: SparkSession, path: Paths, free_text: bool = False) -> DataFrame:
     """Header CSV with every column as text, so leading zeros survive.
 
     Fields of ``free_text`` may hold line breaks; see :func:`read_free_text`.  The schema
-    is that of the first header, declared, so that Spark checks the header of every further file of the folder against it and fails on a
-    different one; it would else bind their columns by position."""
+    is that of the first header, declared, so that Spark checks the header of every further file
+    against it and fails on a different one; it would else bind their columns by position."""
     if free_text:
         return read_free_text(spark, path)
     plain = spark.read.option("header", True).option("escape", '"')
-    names = plain.csv(path).columns
+    names = plain.csv(path if isinstance(path, str) else path[0]).columns
     schema = StructType([StructField(c, StringType()) for c in names])
     return plain.option("enforceSchema", False).schema(schema).csv(path)
 
 
-def read_free_text(spark: SparkSession, path: str) -> DataFrame:
+def read_free_text(spark: SparkSession, path: Paths) -> DataFrame:
     """Header CSV whose quoted fields may hold line breaks, read in as many tasks as the files have blocks.
 
     Spark cuts files into blocks at line ends and cannot know whether a block begins inside quotes.  The
@@ -76,7 +80,7 @@ def read_free_text(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("block", "nth", "value"))).alias("parts"))
         .select("file", "record", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("text"))
     )
-    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path).columns
+    names = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path if isinstance(path, str) else path[0]).columns
     tops = placed.filter(F.col("block") == 0).groupBy("file").agg(F.min("nth").alias("top"), F.min_by("value", "nth").alias("head"))
     if tops.select("head").distinct().limit(2).count() > 1:
         raise ValueError(f"files of {path} differ in their headers")
@@ -90,7 +94,7 @@ def read_free_text(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.from_csv("text", ddl, options).alias("r")).select("r.*")
 
 
-def block_lines(spark: SparkSession, path: str) -> DataFrame:
+def block_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Lines by block; a file of any size is several tasks."""
     return spark.read.option("lineSep", "\n").text(path)
 
@@ -106,7 +110,7 @@ def load_raw(spark: SparkSession, raw_path: str, table: str, prefix: str | None
 
     ``prefix`` is what the publisher puts before the file name; without it the
     only file with any prefix is taken.  Several files of the name (deliveries)
-    are read each by its own header and put together by name."""
+    are read by their own headers, those with the same one together, and put together by name."""
     contract = CONTRACTS[table]
     pattern = contract.file if prefix is None else contract.file.replace("*_", prefix)
     paths = matching(spark, f"{raw_path}/{pattern}")
@@ -114,10 +118,45 @@ def load_raw(spark: SparkSession, raw_path: str, table: str, prefix: str | None
         if contract.optional:
             return empty(spark, contract)
         raise FileNotFoundError(f"PATH_NOT_FOUND: {raw_path}/{pattern}")
-    found = [_in_contract(read_csv(spark, path, contract.free_text), contract, path) for path in paths]
+    found = [
+        _in_contract(read_csv(spark, group, contract.free_text), contract, group[0]) for group in by_header(spark, paths)
+    ]
     return reduce(DataFrame.unionByName, found)
 
 
+# Files whose first lines are fetched at a time.
+OPENED = 16
+
+
+def by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The paths in groups of files with the same first line, so that a read, its plan and its
+    jobs are one for each kind of header, however many files there are.  A folder is a group of its own."""
+    if len(paths) < 2:
+        return [[p] for p in paths]
+    with ThreadPoolExecutor(OPENED) as pool:
+        heads = list(pool.map(lambda p: first_line(spark, p), paths))
+    groups: dict[tuple, list[str]] = {}
+    for path, head in zip(paths, heads, strict=True):
+        groups.setdefault((path, None) if head is None else ("", head), []).append(path)
+    return list(groups.values())
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, in whichever store it is; None for folders, empty and packed files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(conf)
+    packed = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place) is not None
+    if packed or store.getFileStatus(place).isDirectory():
+        return None
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(store.open(place), "UTF-8"))
+    try:
+        return lines.readLine()
+    finally:
+        lines.close()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Files or folders that match, in whichever store they are."""
     glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
