@@ -672,6 +672,29 @@ def test_release_keeps_the_version_before_if_a_rule_fails(spark, tmp_path):
     assert warehouse.released(spark, root)["fct_payments"].count() == payments
 
 
+def test_build_stores_wanted_tables_and_what_they_read(spark, tmp_path):
+    assert warehouse.with_inputs(["ads_payment_analysis"]) == {"ads_payment_analysis", "fct_payments"}
+    assert warehouse.with_inputs(["ads_kpi_summary"]) >= {"dws_seller_performance", "dim_sellers", "fct_orders"}
+    assert warehouse.with_inputs(warehouse.STORED) == set(warehouse.STORED)
+    with pytest.raises(ValueError, match="no stored table"):
+        warehouse.with_inputs(["stg_orders"])
+    inputs = {name: getattr(driver_tables, name)(spark, "/root/testdata/sf0.001") for name in CONTRACTS}
+    built = warehouse.build(spark, inputs, f"{tmp_path}/some", wanted=["ads_payment_analysis"])
+    assert {p.name for p in (tmp_path / "some").iterdir()} == {"ads_payment_analysis", "fct_payments"}
+    assert {name for name in built if not name.startswith("stg_")} == {"ads_payment_analysis", "fct_payments"}
+    assert "some/fct_payments" in built["fct_payments"].inputFiles()[0]
+    assert built["ads_payment_analysis"].count() > 0
+
+
+def test_build_fails_where_a_table_does(spark, tmp_path):
+    inputs = {name: getattr(driver_tables, name)(spark, "/root/testdata/sf0.001") for name in CONTRACTS}
+    broken = F.raise_error(F.lit("no such order")).cast("string")
+    inputs["order_payments"] = inputs["order_payments"].withColumn("payment_type", broken)
+    with pytest.raises(Exception, match="no such order"):
+        warehouse.build(spark, inputs, f"{tmp_path}/broken", wanted=["ads_payment_analysis", "dim_sellers"])
+    assert not (tmp_path / "broken/ads_payment_analysis").exists()
+
+
 def test_scratch_leaves_nothing_but_the_result(spark, tmp_path):
     here = Path(work_path(spark, "x").removeprefix("file:")).parent
     before = set(here.glob("*"))

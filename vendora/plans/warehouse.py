@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -19,8 +19,22 @@ STORED = [
     "ads_gmv_monthly", "ads_category_sales", "ads_region_overview", "ads_payment_analysis", "ads_review_analysis",
     "dws_customer_rfm", "dws_seller_performance", "ads_kpi_summary",
 ]
+# What each of them reads of the others, in the order of its arguments.
+READS = {
+    "ads_gmv_monthly": ["fct_orders"],
+    "ads_category_sales": ["fct_orders", "dim_products"],
+    "ads_region_overview": ["fct_orders", "dim_customers"],
+    "ads_payment_analysis": ["fct_payments"],
+    "ads_review_analysis": ["fct_reviews"],
+    "dws_customer_rfm": ["fct_orders"],
+    "dws_seller_performance": ["dim_sellers", "fct_orders", "fct_reviews"],
+    "ads_kpi_summary": [
+        "ads_gmv_monthly", "dws_customer_rfm", "fct_reviews", "ads_review_analysis", "dws_seller_performance",
+        "fct_payments",
+    ],
+}
 # Tables written at a time.
-WRITERS = 4
+WRITERS = 8
 PARTITIONED = {"fct_orders": "order_month", "fct_payments": "order_month", "fct_reviews": "order_month"}
 
 
@@ -37,48 +51,63 @@ def register(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, load_ts: Column | None = None) -> dict:
-    """Rebuild every stored table below ``root``; later tables read the stored ones.
-
-    Tables that do not need one another are written at the same time."""
+def with_inputs(wanted: Iterable[str]) -> set[str]:
+    """The wanted tables and every stored table that they read, at any remove."""
+    found: set[str] = set()
+    left = list(wanted)
+    while left:
+        name = left.pop()
+        if name not in STORED:
+            raise ValueError(f"no stored table {name}")
+        if name not in found:
+            found.add(name)
+            left += READS.get(name, [])
+    return found
+
+
+def build(
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    root: str,
+    load_ts: Column | None = None,
+    wanted: Iterable[str] = STORED,
+) -> dict:
+    """Rebuild the wanted tables below ``root``, and what they read; later tables read the stored ones.
+
+    A few tables are written at the same time, each as soon as those are stored that it reads."""
     t = staging(raw, load_ts)
-
-    def store(**plans: Callable[[], DataFrame]) -> None:
-        def write(name: str) -> DataFrame:
-            return write_table(plans[name](), f"{root}/{name}", PARTITIONED.get(name))
-
-        with ThreadPoolExecutor(WRITERS) as pool:
-            t.update(zip(plans, pool.map(write, plans), strict=True))
-
-    store(
-        dim_customers=lambda: core.dim_customers(t["stg_customers"]),
-        dim_sellers=lambda: core.dim_sellers(t["stg_sellers"]),
-        dim_products=lambda: core.dim_products(t["stg_products"]),
-        dim_geography=lambda: core.dim_geography(t["stg_geolocation"]),
-        fct_orders=lambda: core.fct_orders(t["stg_order_items"], t["stg_orders"]),
-        fct_payments=lambda: core.fct_payments(t["stg_order_payments"], t["stg_orders"]),
-        fct_reviews=lambda: core.fct_reviews(t["stg_order_reviews"], t["stg_orders"]),
-    )
-    store(
-        ads_gmv_monthly=lambda: marts.ads_gmv_monthly(t["fct_orders"]),
-        ads_category_sales=lambda: marts.ads_category_sales(t["fct_orders"], t["dim_products"]),
-        ads_region_overview=lambda: marts.ads_region_overview(t["fct_orders"], t["dim_customers"]),
-        ads_payment_analysis=lambda: marts.ads_payment_analysis(t["fct_payments"]),
-        ads_review_analysis=lambda: marts.ads_review_analysis(t["fct_reviews"]),
-        dws_customer_rfm=lambda: marts.dws_customer_rfm(t["fct_orders"]),
-        dws_seller_performance=lambda: marts.dws_seller_performance(t["dim_sellers"], t["fct_orders"], t["fct_reviews"]),
-    )
-    store(
-        ads_kpi_summary=lambda: kpi.ads_kpi_summary(
-            t["ads_gmv_monthly"],
-            t["dws_customer_rfm"],
-            t["fct_reviews"],
-            t["ads_review_analysis"],
-            t["dws_seller_performance"],
-            t["fct_payments"],
-        )
-    )
-    return t
+    # Every table stands behind what it reads; the longest ways come first.
+    plans: dict[str, Callable[[], DataFrame]] = {
+        "fct_orders": lambda: core.fct_orders(t["stg_order_items"], t["stg_orders"]),
+        "fct_reviews": lambda: core.fct_reviews(t["stg_order_reviews"], t["stg_orders"]),
+        "dim_sellers": lambda: core.dim_sellers(t["stg_sellers"]),
+        "fct_payments": lambda: core.fct_payments(t["stg_order_payments"], t["stg_orders"]),
+        "dim_customers": lambda: core.dim_customers(t["stg_customers"]),
+        "dim_products": lambda: core.dim_products(t["stg_products"]),
+        "dim_geography": lambda: core.dim_geography(t["stg_geolocation"]),
+        "dws_customer_rfm": lambda: marts.dws_customer_rfm(t["fct_orders"]),
+        "dws_seller_performance": lambda: marts.dws_seller_performance(
+            t["dim_sellers"], t["fct_orders"], t["fct_reviews"]
+        ),
+        "ads_gmv_monthly": lambda: marts.ads_gmv_monthly(t["fct_orders"]),
+        "ads_review_analysis": lambda: marts.ads_review_analysis(t["fct_reviews"]),
+        "ads_category_sales": lambda: marts.ads_category_sales(t["fct_orders"], t["dim_products"]),
+        "ads_region_overview": lambda: marts.ads_region_overview(t["fct_orders"], t["dim_customers"]),
+        "ads_payment_analysis": lambda: marts.ads_payment_analysis(t["fct_payments"]),
+        "ads_kpi_summary": lambda: kpi.ads_kpi_summary(*[t[name] for name in READS["ads_kpi_summary"]]),
+    }
+    stored: dict[str, Future] = {}
+
+    def write(name: str) -> DataFrame:
+        t.update({read: stored[read].result() for read in READS.get(name, [])})
+        return write_table(plans[name](), f"{root}/{name}", PARTITIONED.get(name))
+
+    built = with_inputs(wanted)
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for name in plans:
+            if name in built:
+                stored[name] = pool.submit(write, name)
+    return t | {name: one.result() for name, one in stored.items()}
 
 
 def release(
