@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from vendora.functions import grouping
 from vendora.llm.chat_perspectives import rotate
 
 ROWS = [
@@ -56,3 +57,21 @@ def test_one_conversation_over_many_slices(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert got == rendered(rows)
+
+
+def test_one_repeated_turn_over_many_slices(spark, monkeypatch):
+    """A third and more of all rows is one row again and again: no slice holds them all."""
+    rows = [(7, 1, "a", "again")] * 600 + [(i, 0, "b", "x") for i in range(30, 60)]
+    stored = []
+    settle = grouping.settle
+    monkeypatch.setattr(grouping, "settle", lambda df, label: stored.append(settle(df, label)) or stored[-1])
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = collected(rotate(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)))
+        largest = stored[0].groupBy("_slice").count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == rendered(rows)
+    assert largest < 200

@@ -13,8 +13,10 @@ slices (``vendora.functions.grouping.running``), so that one conversation may ho
 third of all turns.  The sides of a conversation are its different speakers; a
 turn is repeated once for each, as the result requires.
 
-Order is by turn, then speaker, then text; null turns come last.  Defined results: a
-null speaker is named ``unknown``; a null text is empty; turns of a null conversation
+Order is by turn, then speaker, then text; null turns come last.  Rows equal in all of these stand in
+the order of the table read, so that copies of one turn lie in several slices too, however many
+they are; ``turns`` should be a stored table, which gives them the same places when a task is run
+again.  Defined results: a null speaker is named ``unknown``; a null text is empty; turns of a null conversation
 are one conversation; repeated rows are rendered each; a conversation of system
 turns only has no sides and no rows; an empty table gives an empty result; other columns
 are not read.
@@ -41,6 +43,7 @@ def rotate(
         F.col(turn).alias("turn"),
         F.coalesce(F.col(speaker).cast("string"), F.lit(UNKNOWN)).alias("name"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        F.monotonically_increasing_id().alias("place"),
     )
     # One row for each speaker of a conversation, however many turns they have.
     sides = given.filter(F.col("name") != SYSTEM).select(F.col("conv").alias("in_conv"), F.col("name").alias("side")).distinct()
@@ -53,7 +56,7 @@ def rotate(
         F.lit(START), "role", F.when(F.col("role") == "user", F.concat(F.lit(" name="), "name")).otherwise(""), F.lit("\n")
     )
     seen = seen.withColumn("segment", F.concat(head, "text", F.lit(END)))
-    order = [F.col("turn").asc_nulls_last(), F.col("name").asc(), F.col("text").asc()]
+    order = [F.col("turn").asc_nulls_last(), F.col("name").asc(), F.col("text").asc(), F.col("place").asc()]
     placed = running(seen, ["conv", "side"], order, {"position": F.lit(1), "begins": F.length("segment")})
     ends = F.col("begins") + F.length("segment")
     trained = F.col("role") == "assistant"
