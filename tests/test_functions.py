@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vendora.functions import fixed_values as V
+from vendora.functions import grouping
 from vendora.functions.grouping import numbered, running
 from vendora.functions.metrics import first_level, haversine_km, label_of, weight_tier
 from vendora.functions.rounding import half_up, money_mean, month_of, percent
@@ -184,6 +185,28 @@ def test_more_than_a_thousand_hot_groups(spark):
     assert got.filter("rn <> (u - k) / 1500 + 1 OR n <> 20").count() == 0 and got.count() == 30_000
 
 
+@pytest.mark.parametrize("huge", [0, 70, 100, 1000])
+def test_huge_groups_are_cut_and_others_are_not(spark, skewed, huge, monkeypatch):
+    monkeypatch.setattr(grouping, "HUGE", huge)
+    monkeypatch.setattr(grouping, "BUCKETS", 5)
+    order = [F.col("x").desc_nulls_last(), F.col("u").asc()]
+    found = grouping.huge_groups(skewed, ["k"])
+    sizes = {r["k"]: r["count"] for r in skewed.groupBy("k").count().collect()}
+    assert ({r["k"] for r in found.collect()} if found else set()) == {k for k, n in sizes.items() if n > huge}
+    got = numbered(skewed, ["k"], order, row="rn", size="n")
+    group = W.partitionBy("k")
+    checked = got.withColumn("rn_w", F.row_number().over(group.orderBy(*order))).withColumn("n_w", F.count("*").over(group))
+    assert checked.count() == 3000
+    assert checked.filter("rn <> rn_w OR n <> n_w").count() == 0
+
+
+def test_numbered_groups_are_shuffled_once(spark, skewed):
+    """Rows are neither stored nor shuffled again by what groups them by the same keys."""
+    got = numbered(skewed, ["k"], [F.col("u")], row="rn", size="n").groupBy("k").agg(F.max("rn"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "FileScan" not in plan
+
+
 def test_numbered_size_only(spark, skewed):
     got = numbered(skewed, ["k"], size="n")
     assert got.filter("k = 'hot' AND n <> 1000").count() == 0
