@@ -212,6 +212,13 @@ def test_seller_performance_reads_the_fact_once(spark):
     assert len(scans) == 1
 
 
+def test_seller_totals_hash_no_lines_of_an_order(spark):
+    """Tasks that hold whole orders hash the (seller, product) groups alone."""
+    plan = QUERIES["dws_seller_performance"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    hashed = [line for line in plan.splitlines() if "HashAggregate(keys=[order_id" in line and "seller_id" in line]
+    assert not hashed
+
+
 def test_all_months_unscored_are_unknown(spark, shop):
     _, o, _ = shop
     only = core.fct_reviews(reviews(spark, [("r1", "1", None, None, DAY)]), o)
