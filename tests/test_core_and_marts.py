@@ -219,6 +219,23 @@ def test_seller_totals_hash_no_lines_of_an_order(spark):
     assert not hashed
 
 
+def test_revenue_and_sellers_of_a_stored_fact_take_one_wide_shuffle(spark, tmp_path):
+    """Revenue shuffles its two rows an order once; what counts a seller's products carries no sums."""
+    line = "order_id string, customer_id string, seller_id string, product_id string, order_amount decimal(13,2), order_date date, order_month timestamp_ntz, is_delivered boolean, is_cancelled boolean"
+    rows = [(f"o{i // 2}", "c", f"s{i % 2}", f"p{i % 3}", D(1), None, None, True, False) for i in range(12)]
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.schema(line).parquet(f"{tmp_path}/fact")
+    plan = marts.ads_gmv_monthly(fact)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_month" in plan and "order_id#" not in "".join(
+        part.split(")")[0] for part in plan.split("hashpartitioning(")[1:]
+    )
+    marked = spark.createDataFrame([("o1", "r", 5, True)], "order_id string, review_id string, review_score int, is_latest_review boolean")
+    sellers = marts.seller_totals(fact, marked)
+    assert "is_product" in sellers._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["seller_id"]: (r["order_count"], r["item_count"], r["product_count"], r["review_count"]) for r in sellers.collect()}
+    assert got == {"s0": (6, 6, 3, 1), "s1": (6, 6, 3, 1)}
+
+
 def test_all_months_unscored_are_unknown(spark, shop):
     _, o, _ = shop
     only = core.fct_reviews(reviews(spark, [("r1", "1", None, None, DAY)]), o)
