@@ -139,6 +139,18 @@ def test_stream_takes_late_lines_and_spares_a_table_that_exists(spark, tmp_path)
     assert deliver([OLD[1]], "c2") == content(fact(spark, [*OLD, late, ("own", date(2018, 1, 9), 1)]))
 
 
+def test_stream_settles_keys_before_it_merges(spark, tmp_path, monkeypatch):
+    plans, merge = [], order_feed.merge
+    monkeypatch.setattr(
+        order_feed, "merge", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), merge(df, *a, **k))
+    )
+    df = fact(spark, [*OLD, OLD[0]])
+    df.write.parquet(f"{tmp_path}/feed")
+    order_feed.merge_into(order_feed.line_stream(spark, f"{tmp_path}/feed", df.schema), f"{tmp_path}/t", f"{tmp_path}/c")
+    assert plans and not any("Aggregate" in p for p in plans)
+    assert content(spark.read.schema(FACT).parquet(f"{tmp_path}/t")) == content(fact(spark, OLD))
+
+
 @pytest.fixture()
 def no_markers(spark):
     """A store whose writers leave no success markers."""

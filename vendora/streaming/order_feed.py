@@ -67,8 +67,11 @@ def merge_into(lines: DataFrame, path: str, checkpoint: str, lateness: timedelta
             aside.withColumn("newest_before", F.lit(mark).cast("timestamp_ntz")).write.mode("overwrite").parquet(
                 f"{path}/_late/{checkpoint.rsplit('/', 1)[-1]}-{batch_id}"
             )
+            # The merge reads its delivery several times, so keys are settled once.
+            delta = settle(one_per_key(rows.select(*columns)), "delta")
             # A line's month is that of its purchase, which never changes.
-            merge(one_per_key(rows.select(*columns)), path, key_keeps_month=True)
+            merge(delta, path, key_keeps_month=True)
+            discard(delta)
             if seen.get["newest"] is not None:
                 newest_row = [(batch_id, seen.get["newest"])]
                 spark.createDataFrame(newest_row, "batch long, newest timestamp").coalesce(1).write.mode("overwrite").parquet(
