@@ -236,6 +236,39 @@ def test_revenue_and_sellers_of_a_stored_fact_take_one_wide_shuffle(spark, tmp_p
     assert got == {"s0": (6, 6, 3, 1), "s1": (6, 6, 3, 1)}
 
 
+def test_seller_totals_of_a_stored_fact_bring_ids_alone_together_by_order(spark, tmp_path):
+    line = "order_id string, seller_id string, product_id string, order_amount decimal(13,2), order_date date, is_delivered boolean, is_cancelled boolean"
+    rows = [("o", "s", f"p{i % 4}", D(1), None, True, False) for i in range(9)]
+    rows += [(None, "s", "p1", D(3), None, True, False), ("q", None, "x", D(4), None, True, False), ("q", "t", None, D(5), None, False, True)]
+    spark.createDataFrame(rows, line).write.parquet(f"{tmp_path}/fact")
+    fact = spark.read.schema(line).parquet(f"{tmp_path}/fact")
+    marked = spark.createDataFrame(
+        [("o", "r1", 5, True), ("q", None, 2, True), (None, "r3", 1, True)],
+        "order_id string, review_id string, review_score int, is_latest_review boolean",
+    )
+    once, twice = (marts.seller_totals(fact, marked, stored) for stored in (False, True))
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, twice.collect()))
+    by_order = [p for p in twice._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(order_id")[1:]]
+    assert by_order and not any("order_amount" in p.split("Scan")[0] for p in by_order)
+
+
+def test_sold_lines_are_not_shuffled_before_products_join(spark, tmp_path):
+    line = "order_id string, customer_id string, product_id string, order_amount decimal(13,2), is_delivered boolean"
+    spark.createDataFrame([("o", "c", "p", D(1), True), ("o", "c", "p", D(2), True)], line).write.parquet(f"{tmp_path}/fact")
+    products = spark.createDataFrame([("p", "a", "b", "w")], "product_id string, product_category string, product_category_cn string, weight_tier string")
+    sales = marts.ads_category_sales(spark.read.schema(line).parquet(f"{tmp_path}/fact"), products)
+    assert "hashpartitioning(order_id" not in sales._jdf.queryExecution().executedPlan().toString()
+    assert [(r["orders"], r["buyers"], r["gmv"], r["avg_order_value"]) for r in sales.collect()] == [(1, 1, D("3.00"), 1.5)]
+
+
+def test_gathered_fact_is_the_fact_and_shuffles_no_derived_columns(spark, shop):
+    fact, o, i = shop
+    gathered = core.fct_orders(i, o, gathered=True)
+    assert sorted(map(repr, fact.collect())) == sorted(map(repr, gathered.collect())) and fact.schema == gathered.schema
+    plan = gathered._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and "order_item_key" not in plan.split("RebalancePartitions")[1]
+
+
 def test_all_months_unscored_are_unknown(spark, shop):
     _, o, _ = shop
     only = core.fct_reviews(reviews(spark, [("r1", "1", None, None, DAY)]), o)

@@ -572,6 +572,15 @@ def test_suite_counts_like_the_single_rules(spark):
     ])
 
 
+def test_suite_makes_no_column_that_cannot_be_null(spark):
+    """A numbering for the sake of a rule that it cannot break would shuffle all lines."""
+    lines = grouping.numbered(spark.createDataFrame([("o", 2), ("o", 1)], "order_id string, x int"), ["order_id"], [F.col("x")], row="n")
+    rules = [Rule("t", "n", "not_null"), Rule("t", "x", "not_null")]
+    report = quality.suite_report({"t": lines}, rules)
+    assert "row_number" not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["column_name"], r["failures"], r["status"]) for r in report.orderBy("column_name").collect()] == [("n", 0, "pass"), ("x", 0, "pass")]
+
+
 def test_warnings_do_not_block_publishing(spark):
     df = spark.createDataFrame([(None,)], "x string")
     assert quality.may_publish(quality.suite_report({"t": df}, [Rule("t", "x", "not_null", severity="warn")]))
