@@ -118,6 +118,43 @@ def test_merge_by_month_reads_delivered_months_only(spark, target, monkeypatch):
     assert content(spark.read.schema(FACT).parquet(target)) == content(fact(spark, [*OLD[:2], ("c", date(2018, 3, 11), 30)]))
 
 
+def test_merge_moves_what_it_stored_and_writes_it_once(spark, target, monkeypatch):
+    """A large month is several parts; what was stored as pending is in its place by the same file names."""
+    monkeypatch.setattr(incremental, "PART_ROWS", 2)
+    pending, move = set(), incremental.replace_partitions
+    monkeypatch.setattr(
+        incremental, "replace_partitions",
+        lambda df, *a: (pending.update(f.rsplit("/", 1)[1] for f in df.inputFiles()), move(df, *a))[1],
+    )
+    rows = [(f"k{i}", date(2018, 2, 1 + i), i) for i in range(9)] + [("b", date(2018, 3, 1), 7), ("u", None, 1)]
+    expected = content(fact(spark, [OLD[0], OLD[2], *rows]))
+    assert content(incremental.merge(fact(spark, rows), target)) == expected
+    files = {f.rsplit("/", 1)[1] for f in spark.read.schema(FACT).parquet(target).inputFiles() if "2018-01" not in f}
+    assert files <= pending
+    more = [("k1", date(2018, 2, 20), 1), ("v", None, 2)]
+    assert content(incremental.merge(fact(spark, more), target)) == content(
+        fact(spark, [OLD[0], OLD[2], *[r for r in rows if r[0] != "k1"], *more])
+    )
+
+
+def test_a_merge_cut_off_between_two_months_is_finished(spark, target, monkeypatch):
+    def first_only(df, stored_at, path, by, move=tables._move_partitions):
+        if by == incremental.PARTITION:
+            places = sorted(p for p in Path(stored_at).iterdir() if "=" in p.name)
+            (Path(path) / places[0].name).exists() and __import__("shutil").rmtree(Path(path) / places[0].name)
+            places[0].rename(Path(path) / places[0].name)
+            raise OSError("cut off")
+        move(df, stored_at, path, by)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_move_partitions", first_only)
+        with pytest.raises(OSError):
+            incremental.merge(fact(spark, [("a", date(2018, 2, 1), 10), ("n", date(2018, 3, 9), 4)]), target)
+    got = content(incremental.merge(fact(spark, [("m", date(2018, 4, 1), 1)]), target))
+    wanted = [("a", date(2018, 2, 1), 10), OLD[1], OLD[2], ("n", date(2018, 3, 9), 4), ("m", date(2018, 4, 1), 1)]
+    assert got == content(fact(spark, wanted))
+
+
 def test_lookback_appends_a_key_once(spark, target):
     twice = fact(spark, [("n", date(2018, 3, 12), 7), ("n", date(2018, 3, 12), 7), ("n", date(2018, 3, 12), 6)])
     assert content(incremental.append_with_lookback(twice, target)) == content(fact(spark, [*OLD, ("n", date(2018, 3, 12), 7)]))

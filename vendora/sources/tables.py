@@ -33,10 +33,14 @@ def append_rows(df: DataFrame, path: str, partition_by: str) -> None:
     df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: str, stored_at: str | None = None) -> None:
     """Replace the partitions present in ``df`` and leave the others alone.
 
-    ``df`` must not read the table at ``path``; :func:`settle` rows that do."""
+    ``df`` must not read the table at ``path``; :func:`settle` rows that do.  If ``df`` is all that lies in the folder
+    ``stored_at`` by the same partitions, those are moved and not written again; a call that was cut off is
+    finished by another one."""
+    if stored_at is not None:
+        return _move_partitions(df.sparkSession, stored_at, path, partition_by)
     (
         df.hint("rebalance", partition_by)
         .write.mode("overwrite")
@@ -46,6 +50,22 @@ def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
     )
 
 
+def _move_partitions(spark: SparkSession, folder: str, path: str, partition_by: str) -> None:
+    """One renaming a partition, as Spark itself ends a dynamic overwrite."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(folder)
+    store = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(source):
+        return
+    for entry in store.listStatus(source):
+        name = entry.getPath().getName()
+        if name.startswith(f"{partition_by}="):
+            place = hadoop.Path(f"{path}/{name}")
+            store.delete(place, True)
+            if not store.rename(entry.getPath(), place):
+                raise OSError(f"{name} could not be moved to {path}")
+
+
 def holds_rows(spark: SparkSession, path: str) -> bool:
     """Whether a folder has data files or partitions; markers and folders with a leading
     underscore are none, so this holds on stores and for writers that leave no marker."""
