@@ -326,6 +326,19 @@ def test_missed_rows_tell_missing_from_stale(spark):
     assert [(r["missing_rows"], r["stale_rows"], r["missing_amount"]) for r in rows] == [(1, 1, D("5.00"))]
 
 
+def test_missed_rows_join_hashes_and_tell_zeros_nulls_and_types(spark):
+    """What is joined is a key and a hash of the rest; floats and columns of two types are compared as they are."""
+    kinds = "order_item_key string, order_month timestamp_ntz, order_amount decimal(13,2), x string, y string, f double, n {}"
+    month = datetime(2018, 1, 1)
+    old = [("a", month, D(1), None, "p", 0.0, 1), ("b", month, D(1), "p", None, 1.0, 1), ("c", month, D(1), "q", "q", 1.0, 1)]
+    new = [("a", month, D(1), None, "p", -0.0, 1), ("b", month, D(1), None, "p", 1.0, 1), ("c", month, D(1), "q", "q", 1.0, 2), ("d", month, D(4), "z", "z", 1.0, 1)]
+    target, rebuilt = spark.createDataFrame(old, kinds.format("int")), spark.createDataFrame(new, kinds.format("long"))
+    found = incremental.missed_rows(target, rebuilt)
+    assert [(r["missing_rows"], r["stale_rows"], r["missing_amount"]) for r in found.collect()] == [(1, 2, D("4.00"))]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") >= 4
+
+
 def test_only_months_that_differ_are_compared(spark, target):
     """A row moved to another month, a changed one; the order of rows is no difference."""
     source = [OLD[0], ("x", date(2018, 1, 7), 9), ("b", date(2018, 4, 2), 2), ("c", date(2018, 3, 10), 3), ("u", None, 1)]

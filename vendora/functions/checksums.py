@@ -8,9 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """A hash of the columns' values; a hash passes over NULLs, so which of them are NULL is hashed too."""
-    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+def row_hash(columns: Sequence[str], salt: str | None = None) -> Column:
+    """A hash of the columns' values; a hash passes over NULLs, so which of them are NULL is hashed too.
+
+    Another ``salt`` gives another hash."""
+    start = [] if salt is None else [F.lit(salt)]
+    return F.xxhash64(*start, *columns, *[F.col(c).isNull() for c in columns])
 
 
 def hash_sum(columns: Sequence[str]) -> Column:
