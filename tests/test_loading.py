@@ -773,3 +773,87 @@ def test_scratch_leaves_nothing_but_the_result(spark, tmp_path):
         QUERIES["fct_reviews"](spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_path}/result")
         assert set(here.glob("*")) > before
     assert set(here.glob("*")) == before and spark.read.parquet(f"{tmp_path}/result").count() > 0
+
+
+@pytest.fixture()
+def deliver(spark, tmp_path):
+    """Deliver rows to a stream as one file; the table as it is then."""
+
+    def run(rows, checkpoint="c"):
+        df = fact(spark, rows)
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+        order_feed.merge_into(order_feed.line_stream(spark, f"{tmp_path}/feed", df.schema), f"{tmp_path}/t", f"{tmp_path}/{checkpoint}")
+        return content(tables.read_table(spark, f"{tmp_path}/t", df.schema))
+
+    return run
+
+
+def test_stream_keeps_lines_in_state_that_can_be_asked_for(spark, tmp_path, deliver):
+    """A first load of years feeds its last days to the state, keys and hashes alone; an old version that comes again is known."""
+
+    def asked(batch):
+        rows = spark.read.parquet(f"{tmp_path}/c/lines/feed/batch={batch}")
+        assert "order_amount" not in rows.columns
+        return sorted(r["order_item_key"] for r in rows.collect())
+
+    years = [(f"y{i}", date(2010 + i, 5, 5), i) for i in range(8)]
+    last = [("p", date(2018, 3, 13), 1), ("q", date(2018, 3, 14), 1), ("r", date(2018, 3, 20), 1)]
+    assert deliver([*years, *last]) == content(fact(spark, [*years, *last]))
+    assert asked(0) == ["q", "r"]
+    # Newer than all before and behind the next mark: merged, and in no state.
+    newer = [("q", date(2018, 3, 14), 2), ("s", date(2018, 3, 25), 1), ("t", date(2018, 4, 5), 1)]
+    assert deliver(newer) == content(fact(spark, [*years, last[0], last[2], *newer]))
+    assert asked(1) == ["q", "t"]
+    assert not Path(f"{tmp_path}/c/lines/feed/batch=0").exists()
+    # Unchanged within the lateness it is a repetition; behind the mark it is late and merged.
+    assert deliver([newer[2], ("t", date(2018, 4, 5), 2)]) == content(fact(spark, [*years, last[0], last[2], *newer[:2], ("t", date(2018, 4, 5), 2)]))
+    assert deliver([newer[2]]) == content(fact(spark, [*years, last[0], last[2], *newer[:2], ("t", date(2018, 4, 5), 2)]))
+    assert ("q", "2018-03-14", D("1.00")) in deliver([last[1]])
+
+
+def test_stream_leaves_adds_or_writes_months(spark, tmp_path, deliver):
+    """By the names of the files: January comes again, February gets a new line and March another version."""
+
+    def files():
+        return {(f.rsplit("/", 2)[1][12:19], f.rsplit("/", 1)[1]) for f in spark.read.schema(FACT).parquet(f"{tmp_path}/t").inputFiles()}
+
+    deliver([*OLD, ("u", None, 1)])
+    before = files()
+    state = [OLD[0], OLD[1], ("b2", date(2018, 2, 21), 5), ("c", date(2018, 3, 10), 30), ("u", None, 1), ("n", date(2018, 4, 1), 6)]
+    assert deliver([OLD[0], *state[2:]]) == content(fact(spark, state))
+    assert sorted(month for month, _ in before & files()) == ["2018-01", "2018-02", "__HIVE_"]
+    assert sorted(month for month, _ in files() - before) == ["2018-02", "2018-03", "2018-04"]
+
+
+def test_stream_writes_a_month_of_many_files_again(spark, tmp_path, deliver, monkeypatch):
+    monkeypatch.setattr(incremental, "MONTH_FILES", 2)
+    state = []
+    for i in range(4):
+        state.append((f"k{i}", date(2018, 2, 20 + i), i))
+        assert deliver(state[-1:]) == content(fact(spark, state))
+        assert len(spark.read.schema(FACT).parquet(f"{tmp_path}/t").inputFiles()) == [1, 2, 1, 2][i]
+
+
+def test_stream_settles_a_key_of_two_months_and_parts_of_months(spark, deliver, monkeypatch):
+    monkeypatch.setattr(incremental, "PART_ROWS", 2)
+    rows = [(f"k{i}", date(2018, 2, 1 + i), i) for i in range(9)] + [(f"u{i}", None, i) for i in range(5)]
+    twice = [("k0", date(2018, 3, 1), 7), ("k8", date(2018, 2, 9), 9), ("k8", date(2018, 2, 9), 8)]
+    wanted = [*rows[1:8], *rows[9:], ("k0", date(2018, 3, 1), 7), ("k8", date(2018, 2, 9), 9)]
+    assert deliver([*rows, *twice, *twice]) == content(fact(spark, wanted))
+
+
+def test_stream_batch_that_is_replayed_loses_nothing(spark, tmp_path, deliver, monkeypatch):
+    """Cut off behind the state, and between the commit of a merge and its files."""
+    deliver(OLD)
+    second = [("c", date(2018, 3, 10), 3), ("d", date(2018, 3, 12), 4), ("e", date(2017, 1, 1), 5)]
+    with monkeypatch.context() as m:
+        m.setattr(order_feed, "merge", lambda *a, **k: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(Exception, match="cut off"):
+            deliver(second)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "add_files", lambda *a: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(Exception, match="cut off"):
+            deliver([("d", date(2018, 3, 12), 4)])
+    assert deliver([("f", date(2018, 3, 13), 6)]) == content(fact(spark, [*OLD, *second[1:], ("f", date(2018, 3, 13), 6)]))
+    late = order_feed.late_lines(spark, f"{tmp_path}/t", fact(spark, []).schema)
+    assert content(late) == content(fact(spark, second[2:]))

@@ -66,14 +66,54 @@ def _move_partitions(spark: SparkSession, folder: str, path: str, partition_by:
                 raise OSError(f"{name} could not be moved to {path}")
 
 
+def take_partitions(spark: SparkSession, folder: str, place: str, names: list[str]) -> None:
+    """Move partitions of one folder to another that has none of them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop.Path(place))
+    for name in names:
+        if not store.rename(hadoop.Path(f"{folder}/{name}"), hadoop.Path(f"{place}/{name}")):
+            raise OSError(f"{name} could not be moved to {place}")
+
+
+def add_files(spark: SparkSession, folder: str, path: str) -> None:
+    """Move the data files of a folder's partitions into the same partitions at ``path``, beside what is there.
+
+    Names of files are unique, and each is moved in one step, so a call that was cut off is finished by another one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(folder)
+    store = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(source):
+        return
+    for partition in store.listStatus(source):
+        name = partition.getPath().getName()
+        if not partition.isDirectory() or name[0] in "._":
+            continue
+        place = hadoop.Path(f"{path}/{name}")
+        store.mkdirs(place)
+        for entry in store.listStatus(partition.getPath()):
+            if not store.rename(entry.getPath(), hadoop.Path(f"{path}/{name}/{entry.getPath().getName()}")):
+                raise OSError(f"{entry.getPath().getName()} could not be moved to {path}")
+
+
+def files_of(spark: SparkSession, folder: str) -> int:
+    """The number of data files in a folder; 0 if it is missing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.getContentSummary(place).getFileCount() if store.exists(place) else 0
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of a folder's entries; none if it is missing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in store.listStatus(place)] if store.exists(place) else []
+
+
 def holds_rows(spark: SparkSession, path: str) -> bool:
     """Whether a folder has data files or partitions; markers and folders with a leading
     underscore are none, so this holds on stores and for writers that leave no marker."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not store.exists(place):
-        return False
-    return any(entry.getPath().getName()[0] not in "._" for entry in store.listStatus(place))
+    return any(name[0] not in "._" for name in names_in(spark, path))
 
 
 VERSIONS = "version long, path string"
